@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions import sqltext as sql
+
 # Abramowitz & Stegun 7.1.26, complementary error function for x >= 0.
 ERFC_P = 0.3275911
 ERFC_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -15,15 +15,14 @@ ERFC_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN means missing, so make it null in every floating-point column."""
-    floats = (T.FloatType, T.DoubleType)
-    return df.select(
-        *[
-            F.when(~F.isnan(F.col(f.name)), F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, floats)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    cells = []
+    for f in df.schema.fields:
+        c = sql.name(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            cells.append(f"nanvl({c}, CAST(NULL AS {f.dataType.simpleString()})) AS {c}")
+        else:
+            cells.append(c)
+    return df.selectExpr(*cells)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -31,29 +30,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def two_sided_p(z: Column) -> Column:
-    """Two-sided p-value of a standard-normal statistic, erfc(|z| / sqrt 2)."""
-    x = F.abs(z) / F.lit(2.0 ** 0.5)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(ERFC_P) * x)
-    poly = F.lit(0.0)
+def two_sided_p(z: str) -> str:
+    """SQL text of the two-sided p-value of a standard-normal statistic, erfc(|z| / sqrt 2)."""
+    x = f"(abs({z}) / sqrt(2D))"
+    t = f"(1D / (1D + {sql.number(ERFC_P)} * {x}))"
+    poly = "0D"
     for a in reversed(ERFC_A):
-        poly = (poly + F.lit(a)) * t
-    return poly * F.exp(-x * x)
-
-
-def bin_index(value: Column, edges: Sequence[float]) -> Column:
-    """1-based right-closed bin of ``value``; the lowest edge belongs to bin 1.
-
-    Missing values and columns without two distinct edges have no bin.
-    """
-    cuts = sorted(set(edges))
-    if len(cuts) < 2:
-        return F.lit(None).cast("int")
-    index = F.lit(1)
-    for edge in cuts[1:-1]:
-        index = index + (value > F.lit(edge)).cast("int")
-    return F.when(value.isNotNull(), index)
-
-
-def count_true(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+        poly = f"(({poly} + {sql.number(a)}) * {t})"
+    return f"{poly} * exp(-{x} * {x})"

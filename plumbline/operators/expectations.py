@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import count_true, nan_to_null, ratio
+from plumbline.functions import sqltext as sql
+from plumbline.functions.columns import nan_to_null
 
 SUITE_NAME = "expectation_suite"
 
@@ -40,51 +41,42 @@ FRAUD_SUITE = (
 )
 
 
-def _unexpected(e: Expectation) -> Column:
-    c = F.col(e.column)
+def _unexpected(e: Expectation) -> str:
+    c = sql.name(e.column)
     if e.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if e.kind == "in_set":
-        return ~c.isin(list(e.allowed))
-    bad = F.lit(False)
-    if e.minimum is not None:
-        bad = bad | (c < F.lit(e.minimum))
-    if e.maximum is not None:
-        bad = bad | (c > F.lit(e.maximum))
-    return bad
+        return f"{c} NOT IN ({', '.join(f'{v:g}' for v in e.allowed)})"
+    sides = [f"{c} < {e.minimum}"] if e.minimum is not None else []
+    sides += [f"{c} > {e.maximum}"] if e.maximum is not None else []
+    return " OR ".join(sides)
 
 
 def expectation_results(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     """One row per expectation. An absent column fails every expectation on it."""
     present = [e for e in suite if e.column in df.columns]
-    measured_on = {(i, e.kind) for i, e in enumerate(suite) if e in present and e.kind != "exists"}
     source = nan_to_null(df.select(*dict.fromkeys(e.column for e in present))) if present else df
-    aggs = [F.count("*").alias("rows")]
-    for i, kind in sorted(measured_on):
-        e = suite[i]
-        population = F.count("*") if kind == "not_null" else F.count(e.column)
-        aggs += [count_true(_unexpected(e)).alias(f"bad{i}"), population.alias(f"seen{i}")]
-
-    rows = []
+    counts, results = ["count(*) AS rows"], []
     for i, e in enumerate(suite):
-        if (i, e.kind) in measured_on:
-            bad, seen = F.col(f"bad{i}"), F.col(f"seen{i}")
+        bad = seen = "0L"
+        success = "true" if e in present else "false"
+        if e in present and e.kind != "exists":
+            bad, seen = f"bad{i}", f"seen{i}"
+            population = "*" if e.kind == "not_null" else sql.name(e.column)
+            counts += [f"count_if({_unexpected(e)}) AS {bad}", f"count({population}) AS {seen}"]
             # No evaluated value means nothing contradicts the expectation.
-            success = F.coalesce(ratio(seen - bad, seen) >= F.lit(e.mostly), F.lit(True))
-        else:
-            bad, seen = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-            success = F.lit(e.column in df.columns)
-        rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(e.kind).alias("expectation"),
-                F.lit(e.column).alias("column_name"),
-                success.alias("success"),
-                seen.alias("n_evaluated"),
-                bad.alias("n_unexpected"),
+            success = f"coalesce({sql.ratio(f'{seen} - {bad}', seen)} >= {sql.number(e.mostly)}, true)"
+        results.append(
+            sql.struct(
+                position=str(i),
+                expectation=sql.text(e.kind),
+                column_name=sql.text(e.column),
+                success=success,
+                n_evaluated=seen,
+                n_unexpected=bad,
             )
         )
-    return source.agg(*aggs).select(F.inline(F.array(*rows)))
+    return source.agg(*[F.expr(c) for c in counts]).selectExpr(sql.rows(results))
 
 
 def suite_result(results: DataFrame, position: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SEED, TEST_SHARE, FillPolicy
+from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null
 from plumbline.operators.imputation import value_counts
 from plumbline.operators.quantiles import exact_quantiles, order_statistics, profile
@@ -30,10 +31,6 @@ def drop_indicators(df: DataFrame, policies: Iterable[FillPolicy]) -> DataFrame:
     return df.drop(*[p.indicator for p in policies])
 
 
-def quote(name: str) -> str:
-    return f"`{name}`"
-
-
 # --- stratified split ------------------------------------------------------------------------
 
 
@@ -165,9 +162,9 @@ def fit_numeric(train: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) ->
     fills = {c: q[0] if q else 0.0 for c, q in exact_quantiles(clean, {c: [0.5] for c in columns}).items()}
     aggs = []
     for i, c in enumerate(columns):
-        x = F.coalesce(F.col(c).cast("double"), F.lit(fills[c]))
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = clean.agg(*aggs).first()
+        x = f"coalesce(CAST({sql.name(c)} AS DOUBLE), {sql.number(fills[c])})"
+        aggs += [f"avg({x}) AS m{i}", f"stddev_pop({x}) AS s{i}"]
+    row = clean.agg(*[F.expr(a) for a in aggs]).first()
     return [NumericParameters(c, fills[c], row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)]
 
 
@@ -202,21 +199,20 @@ def fit_preprocessor(
     return Preprocessor(tuple(fit_numeric(train, numeric)), tuple(fit_categories(train, categorical)))
 
 
-def scaled_columns(parameters: Iterable[NumericParameters]) -> list[Column]:
+def scaled_columns(parameters: Iterable[NumericParameters]) -> list[str]:
+    """SQL text of the filled and standardised numeric features."""
     return [
-        ((F.coalesce(F.col(p.feature).cast("double"), F.lit(p.fill)) - F.lit(p.mean)) / F.lit(p.scale)).alias(
-            f"numeric__{p.feature}"
-        )
+        f"(coalesce(CAST({sql.name(p.feature)} AS DOUBLE), {sql.number(p.fill)}) - {sql.number(p.mean)}) "
+        f"/ {sql.number(p.scale)} AS {sql.name(f'numeric__{p.feature}')}"
         for p in parameters
     ]
 
 
-def onehot_columns(parameters: Iterable[CategoryParameters]) -> list[Column]:
-    """One 0/1 column per training level; a level not seen in training sets none of them."""
+def onehot_columns(parameters: Iterable[CategoryParameters]) -> list[str]:
+    """SQL text of one 0/1 column per training level; a level not seen in training sets none."""
     return [
-        (F.coalesce(F.col(p.feature).cast("double"), F.lit(p.fill)) == F.lit(level))
-        .cast("double")
-        .alias(f"categorical__{p.feature}_{level}")
+        f"CAST(coalesce(CAST({sql.name(p.feature)} AS DOUBLE), {sql.number(p.fill)}) = {sql.number(level)} AS DOUBLE) "
+        f"AS {sql.name(f'categorical__{p.feature}_{level}')}"
         for p in parameters
         for level in p.levels
     ]
@@ -224,7 +220,8 @@ def onehot_columns(parameters: Iterable[CategoryParameters]) -> list[Column]:
 
 def transform(df: DataFrame, fitted: Preprocessor, keep: Sequence[str]) -> DataFrame:
     """The kept columns, then the numeric block, then the categorical block; others are dropped."""
-    return nan_to_null(df).select(*keep, *scaled_columns(fitted.numeric), *onehot_columns(fitted.categorical))
+    kept = [sql.name(k) for k in keep]
+    return nan_to_null(df).selectExpr(*kept, *scaled_columns(fitted.numeric), *onehot_columns(fitted.categorical))
 
 
 def parameter_gap(

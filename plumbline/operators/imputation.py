@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.contract import FillPolicy
+from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null
 from plumbline.operators.quantiles import exact_quantiles, profile
 
@@ -38,9 +39,9 @@ class Fill:
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n) of present values, counted on the map side first."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    cells = [sql.struct(column_name=sql.text(c), value=f"CAST({sql.name(c)} AS DOUBLE)") for c in columns]
     return (
-        df.select(F.inline(cells))
+        df.selectExpr(sql.rows(cells))
         .where("value IS NOT NULL")
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
@@ -94,19 +95,21 @@ def apply_fills(df: DataFrame, fills: Mapping[str, Fill]) -> DataFrame:
     """Fill in place and append one 0/1 indicator per policy, in policy order."""
     clean = nan_to_null(df)
     types = dict(clean.dtypes)
-    columns = [
-        F.coalesce(F.col(c), F.lit(fills[c].value).cast(types[c])).alias(c) if c in fills else F.col(c)
-        for c in clean.columns
-    ]
-    indicators = [F.col(c).isNull().cast("int").alias(f.policy.indicator) for c, f in fills.items()]
-    return clean.select(*columns, *indicators)
+    cells = []
+    for c in clean.columns:
+        cell = sql.name(c)
+        if c in fills:
+            cell = f"coalesce({cell}, CAST({sql.number(fills[c].value)} AS {types[c]})) AS {cell}"
+        cells.append(cell)
+    return clean.selectExpr(*cells, *_indicators([f.policy for f in fills.values()]))
+
+
+def _indicators(policies: Sequence[FillPolicy]) -> list[str]:
+    return [f"CAST({sql.name(p.column)} IS NULL AS INT) AS {sql.name(p.indicator)}" for p in policies]
 
 
 def add_indicators(df: DataFrame, policies: Sequence[FillPolicy]) -> DataFrame:
-    clean = nan_to_null(df)
-    return clean.select(
-        "*", *[F.col(p.column).isNull().cast("int").alias(p.indicator) for p in policies]
-    )
+    return nan_to_null(df).selectExpr("*", *_indicators(policies))
 
 
 def impute(df: DataFrame, policies: Sequence[FillPolicy]) -> DataFrame:
@@ -140,5 +143,5 @@ def fill_summary(df: DataFrame, policies: Sequence[FillPolicy]) -> DataFrame:
 
 def proposed_ceilings(df: DataFrame, rate: str) -> DataFrame:
     """Smallest multiple of 5 percent that is at least twice the validated missing rate."""
-    steps = F.ceil(F.round(F.col(rate) * 200 / 5, 9))
-    return df.withColumn("proposed_ceiling", steps * 5 / 100)
+    steps = f"ceil(round({sql.name(rate)} * 200 / 5, 9))"
+    return df.withColumn("proposed_ceiling", F.expr(f"{steps} * 5 / 100"))

@@ -22,7 +22,8 @@ from plumbline.contract import (
     P_VALUE_FLAG,
     FillPolicy,
 )
-from plumbline.functions.columns import bin_index, nan_to_null, ratio, two_sided_p
+from plumbline.functions import sqltext as sql
+from plumbline.functions.columns import nan_to_null, ratio, two_sided_p
 from plumbline.operators.quantiles import quantile_edges
 
 PATTERN = "_pattern"
@@ -32,43 +33,33 @@ def missing_patterns(df: DataFrame, columns: Sequence[str], label: str) -> DataF
     """(pattern, n, positives): bit i of the pattern is set where columns[i] is missing."""
     if len(columns) > 62:
         raise ValueError("at most 62 columns fit one pattern")
-    bits = [F.col(c).isNull().cast("bigint") * F.lit(1 << i) for i, c in enumerate(columns)]
-    pattern = reduce(lambda a, b: a + b, bits)
+    bits = " + ".join(f"CAST({sql.name(c)} IS NULL AS BIGINT) * {1 << i}L" for i, c in enumerate(columns))
     return (
         nan_to_null(df.select(*columns, label))
-        .groupBy(pattern.alias(PATTERN))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("bigint").alias("positives"))
+        .groupBy(F.expr(bits).alias(PATTERN))
+        .agg(F.count("*").alias("n"), F.expr(f"{sql.total(sql.name(label))} AS positives"))
     )
 
 
-def _bit(i: int) -> Column:
-    return F.col(PATTERN).bitwiseAND(F.lit(1 << i)) != 0
+def _bit(i: int) -> str:
+    return f"getbit({PATTERN}, {i}) = 1"
 
 
-def _total(value: str, condition: Column | None = None) -> Column:
-    picked = F.col(value) if condition is None else F.when(condition, F.col(value)).otherwise(F.lit(0))
-    return F.coalesce(F.sum(picked), F.lit(0)).cast("bigint")
-
-
-def _rows(structs: list[Column]) -> Column:
-    return F.inline(F.array(*structs))
+def _totals(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: rows, positives, and per column the missing rows and the positives among them."""
+    counts = [f"{sql.total('n')} AS rows", f"{sql.total('positives')} AS positives"]
+    for i in range(len(columns)):
+        counts += [f"{sql.total('n', _bit(i))} AS m{i}", f"{sql.total('positives', _bit(i))} AS x{i}"]
+    return patterns.agg(*[F.expr(c) for c in counts])
 
 
 def missing_rates(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
-    totals = patterns.agg(
-        _total("n").alias("rows"), *[_total("n", _bit(i)).alias(f"m{i}") for i in range(len(columns))]
-    )
-    return totals.select(
-        _rows(
-            [
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col("rows").alias("n_rows"),
-                    F.col(f"m{i}").alias("n_missing"),
-                    ratio(F.col(f"m{i}"), F.col("rows")).alias("missing_rate"),
-                )
-                for i, c in enumerate(columns)
-            ]
+    return _totals(patterns, columns).selectExpr(
+        sql.rows(
+            sql.struct(
+                column_name=sql.text(c), n_rows="rows", n_missing=f"m{i}", missing_rate=sql.ratio(f"m{i}", "rows")
+            )
+            for i, c in enumerate(columns)
         )
     )
 
@@ -76,38 +67,36 @@ def missing_rates(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
 def label_rate_split(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Label rate where the column is missing against where it is present, with a pooled
     two-proportion z-test. Columns without missing rows are left out."""
-    totals = patterns.agg(
-        _total("n").alias("rows"),
-        _total("positives").alias("positives"),
-        *[_total("n", _bit(i)).alias(f"m{i}") for i in range(len(columns))],
-        *[_total("positives", _bit(i)).alias(f"x{i}") for i in range(len(columns))],
-    )
-    counts = totals.select(
-        _rows(
-            [
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col(f"m{i}").alias("n_missing"),
-                    (F.col("rows") - F.col(f"m{i}")).alias("n_present"),
-                    F.col(f"x{i}").alias("x_missing"),
-                    (F.col("positives") - F.col(f"x{i}")).alias("x_present"),
+    counts = (
+        _totals(patterns, columns)
+        .selectExpr(
+            sql.rows(
+                sql.struct(
+                    column_name=sql.text(c),
+                    n_missing=f"m{i}",
+                    n_present=f"rows - m{i}",
+                    x_missing=f"x{i}",
+                    x_present=f"positives - x{i}",
                 )
                 for i, c in enumerate(columns)
-            ]
+            )
         )
-    ).where("n_missing > 0")
-    n1, n0 = F.col("n_missing").cast("double"), F.col("n_present").cast("double")
-    pooled = ratio(F.col("x_missing") + F.col("x_present"), n1 + n0)
-    se = F.sqrt(pooled * (1 - pooled) * (1 / n1 + F.try_divide(F.lit(1.0), n0)))
+        .where("n_missing > 0")
+    )
+    pooled = sql.ratio("x_missing + x_present", "n_missing + n_present")
+    se = f"sqrt({pooled} * (1 - {pooled}) * (1D / n_missing + try_divide(1D, CAST(n_present AS DOUBLE))))"
     return (
-        counts.withColumn("rate_missing", ratio(F.col("x_missing"), n1))
-        .withColumn("rate_present", ratio(F.col("x_present"), n0))
-        .withColumn(
-            "z", F.when(se > 0, F.try_divide(F.col("rate_missing") - F.col("rate_present"), se)).otherwise(0.0)
+        counts.selectExpr(
+            "*",
+            f"{sql.ratio('x_missing', 'n_missing')} AS rate_missing",
+            f"{sql.ratio('x_present', 'n_present')} AS rate_present",
+            f"{se} AS se",
+        )
+        .selectExpr("*", "if(se > 0, try_divide(rate_missing - rate_present, se), 0D) AS z")
+        .selectExpr(
+            "column_name", "n_missing", "n_present", "rate_missing", "rate_present", "z", f"{two_sided_p('z')} AS p_value"
         )
-        .withColumn("p_value", two_sided_p(F.col("z")))
-        .withColumn("flagged", F.coalesce(F.col("p_value") < P_VALUE_FLAG, F.lit(False)))
-        .select("column_name", "n_missing", "n_present", "rate_missing", "rate_present", "z", "p_value", "flagged")
+        .withColumn("flagged", F.expr(f"coalesce(p_value < {P_VALUE_FLAG}, false)"))
     )
 
 
@@ -117,31 +106,27 @@ def missingness_correlation(patterns: DataFrame, columns: Sequence[str]) -> Data
     Pairs with a constant indicator have no correlation and do not count.
     """
     size = range(len(columns))
-    pairs = [(i, j) for i in size for j in size if i < j]
+    alone = ", ".join(sql.total("n", _bit(i)) for i in size)
+    both = ", ".join(
+        "array(" + ", ".join(sql.total("n", f"{_bit(min(i, j))} AND {_bit(max(i, j))}") for j in size) + ")"
+        for i in size
+    )
     totals = patterns.agg(
-        _total("n").alias("rows"),
-        *[_total("n", _bit(i)).alias(f"m{i}") for i in size],
-        *[_total("n", _bit(i) & _bit(j)).alias(f"m{i}_{j}") for i, j in pairs],
+        F.expr(f"{sql.total('n')} AS rows"), F.expr(f"array({alone}) AS alone"), F.expr(f"array({both}) AS both")
     )
-
-    def phi(i: int, j: int) -> Column:
-        n = F.col("rows")
-        pi, pj = ratio(F.col(f"m{i}"), n), ratio(F.col(f"m{j}"), n)
-        both = ratio(F.col(f"m{min(i, j)}_{max(i, j)}"), n)
-        return F.abs(F.try_divide(both - pi * pj, F.sqrt(pi * (1 - pi) * pj * (1 - pj))))
-
-    return totals.select(
-        _rows(
-            [
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.array_max(F.array(*[phi(i, j) for j in size if j != i])).alias("max_abs_correlation"),
-                )
-                for i, c in enumerate(columns)
-            ]
-        )
+    shares = totals.selectExpr(
+        f"transform(alone, m -> {sql.ratio('m', 'rows')}) AS p",
+        f"transform(both, row -> transform(row, m -> {sql.ratio('m', 'rows')})) AS pp",
+    )
+    phi = "abs(try_divide(pp[i][j] - p[i] * p[j], sqrt(p[i] * (1 - p[i]) * p[j] * (1 - p[j]))))"
+    last = len(columns) - 1
+    strongest = f"array_max(transform(filter(sequence(0, {last}), j -> j <> i), j -> {phi}))"
+    names = ", ".join(sql.text(c) for c in columns)
+    return shares.selectExpr(
+        f"inline(transform(sequence(0, {last}), i -> named_struct("
+        f"'column_name', array({names})[i], 'max_abs_correlation', {strongest})))"
     ).withColumn(
-        "flagged", F.coalesce(F.col("max_abs_correlation") > MISSING_CORRELATION_FLAG, F.lit(False))
+        "flagged", F.expr(f"coalesce(max_abs_correlation > {MISSING_CORRELATION_FLAG}, false)")
     )
 
 
@@ -151,21 +136,19 @@ def _rates_by_level(levels: DataFrame, drivers: Sequence[str], columns: Sequence
     ``levels`` holds each driver already cut to a few levels. Rows are first counted per
     combination of all drivers, so what is expanded per driver and column is small.
     """
+    missing = [f"m{i}" for i in range(len(columns))]
     combined = levels.groupBy(*drivers).agg(
-        F.count("*").alias("n"), *[F.count_if(F.col(f"_{c}")).alias(f"m{i}") for i, c in enumerate(columns)]
+        F.count("*").alias("n"), *[F.expr(f"count_if({sql.name(f'_missing_{c}')}) AS m{i}") for i, c in enumerate(columns)]
     )
-    sides = F.array(*[F.struct(F.lit(d).alias("driver"), F.col(d).cast("double").alias("level")) for d in drivers])
-    missing = [f"m{i}" for i in range(len(columns))]
+    sides = sql.rows(sql.struct(driver=sql.text(d), level=f"CAST({sql.name(d)} AS DOUBLE)") for d in drivers)
     by_level = (
-        combined.select(F.inline(sides), "n", *missing)
+        combined.selectExpr(sides, "n", *missing)
         .where("level IS NOT NULL")
         .groupBy("driver", "level")
-        .agg(F.sum("n").alias("n_rows"), *[F.sum(m).alias(m) for m in missing])
-    )
-    long = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing")) for i, c in enumerate(columns)]
+        .agg(F.sum("n").alias("n_rows"), *[F.expr(f"sum({m}) AS {m}") for m in missing])
     )
-    return by_level.select("driver", "level", "n_rows", F.inline(long)).where("driver <> column_name")
+    long = sql.rows(sql.struct(column_name=sql.text(c), n_missing=f"m{i}") for i, c in enumerate(columns))
+    return by_level.selectExpr("driver", "level", "n_rows", long).where("driver <> column_name")
 
 
 def _spreads(rates: DataFrame) -> DataFrame:
@@ -182,12 +165,16 @@ def _spreads(rates: DataFrame) -> DataFrame:
     )
 
 
+def _missing_flags(columns: Sequence[str]) -> list[str]:
+    return [f"{sql.name(c)} IS NULL AS {sql.name(f'_missing_{c}')}" for c in columns]
+
+
 def missing_by_category(
     df: DataFrame, columns: Sequence[str], drivers: Sequence[str] = CATEGORICAL_DRIVERS
 ) -> DataFrame:
     """Spread of each column's missing rate over the levels of each categorical driver."""
     clean = nan_to_null(df.select(*dict.fromkeys([*columns, *drivers])))
-    levels = clean.select(*drivers, *[F.col(c).isNull().alias(f"_{c}") for c in columns])
+    levels = clean.selectExpr(*[sql.name(d) for d in drivers], *_missing_flags(columns))
     return _spreads(_rates_by_level(levels, drivers, columns))
 
 
@@ -200,9 +187,8 @@ def missing_by_quartile(
     """
     clean = nan_to_null(df.select(*dict.fromkeys([*columns, *drivers])))
     edges = quantile_edges(clean, drivers, 4)
-    levels = clean.select(
-        *[bin_index(F.col(d).cast("double"), edges[d]).alias(d) for d in drivers],
-        *[F.col(c).isNull().alias(f"_{c}") for c in columns],
+    levels = clean.selectExpr(
+        *[f"{sql.bin_index(sql.name(d), edges[d])} AS {sql.name(d)}" for d in drivers], *_missing_flags(columns)
     )
     return _spreads(_rates_by_level(levels, drivers, columns))
 
@@ -267,22 +253,19 @@ def missing_rate_guards(
     df: DataFrame, policies: Sequence[FillPolicy] = FRAUD_POLICIES, by: Sequence[Column] = ()
 ) -> DataFrame:
     """Missing rate against the ceiling per policy column, for the table or per group."""
-    clean = nan_to_null(df)
-    counts = [F.count_if(F.col(p.column).isNull()).alias(f"m{i}") for i, p in enumerate(policies)]
-    grouped = clean.groupBy(*by).agg(F.count("*").alias("n_rows"), *counts)
-    names = [c for c in grouped.columns if c not in {"n_rows", *(f"m{i}" for i in range(len(policies)))}]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(p.guard_name).alias("rule_name"),
-                F.lit(p.column).alias("column_name"),
-                F.col(f"m{i}").alias("n_missing"),
-                ratio(F.col(f"m{i}"), F.col("n_rows")).alias("missing_rate"),
-                F.lit(p.ceiling).alias("ceiling"),
-            )
-            for i, p in enumerate(policies)
-        ]
+    counts = [F.expr(f"count_if({sql.name(p.column)} IS NULL) AS m{i}") for i, p in enumerate(policies)]
+    grouped = nan_to_null(df).groupBy(*by).agg(F.count("*").alias("n_rows"), *counts)
+    keys = grouped.columns[: len(by)]
+    guards = sql.rows(
+        sql.struct(
+            rule_name=sql.text(p.guard_name),
+            column_name=sql.text(p.column),
+            n_missing=f"m{i}",
+            missing_rate=sql.ratio(f"m{i}", "n_rows"),
+            ceiling=sql.number(p.ceiling),
+        )
+        for i, p in enumerate(policies)
     )
-    return grouped.select(*names, "n_rows", F.inline(cells)).withColumn(
-        "passed", F.coalesce(F.col("missing_rate") <= F.col("ceiling"), F.lit(True))
+    return grouped.selectExpr(*[sql.name(k) for k in keys], "n_rows", guards).withColumn(
+        "passed", F.expr("coalesce(missing_rate <= ceiling, true)")
     )

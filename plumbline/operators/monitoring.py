@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions import sqltext as sql
 from plumbline.operators.ordering import running_totals
 
 # Histogram bucket boundaries in seconds; the last bucket is unbounded.
@@ -45,25 +46,19 @@ def served_counter(log: DataFrame, width: str) -> DataFrame:
     )
 
 
-def _cumulative_counts() -> list[Column]:
-    return [F.count_if(F.col("latency") <= edge).alias(f"le{i}") for i, edge in enumerate(LATENCY_EDGES)]
-
-
-def _bucket_rows() -> Column:
-    finite = [
-        F.struct(F.lit(edge).alias("le"), F.col(f"le{i}").alias("cumulative"))
-        for i, edge in enumerate(LATENCY_EDGES)
-    ]
-    unbounded = F.struct(F.lit(float("inf")).alias("le"), F.col("n").alias("cumulative"))
-    return F.array(*finite, unbounded)
+def _bucket_counts(log: DataFrame, keys: list[Column]) -> DataFrame:
+    """Observations per group, and how many of them lie at or below each boundary."""
+    below = [F.expr(f"count_if(latency <= {sql.number(edge)}) AS le{i}") for i, edge in enumerate(LATENCY_EDGES)]
+    return log.groupBy(*keys).agg(F.count("latency").alias("n"), *below)
 
 
 def latency_histogram(log: DataFrame, width: str | None = None) -> DataFrame:
     """Cumulative bucket counts; failed requests are observed too. Per window, or over all rows."""
     keys = [window_start(width)] if width else []
-    counts = log.groupBy(*keys).agg(F.count("latency").alias("n"), *_cumulative_counts())
+    buckets = [sql.struct(le=sql.number(edge), cumulative=f"le{i}") for i, edge in enumerate(LATENCY_EDGES)]
+    buckets.append(sql.struct(le=sql.number(float("inf")), cumulative="n"))
     names = ["window_start"] if width else []
-    return counts.select(*names, F.inline(_bucket_rows()))
+    return _bucket_counts(log, keys).selectExpr(*names, sql.rows(buckets))
 
 
 def bucket_quantile(log: DataFrame, quantile: float, width: str) -> DataFrame:
@@ -73,15 +68,14 @@ def bucket_quantile(log: DataFrame, quantile: float, width: str) -> DataFrame:
     linearly inside that bucket, which starts at 0 for the first one. In the unbounded bucket the
     highest finite boundary is returned. A window without observations has no quantile.
     """
-    counts = log.groupBy(window_start(width)).agg(F.count("latency").alias("n"), *_cumulative_counts())
-    rank = F.col("n") * F.lit(quantile)
-    value = F.lit(LATENCY_EDGES[-1])
-    for i in reversed(range(len(LATENCY_EDGES))):
-        low, high = (LATENCY_EDGES[i - 1] if i else 0.0), LATENCY_EDGES[i]
-        before = F.col(f"le{i - 1}") if i else F.lit(0)
-        share = F.try_divide(rank - before, (F.col(f"le{i}") - before).cast("double"))
-        value = F.when(F.col(f"le{i}") >= rank, F.lit(low) + F.lit(high - low) * share).otherwise(value)
-    return counts.select("window_start", "n", F.when(F.col("n") > 0, value).alias("latency_quantile"))
+    rank = f"(n * {sql.number(quantile)})"
+    branches, low, before = [], 0.0, "0"
+    for i, high in enumerate(LATENCY_EDGES):
+        share = sql.ratio(f"{rank} - {before}", f"le{i} - {before}")
+        branches.append((f"le{i} >= {rank}", f"{sql.number(low)} + {sql.number(high - low)} * {share}"))
+        low, before = high, f"le{i}"
+    value = sql.case([("n = 0", "NULL"), *branches], sql.number(LATENCY_EDGES[-1]))
+    return _bucket_counts(log, [window_start(width)]).selectExpr("window_start", "n", f"{value} AS latency_quantile")
 
 
 def rate_limit_summary(

@@ -14,19 +14,22 @@ import sys
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions import sqltext as sql
+
 DIRECT_ROWS = 200_000
 TOTAL_BUCKETS = 16_384
 READ_OFF_ROWS = 2_048
 LARGEST = sys.float_info.max
 
 
-def _finite(column: str) -> Column:
+def _finite(column: str) -> str:
     """The value as a double, infinities moved to the largest finite value of their sign."""
-    value = F.col(column).cast("double")
-    return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(LARGEST)), F.lit(-LARGEST)))
+    value = f"CAST({sql.name(column)} AS DOUBLE)"
+    clipped = f"greatest(least({value}, {sql.number(LARGEST)}), {sql.number(-LARGEST)})"
+    return f"if({sql.name(column)} IS NULL, NULL, {clipped})"
 
 
 def _restored(value: float) -> float:
@@ -54,11 +57,11 @@ class Profile:
 def profile(df: DataFrame, columns: Iterable[str]) -> dict[str, Profile]:
     """Row count, present count, minimum and maximum of every column, in one aggregation."""
     columns = list(columns)
-    aggs: list[Column] = [F.count("*").alias("rows")]
+    aggs = ["count(*) AS rows"]
     for i, c in enumerate(columns):
         value = _finite(c)
-        aggs += [F.count(c).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
+        aggs += [f"count({sql.name(c)}) AS n{i}", f"min({value}) AS lo{i}", f"max({value}) AS hi{i}"]
+    row = df.agg(*[F.expr(a) for a in aggs]).first()
     return {
         c: Profile(row["rows"], row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"])
         for i, c in enumerate(columns)
@@ -84,28 +87,26 @@ def _slotted(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
     cells = []
     for column, slots in by_column.items():
         value = _finite(column)
-        slot_of = F.lit(None).cast("int")
-        for slot, r in slots:
-            slot_of = F.when(value.between(r.low, r.high), F.lit(slot)).otherwise(slot_of)
-        cells.append(F.struct(slot_of.alias("slot"), value.alias("x")))
-    return df.select(F.inline(F.array(*cells))).where("slot IS NOT NULL")
+        slot = sql.case(
+            [(f"{value} BETWEEN {sql.number(r.low)} AND {sql.number(r.high)}", str(i)) for i, r in slots]
+        )
+        cells.append(sql.struct(slot=slot, x=value))
+    return df.selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
 
 
-def _per_slot(ranges: Sequence[_Range], pick) -> Column:
-    return F.element_at(F.array(*[F.lit(float(pick(r))) for r in ranges]), F.col("slot") + 1)
+def _per_slot(values: Iterable[float]) -> str:
+    return f"element_at(array({', '.join(sql.number(v) for v in values)}), slot + 1)"
 
 
 def _histogram(df: DataFrame, ranges: Sequence[_Range]) -> dict[int, list]:
     """Bucket counts with each bucket's own minimum and maximum, per range, in value order."""
     buckets = max(16, TOTAL_BUCKETS // len(ranges))
-
-    def scale(r: _Range) -> float:
-        return 1.0 if math.isfinite(r.high - r.low) else 0.5
-
-    low = _per_slot(ranges, lambda r: r.low * scale(r))
-    width = _per_slot(ranges, lambda r: r.high * scale(r) - r.low * scale(r))
-    share = (F.col("x") * _per_slot(ranges, scale) - low) / width
-    bucket = F.least(F.lit(buckets - 1), F.floor(share * buckets)).cast("int")
+    # Halved where the width of the range would not be a finite double.
+    scales = [1.0 if math.isfinite(r.high - r.low) else 0.5 for r in ranges]
+    low = _per_slot(r.low * k for r, k in zip(ranges, scales))
+    width = _per_slot(r.high * k - r.low * k for r, k in zip(ranges, scales))
+    share = f"(x * {_per_slot(scales)} - {low}) / {width}"
+    bucket = F.expr(f"CAST(least({buckets - 1}, floor({share} * {buckets})) AS INT)")
     counts = (
         _slotted(df, ranges)
         .groupBy("slot", bucket.alias("bucket"))
@@ -194,8 +195,10 @@ def exact_quantiles(
     if filled and max(profiles[c].present for c in filled) <= limit:
         row = df.agg(
             *[
-                F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probabilities[c]]))
-                .alias(f"q{i}")
+                F.expr(
+                    f"percentile(CAST({sql.name(c)} AS DOUBLE), "
+                    f"array({', '.join(sql.number(p) for p in probabilities[c])})) AS q{i}"
+                )
                 for i, c in enumerate(filled)
             ]
         ).first()

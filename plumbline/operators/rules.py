@@ -23,7 +23,8 @@ from plumbline.contract import (
     FillPolicy,
     TableContract,
 )
-from plumbline.functions.columns import count_true, nan_to_null, ratio
+from plumbline.functions import sqltext as sql
+from plumbline.functions.columns import nan_to_null
 
 RESULT_SCHEMA = (
     "position int, rule_name string, category string, passed boolean, n_invalid bigint, "
@@ -34,15 +35,20 @@ SCHEMA_RULES = ("required_columns", "datatypes", "no_unexpected_columns")
 
 @dataclass(frozen=True)
 class RowRule:
-    """Fails when any row satisfies ``violation``; missing values never do unless it says so."""
+    """Fails when any row satisfies ``violation``; missing values never do unless it says so.
+
+    The violation is SQL text, or a function from the column to a condition.
+    """
 
     name: str
     column: str
-    violation: Callable[[Column], Column]
+    violation: str | Callable[[Column], Column]
     says: str
 
     def broken(self) -> Column:
-        return F.coalesce(self.violation(F.col(self.column)), F.lit(False))
+        if callable(self.violation):
+            return F.coalesce(self.violation(F.col(self.column)), F.lit(False))
+        return F.expr(f"coalesce({self.violation}, false)")
 
 
 @dataclass(frozen=True)
@@ -76,20 +82,16 @@ Rule = RowRule | SizeRule | RateRule | DuplicateRule
 
 
 def range_rule(spec: ColumnSpec) -> RowRule:
-    low, high = spec.minimum, spec.maximum
-
-    def outside(c: Column) -> Column:
-        checks = ([c < F.lit(low)] if low is not None else []) + ([c > F.lit(high)] if high is not None else [])
-        return checks[0] if len(checks) == 1 else checks[0] | checks[1]
-
+    low, high, c = spec.minimum, spec.maximum, sql.name(spec.name)
+    sides = ([f"{c} < {low}"] if low is not None else []) + ([f"{c} > {high}"] if high is not None else [])
     bounds = f"below {low:g}" if high is None else f"outside {low:g} to {high:g}"
-    return RowRule(spec.rule_name, spec.name, outside, bounds)
+    return RowRule(spec.rule_name, spec.name, " OR ".join(sides), bounds)
 
 
 def member_rule(spec: ColumnSpec) -> MemberRule:
-    allowed = list(spec.allowed)
-    text = ", ".join(f"{v:g}" for v in allowed)
-    return MemberRule(spec.rule_name, spec.name, lambda c: ~c.isin(allowed), f"not one of {text}")
+    allowed = ", ".join(f"{v:g}" for v in spec.allowed)
+    violation = f"{sql.name(spec.name)} NOT IN ({allowed})"
+    return MemberRule(spec.rule_name, spec.name, violation, f"not one of {allowed}")
 
 
 @dataclass
@@ -104,7 +106,9 @@ class RuleBook:
             raise ValueError(f"a rule named {rule.name} is already registered")
         self.rules.append(rule)
 
-    def register_rule(self, name: str, column: str, violation: Callable[[Column], Column], says: str = "invalid") -> None:
+    def register_rule(
+        self, name: str, column: str, violation: str | Callable[[Column], Column], says: str = "invalid"
+    ) -> None:
         self.register(RowRule(name, column, violation, says))
 
     def names(self) -> list[str]:
@@ -128,7 +132,7 @@ def rule_book(
     if order is None:
         order = FEATURE_RULE_ORDER if contract is FRAUD_CONTRACT else contract.names
     book = RuleBook(contract)
-    book.register(RowRule(label_rule, contract.label, lambda c: c.isNull(), "missing"))
+    book.register(RowRule(label_rule, contract.label, f"{sql.name(contract.label)} IS NULL", "missing"))
     book.register(SizeRule("minimum_size", contract.min_rows))
     for policy in policies:
         book.register(RateRule(policy))
@@ -203,56 +207,53 @@ def _measure(rule: Rule) -> Column:
     if isinstance(rule, RowRule):
         return F.count_if(rule.broken())
     if isinstance(rule, RateRule):
-        return F.count_if(F.col(rule.policy.column).isNull())
-    return F.count("*")
+        return F.expr(f"count_if({sql.name(rule.policy.column)} IS NULL)")
+    return F.expr("count(*)")
 
 
-def _result(rule: Rule, position: int, measured: Column, rows: Column) -> Column:
+def _result(rule: Rule, position: int, measured: str) -> str:
+    """SQL text of a rule's result row, given the name of what was measured for it."""
+    n_invalid, passed = measured, f"{measured} = 0"
     if isinstance(rule, SizeRule):
-        n_invalid = F.greatest(F.lit(rule.min_rows) - rows, F.lit(0))
-        passed = n_invalid == 0
-        message = F.format_string(f"%d rows, at least {rule.min_rows} are required", rows)
+        n_invalid = f"greatest({rule.min_rows} - rows, 0)"
+        passed = f"rows >= {rule.min_rows}"
+        message = f"concat(rows, {sql.text(f' rows, at least {rule.min_rows} are required')})"
     elif isinstance(rule, RateRule):
-        policy = rule.policy
-        n_invalid = measured
-        rate = ratio(measured, rows)
+        policy, rate = rule.policy, sql.ratio(measured, "rows")
         # Over an empty table the rate is undefined and the guard does not fire.
-        passed = F.coalesce(rate <= F.lit(policy.ceiling), F.lit(True))
-        message = F.format_string(
+        passed = f"coalesce({rate} <= {sql.number(policy.ceiling)}, true)"
+        says = (
             f"{policy.column}: missing rate %.1f%% is above the ceiling of {policy.ceiling * 100:.0f}%%; "
-            f"{policy.strategy} filling was validated at about {policy.validated_rate * 100:.0f}%%",
-            rate * 100,
+            f"{policy.strategy} filling was validated at about {policy.validated_rate * 100:.0f}%%"
         )
+        message = f"format_string({sql.text(says)}, {rate} * 100)"
+    elif isinstance(rule, DuplicateRule):
+        message = f"concat({measured}, ' rows repeat an earlier row in full')"
     else:
-        n_invalid = measured
-        passed = measured == 0
-        message = F.concat(measured.cast("string"), F.lit(f" rows where {rule.column} is {rule.says}"))
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(rule.name).alias("rule_name"),
-        F.lit("core").alias("category"),
-        passed.alias("passed"),
-        n_invalid.cast("bigint").alias("n_invalid"),
-        F.when(passed, F.array().cast("array<string>")).otherwise(F.array(message)).alias("errors"),
+        message = f"concat({measured}, {sql.text(f' rows where {rule.column} is {rule.says}')})"
+    return sql.struct(
+        position=str(position),
+        rule_name=sql.text(rule.name),
+        category="'core'",
+        passed=passed,
+        n_invalid=f"CAST({n_invalid} AS BIGINT)",
+        errors=f"if({passed}, CAST(array() AS ARRAY<STRING>), array({message}))",
     )
 
 
+def _positions(book: RuleBook) -> dict[str, int]:
+    return {name: len(SCHEMA_RULES) + i for i, name in enumerate(book.names())}
+
+
 def fused_results(df: DataFrame, book: RuleBook) -> DataFrame:
     """Results of every rule except duplicates, from one aggregation over one scan."""
-    positions = {name: len(SCHEMA_RULES) + i for i, name in enumerate(book.names())}
-    rules = [r for r in book.rules if not isinstance(r, DuplicateRule)]
+    positions = _positions(book)
+    fused = [r for r in book.rules if not isinstance(r, DuplicateRule)]
     measured = df.agg(
-        F.count("*").alias("rows"), *[_measure(r).alias(f"m{i}") for i, r in enumerate(rules)]
+        F.expr("count(*) AS rows"), *[_measure(r).alias(f"m{i}") for i, r in enumerate(fused)]
     )
-    return measured.select(
-        F.inline(
-            F.array(
-                *[
-                    _result(r, positions[r.name], F.col(f"m{i}"), F.col("rows"))
-                    for i, r in enumerate(rules)
-                ]
-            )
-        )
+    return measured.selectExpr(
+        sql.rows(_result(r, positions[r.name], f"m{i}") for i, r in enumerate(fused))
     )
 
 
@@ -274,17 +275,8 @@ def repeated_rows(df: DataFrame) -> DataFrame:
 
 
 def duplicate_result(df: DataFrame, book: RuleBook, rule: DuplicateRule) -> DataFrame:
-    position = len(SCHEMA_RULES) + book.names().index(rule.name)
-    n = F.col("n_repeated")
-    message = F.format_string("%d rows repeat an earlier row in full", n)
-    return repeated_rows(df).select(
-        F.lit(position).alias("position"),
-        F.lit(rule.name).alias("rule_name"),
-        F.lit("core").alias("category"),
-        (n == 0).alias("passed"),
-        n.alias("n_invalid"),
-        F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array(message)).alias("errors"),
-    )
+    position = _positions(book)[rule.name]
+    return repeated_rows(df).selectExpr(sql.rows([_result(rule, position, "n_repeated")]))
 
 
 def data_results(df: DataFrame, book: RuleBook) -> DataFrame:
@@ -312,67 +304,68 @@ def rule_results(df: DataFrame, book: RuleBook, integers_as_floats: bool = False
 def offending_values(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """Every distinct offending value of the given rules with its row count (rule_name, value, n_rows)."""
     clean = nan_to_null(df.select(*dict.fromkeys(r.column for r in rules)))
-    cells = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    r.broken(),
-                    F.struct(F.lit(r.name).alias("rule_name"), F.col(r.column).cast("double").alias("value")),
-                )
-                for r in rules
-            ]
-        )
+    flagged = clean.select("*", *[r.broken().alias(f"_broken{i}") for i, r in enumerate(rules)])
+    cells = [
+        f"if(_broken{i}, {sql.struct(rule_name=sql.text(r.name), value=f'CAST({sql.name(r.column)} AS DOUBLE)')}, NULL)"
+        for i, r in enumerate(rules)
+    ]
+    return (
+        flagged.selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
+        .groupBy("rule_name", "value")
+        .agg(F.count("*").alias("n_rows"))
     )
-    return clean.select(F.inline(cells)).groupBy("rule_name", "value").agg(F.count("*").alias("n_rows"))
 
 
-def violated_rules(book: RuleBook, required: Sequence[str] = ()) -> Column:
-    """Names of the row rules a row breaks, in rule order, followed by missing required columns."""
-    broken = [F.when(r.broken(), F.lit(r.name)) for r in book.row_rules()]
-    absent = [F.when(F.col(c).isNull(), F.lit(f"{c}_required")) for c in required]
-    return F.array_compact(F.array(*broken, *absent))
+def with_violations(df: DataFrame, book: RuleBook, required: Sequence[str] = ()) -> DataFrame:
+    """Adds the names of the row rules a row breaks, in rule order, then of missing required columns."""
+    row_rules = book.row_rules()
+    flagged = df.select("*", *[r.broken().alias(f"_broken{i}") for i, r in enumerate(row_rules)])
+    names = [f"if(_broken{i}, {sql.text(r.name)}, NULL)" for i, r in enumerate(row_rules)]
+    names += [f"if({sql.name(c)} IS NULL, {sql.text(f'{c}_required')}, NULL)" for c in required]
+    kept = [sql.name(c) for c in df.columns]
+    return flagged.selectExpr(*kept, f"array_compact(array({', '.join(names)})) AS violations")
 
 
 def quarantine(df: DataFrame, book: RuleBook) -> DataFrame:
     """Every row with the rules it breaks; split on ``size(violations) = 0``."""
-    return nan_to_null(df).withColumn("violations", violated_rules(book))
+    return with_violations(nan_to_null(df), book)
 
 
 # --- text-landed input -----------------------------------------------------------------------
 
 
-def typed_cell(text: Column, spec: ColumnSpec, null_tokens: Sequence[str]) -> Column:
-    """The cell as its contract type, null for a null token or text that does not convert."""
-    token = F.trim(text)
-    value = token.try_cast(SQL_TYPES[spec.logical_type])
+def _token(column: str) -> str:
+    return f"trim({sql.name(column)})"
+
+
+def _absent(column: str, null_tokens: Sequence[str]) -> str:
+    token = _token(column)
+    return f"({token} IS NULL OR {token} IN ({', '.join(sql.text(t) for t in null_tokens)}))"
+
+
+def typed_cell(spec: ColumnSpec, null_tokens: Sequence[str]) -> str:
+    """SQL text of a text cell as its contract type: null for a null token or text that does not
+    convert."""
+    value = f"try_cast({_token(spec.name)} AS {SQL_TYPES[spec.logical_type]})"
     if spec.logical_type == "float":
-        value = F.when(~F.isnan(value), value)
-    return F.when(~token.isin(list(null_tokens)), value)
+        value = f"nanvl({value}, CAST(NULL AS DOUBLE))"
+    return f"if({_absent(spec.name, null_tokens)}, NULL, {value})"
 
 
 def type_conformance(df: DataFrame, contract: TableContract, null_tokens: Sequence[str]) -> DataFrame:
     """Per contract column of a text table: missing cells, and cells that do not convert."""
-    aggs = []
+    counts, results = [], []
     for i, spec in enumerate(contract.columns):
-        token = F.trim(F.col(spec.name))
-        absent = token.isNull() | token.isin(list(null_tokens))
-        aggs += [
-            F.count_if(absent).alias(f"a{i}"),
-            count_true(~absent & token.try_cast(SQL_TYPES[spec.logical_type]).isNull()).alias(f"b{i}"),
-        ]
-    return df.agg(*aggs).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(spec.name).alias("column_name"),
-                        F.lit(spec.logical_type).alias("expected_type"),
-                        F.col(f"a{i}").alias("n_missing"),
-                        F.col(f"b{i}").alias("n_nonconforming"),
-                        (F.col(f"b{i}") == 0).alias("passed"),
-                    )
-                    for i, spec in enumerate(contract.columns)
-                ]
+        absent = _absent(spec.name, null_tokens)
+        value = f"try_cast({_token(spec.name)} AS {SQL_TYPES[spec.logical_type]})"
+        counts += [f"count_if({absent}) AS a{i}", f"count_if(NOT {absent} AND {value} IS NULL) AS b{i}"]
+        results.append(
+            sql.struct(
+                column_name=sql.text(spec.name),
+                expected_type=sql.text(spec.logical_type),
+                n_missing=f"a{i}",
+                n_nonconforming=f"b{i}",
+                passed=f"b{i} = 0",
             )
         )
-    )
+    return df.agg(*[F.expr(c) for c in counts]).selectExpr(sql.rows(results))

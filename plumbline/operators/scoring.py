@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.contract import CATEGORICAL_FEATURES, FRAUD_CONTRACT, NUMERIC_FEATURES
+from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null
-from plumbline.operators.features import Preprocessor, quote, transform
-from plumbline.operators.rules import RuleBook, range_rule, violated_rules
+from plumbline.operators.features import Preprocessor, transform
+from plumbline.operators.rules import RuleBook, range_rule, with_violations
 
 REQUEST_FIELDS = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 THRESHOLD = 0.5
@@ -30,7 +31,7 @@ def request_rules() -> RuleBook:
 
 def check_requests(df: DataFrame) -> DataFrame:
     """Every request with the rules it breaks; all twelve fields must be present."""
-    return nan_to_null(df).withColumn("violations", violated_rules(request_rules(), REQUEST_FIELDS))
+    return with_violations(nan_to_null(df), request_rules(), REQUEST_FIELDS)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 
 def feature_vector(names: Sequence[str]) -> Column:
-    return array_to_vector(F.array(*[F.col(quote(n)) for n in names]))
+    return array_to_vector(F.expr(f"array({', '.join(sql.name(n) for n in names)})"))
 
 
 def with_features(processed: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:

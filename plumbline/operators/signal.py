@@ -6,28 +6,30 @@ shuffled is a few counts per feature, whatever the table size.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.contract import CORRELATION_FLAG, LABEL_SPREAD_FLAG, MUTUAL_INFORMATION_FLAG
-from plumbline.functions.columns import bin_index, nan_to_null, ratio
+from plumbline.functions import sqltext as sql
+from plumbline.functions.columns import nan_to_null, ratio
 from plumbline.operators.ordering import BUCKET, range_bucketed
-from plumbline.operators.quantiles import exact_quantiles, quantile_edges
+from plumbline.operators.quantiles import Profile, exact_quantiles, profile, quantile_edges
 
 CATEGORY_LIMIT = 10
 SURE_ESTIMATE = 50
 
 
-def level_text(df: DataFrame, column: str) -> Column:
+def level_text(df: DataFrame, column: str) -> str:
     """A categorical value as text; numbers all in the same notation."""
     if isinstance(df.schema[column].dataType, T.NumericType):
-        return (F.col(column).cast("double") + F.lit(0.0)).cast("string")
-    return F.col(column).cast("string")
+        return f"CAST(CAST({sql.name(column)} AS DOUBLE) + 0D AS STRING)"
+    return f"CAST({sql.name(column)} AS STRING)"
 
 
 def _features(df: DataFrame, label: str) -> list[str]:
@@ -41,12 +43,16 @@ def category_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, int | Non
     exactly, and those have so few values that the map side reduces them to almost nothing.
     """
     clean = nan_to_null(df.select(*columns))
-    estimates = clean.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
-    close = [c for c in columns if estimates[c] <= SURE_ESTIMATE]
+    sketches = [
+        f"hll_sketch_estimate(hll_sketch_agg(if({sql.name(c)} IS NULL, NULL, xxhash64({sql.name(c)})), 10)) AS {sql.name(c)}"
+        for c in columns
+    ]
+    estimates = clean.agg(*[F.expr(s) for s in sketches]).first()
+    close = [c for c in columns if (estimates[c] or 0) <= SURE_ESTIMATE]
     sizes: dict[str, int | None] = {c: None for c in columns}
     if close:
-        cells = F.array(*[F.struct(F.lit(c).alias("c"), level_text(clean, c).alias("v")) for c in close])
-        counts = clean.select(F.inline(cells)).where("v IS NOT NULL").distinct().groupBy("c").count()
+        cells = sql.rows(sql.struct(c=sql.text(c), v=level_text(clean, c)) for c in close)
+        counts = clean.selectExpr(cells).where("v IS NOT NULL").distinct().groupBy("c").count()
         found = {r["c"]: r["count"] for r in counts.collect()}
         for c in close:
             n = found.get(c, 0)
@@ -69,23 +75,31 @@ def role_table(df: DataFrame, label: str) -> DataFrame:
 def label_correlation(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation with the label over rows where both are present; null if constant."""
     clean = nan_to_null(df.select(*columns, label))
-    y = F.col(label).cast("double")
+    y = f"CAST({sql.name(label)} AS DOUBLE)"
+    measured = []
+    for i, c in enumerate(columns):
+        x = f"if({y} IS NULL, NULL, CAST({sql.name(c)} AS DOUBLE))"
+        seen = f"if({sql.name(c)} IS NULL, NULL, {y})"
+        measured.append(f"try_divide(covar_pop({x}, {seen}), stddev_pop({x}) * stddev_pop({seen})) AS r{i}")
+    return (
+        clean.agg(*[F.expr(m) for m in measured])
+        .selectExpr(sql.rows(sql.struct(feature=sql.text(c), correlation=f"r{i}") for i, c in enumerate(columns)))
+        .withColumn("flagged", F.expr(f"coalesce(abs(correlation) >= {CORRELATION_FLAG}, false)"))
+    )
 
-    def correlation(c: str) -> Column:
-        x = F.when(y.isNotNull(), F.col(c).cast("double"))
-        y_seen = F.when(F.col(c).isNotNull(), y)
-        return F.try_divide(F.covar_pop(x, y_seen), F.stddev_pop(x) * F.stddev_pop(y_seen))
 
-    measured = clean.agg(*[correlation(c).alias(f"r{i}") for i, c in enumerate(columns)])
-    rows = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("correlation")) for i, c in enumerate(columns)]
-    )
-    return measured.select(F.inline(rows)).withColumn(
-        "flagged", F.coalesce(F.abs("correlation") >= CORRELATION_FLAG, F.lit(False))
-    )
+def _labelled(df: DataFrame, label: str, columns: Iterable[str]) -> DataFrame:
+    return nan_to_null(df.select(*columns, label)).where(F.col(label).isNotNull())
 
 
-def mutual_information(df: DataFrame, label: str, roles: Mapping[str, str], bins: int = 10) -> DataFrame:
+def mutual_information(
+    df: DataFrame,
+    label: str,
+    roles: Mapping[str, str],
+    bins: int = 10,
+    profiles: Mapping[str, Profile] | None = None,
+    medians: Mapping[str, float | None] | None = None,
+) -> DataFrame:
     """Mutual information with the label in nats, from counts.
 
     Missing values are filled with the median; numeric features are cut into equal-frequency
@@ -94,57 +108,54 @@ def mutual_information(df: DataFrame, label: str, roles: Mapping[str, str], bins
     """
     features = list(roles)
     numeric = [c for c in features if roles[c] == "numeric"]
-    clean = nan_to_null(df.select(*features, label)).where(F.col(label).isNotNull())
-    medians = exact_quantiles(clean, {c: [0.5] for c in features})
-    filled = clean.select(
-        label,
+    clean = _labelled(df, label, features)
+    profiles = profiles or profile(clean, features)
+    if medians is None:
+        middles = exact_quantiles(clean, {c: [0.5] for c in features}, profiles)
+        medians = {c: q[0] if q else None for c, q in middles.items()}
+    filled = clean.selectExpr(
+        f"{sql.name(label)} AS y",
         *[
-            F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0] if medians[c] else 0.0)).alias(c)
+            f"coalesce(CAST({sql.name(c)} AS DOUBLE), {sql.number(medians[c] or 0.0)}) AS {sql.name(c)}"
             for c in features
         ],
     )
-    edges = quantile_edges(filled, numeric, bins)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                (F.coalesce(bin_index(F.col(c), edges[c]), F.lit(0)) if c in edges else F.col(c))
-                .cast("double")
-                .alias("level"),
-            )
-            for c in features
-        ]
-    )
-    counts = (
-        filled.select(F.col(label).alias("y"), F.inline(cells))
-        .groupBy("feature", "level", "y")
-        .agg(F.count("*").alias("n"))
+    # Filling with a median moves neither end of a column's range.
+    complete = {c: replace(p, present=p.rows) if p.present else p for c, p in profiles.items()}
+    edges = quantile_edges(filled, numeric, bins, complete)
+    cells = sql.rows(
+        sql.struct(
+            feature=sql.text(c),
+            level=f"CAST(coalesce({sql.bin_index(sql.name(c), edges[c])}, 0) AS DOUBLE)" if c in edges else sql.name(c),
+        )
+        for c in features
     )
+    counts = filled.selectExpr("y", cells).groupBy("feature", "level", "y").agg(F.count("*").alias("n"))
     # From here on there are a few dozen rows per feature.
-    total = F.sum("n").over(Window.partitionBy("feature"))
-    at_level = F.sum("n").over(Window.partitionBy("feature", "level"))
-    at_class = F.sum("n").over(Window.partitionBy("feature", "y"))
-    shares = counts.select(
-        "feature", "level", "y", F.col("n").cast("double").alias("n"),
-        total.cast("double").alias("all"), at_level.cast("double").alias("nx"), at_class.cast("double").alias("ny"),
+    shares = counts.selectExpr(
+        "feature",
+        "level",
+        "y",
+        "CAST(n AS DOUBLE) AS n",
+        "CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS total",
+        "CAST(sum(n) OVER (PARTITION BY feature, level) AS DOUBLE) AS nx",
+        "CAST(sum(n) OVER (PARTITION BY feature, y) AS DOUBLE) AS ny",
     )
     return (
         shares.groupBy("feature")
         .agg(
-            F.sum(F.col("n") / F.col("all") * F.log(F.col("n") * F.col("all") / (F.col("nx") * F.col("ny")))).alias("mi"),
-            F.count_distinct("level").alias("n_bins"),
-            F.count_distinct("y").alias("n_classes"),
-            F.max("all").alias("all"),
+            F.expr("sum(n / total * ln(n * total / (nx * ny))) AS mi"),
+            F.expr("count(DISTINCT level) AS n_bins"),
+            F.expr("count(DISTINCT y) AS n_classes"),
+            F.expr("max(total) AS total"),
         )
-        .select(
+        .selectExpr(
             "feature",
             "n_bins",
-            F.greatest(F.col("mi"), F.lit(0.0)).alias("mutual_information"),
-            F.greatest(
-                F.col("mi") - (F.col("n_bins") - 1) * (F.col("n_classes") - 1) / (2 * F.col("all")), F.lit(0.0)
-            ).alias("corrected"),
+            "greatest(mi, 0D) AS mutual_information",
+            "greatest(mi - (n_bins - 1) * (n_classes - 1) / (2 * total), 0D) AS corrected",
         )
-        .withColumn("flagged", F.col("corrected") >= MUTUAL_INFORMATION_FLAG)
+        .withColumn("flagged", F.expr(f"corrected >= {MUTUAL_INFORMATION_FLAG}"))
     )
 
 
@@ -159,26 +170,35 @@ def _label_spread(levels: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def decile_rates(df: DataFrame, label: str, columns: Sequence[str], bins: int = 10) -> DataFrame:
+def decile_rates(
+    df: DataFrame,
+    label: str,
+    columns: Sequence[str],
+    bins: int = 10,
+    edges: Mapping[str, Sequence[float]] | None = None,
+) -> DataFrame:
     """(feature, level, n, positives) per equal-frequency bin, rows missing either value left out."""
-    clean = nan_to_null(df.select(*columns, label)).where(F.col(label).isNotNull())
-    edges = quantile_edges(clean, columns, bins)
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), bin_index(F.col(c).cast("double"), edges[c]).alias("level"))
-            for c in columns
-        ]
+    clean = _labelled(df, label, columns)
+    edges = edges or quantile_edges(clean, columns, bins)
+    cells = sql.rows(
+        sql.struct(feature=sql.text(c), level=sql.bin_index(sql.name(c), edges[c])) for c in columns
     )
     return (
-        clean.select(F.col(label).alias("y"), F.inline(cells))
+        clean.selectExpr(f"{sql.name(label)} AS y", cells)
         .where("level IS NOT NULL")
         .groupBy("feature", "level")
         .agg(F.count("*").alias("n"), F.sum("y").cast("bigint").alias("positives"))
     )
 
 
-def decile_spread(df: DataFrame, label: str, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    return _label_spread(decile_rates(df, label, columns, bins), ["feature"])
+def decile_spread(
+    df: DataFrame,
+    label: str,
+    columns: Sequence[str],
+    bins: int = 10,
+    edges: Mapping[str, Sequence[float]] | None = None,
+) -> DataFrame:
+    return _label_spread(decile_rates(df, label, columns, bins, edges), ["feature"])
 
 
 def _category_counts(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
@@ -191,10 +211,10 @@ def _category_counts(df: DataFrame, label: str, columns: Sequence[str]) -> DataF
 
 def category_rates(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """(feature, level, n, positives) per value of each categorical feature."""
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), level_text(df, c).alias("level")) for c in columns])
+    cells = sql.rows(sql.struct(feature=sql.text(c), level=level_text(df, c)) for c in columns)
     return (
         _category_counts(df, label, columns)
-        .select("n", "positives", F.inline(cells))
+        .selectExpr("n", "positives", cells)
         .where("level IS NOT NULL")
         .groupBy("feature", "level")
         .agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
@@ -217,20 +237,15 @@ def category_spread(df: DataFrame, label: str, columns: Sequence[str]) -> DataFr
 
 def interaction_cells(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Label counts per cell of every pair of categorical features."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("feature_a"),
-                F.lit(b).alias("feature_b"),
-                level_text(df, a).alias("level_a"),
-                level_text(df, b).alias("level_b"),
-            )
-            for a, b in combinations(columns, 2)
-        ]
+    cells = sql.rows(
+        sql.struct(
+            feature_a=sql.text(a), feature_b=sql.text(b), level_a=level_text(df, a), level_b=level_text(df, b)
+        )
+        for a, b in combinations(columns, 2)
     )
     return (
         _category_counts(df, label, columns)
-        .select("n", "positives", F.inline(cells))
+        .selectExpr("n", "positives", cells)
         .where("level_a IS NOT NULL AND level_b IS NOT NULL")
         .groupBy("feature_a", "feature_b", "level_a", "level_b")
         .agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
@@ -319,10 +334,17 @@ def signal_checks(df: DataFrame, label: str, roles: Mapping[str, str] | None = N
             "feature", F.lit(check).alias("check_name"), F.col(statistic).alias("statistic"), "flagged"
         )
 
-    parts = [shaped(mutual_information(df, label, roles), "mutual_information", "corrected")]
+    clean = _labelled(df, label, roles)
+    profiles = profile(clean, roles)
+    deciles = [i / 10 for i in range(11)]
+    found = exact_quantiles(clean, {c: deciles if roles[c] == "numeric" else [0.5] for c in roles}, profiles)
+    medians = {c: q[len(q) // 2] if q else None for c, q in found.items()}
+    edges = {c: sorted(set(found[c] or [])) for c in numeric}
+    information = mutual_information(df, label, roles, profiles=profiles, medians=medians)
+    parts = [shaped(information, "mutual_information", "corrected")]
     if numeric:
         parts.append(shaped(label_correlation(df, label, numeric), "correlation", "correlation"))
-        parts.append(shaped(decile_spread(df, label, numeric), "decile_spread", "spread"))
+        parts.append(shaped(decile_spread(df, label, numeric, edges=edges), "decile_spread", "spread"))
     if categorical:
         spread = _label_spread(category_rates(df, label, categorical), ["feature"])
         parts.append(shaped(spread, "category_spread", "spread"))

@@ -21,6 +21,7 @@ from plumbline.contract import (
     NUMERIC_FEATURES,
     policy_for,
 )
+from plumbline.functions import sqltext as sql
 from plumbline.operators import (
     expectations,
     features,
@@ -63,7 +64,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six digits: statistics are compared across engines."""
-    return df.select(*[F.round(c, DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.selectExpr(*[f"round(`{c}`, {DIGITS}) AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes])
 
 
 def clock(column: str = "window_start") -> Column:
@@ -88,14 +89,22 @@ def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     return table.select(KEY, *[c for c in FRAUD_CONTRACT.names if c != "is_fraud"], F.col(label))
 
 
-def per_label(build: Callable[[DataFrame, str], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+def per_label(
+    build: Callable[[DataFrame, str, dict[str, str]], DataFrame], spark: SparkSession, sf_dir: str
+) -> DataFrame:
+    """The same check for both labels; feature roles do not depend on the label."""
+    roles = signal.infer_roles(clean(spark, sf_dir).drop(KEY), "is_fraud")
     parts = [
-        build(labelled(spark, sf_dir, label).drop(KEY), label).select(F.lit(label).alias("label"), "*")
+        build(labelled(spark, sf_dir, label).drop(KEY), label, roles).select(F.lit(label).alias("label"), "*")
         for label in LABELS
     ]
     return rounded(reduce(DataFrame.unionByName, parts))
 
 
+def of_role(roles: dict[str, str], role: str) -> list[str]:
+    return [c for c, found in roles.items() if found == role]
+
+
 def built(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]) -> object:
     return Workspace.of(spark).once((name, sf_dir, tx.transaction_path(spark, sf_dir)), build)
 
@@ -155,9 +164,9 @@ def text_landing(spark: SparkSession, sf_dir: str) -> str:
 
     def build() -> str:
         path = Workspace.of(spark).new_path("landing")
-        token = F.element_at(F.array(*[F.lit(t) for t in ("", "NA", "NaN", "null")]), (F.col(KEY) % 4 + 1).cast("int"))
-        cells = [F.coalesce(F.col(c).cast("string"), token).alias(c) for c in FRAUD_CONTRACT.names]
-        text = clean(spark, sf_dir).select(KEY, *cells)
+        token = f"element_at(array('', 'NA', 'NaN', 'null'), CAST({KEY} % 4 + 1 AS INT))"
+        cells = [f"coalesce(CAST({c} AS STRING), {token}) AS {c}" for c in FRAUD_CONTRACT.names]
+        text = clean(spark, sf_dir).selectExpr(KEY, *cells)
         garbled = F.when(F.col(KEY) % 1000 == 7, F.lit("bad")).otherwise(F.col("network_quality"))
         text.withColumn("network_quality", garbled).write.option("header", "true").csv(path)
         return path
@@ -316,8 +325,8 @@ def schema_findings(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
     """The findings of one schema rule, with the rows of the table they apply to."""
     df = broken_schema(spark, sf_dir)
     found = next(r for r in rules.schema_results(df, FRAUD_CONTRACT) if r[1] == rule)
-    cells = F.array(*[F.struct(F.lit(rule).alias("rule_name"), F.lit(e).alias("error")) for e in found[5]])
-    return df.agg(F.count("*").alias("n_rows")).select("n_rows", F.inline(cells))
+    errors = sql.rows(sql.struct(rule_name=sql.text(rule), error=sql.text(e)) for e in found[5])
+    return df.agg(F.count("*").alias("n_rows")).selectExpr("n_rows", errors)
 
 
 QUERIES["schema_required"] = partial(schema_findings, rule="required_columns")
@@ -372,7 +381,7 @@ def rule_results_accounts(spark, sf_dir):
     """The same rule compiler on tables with other columns, with rules registered by the caller."""
     checks = {
         "customer": [
-            ("c_acctbal_non_negative", "c_acctbal", lambda c: c < 0),
+            ("c_acctbal_non_negative", "c_acctbal", "c_acctbal < 0"),
             ("c_nationkey_valid", "c_nationkey", lambda c: ~c.between(0, 24)),
             ("c_name_present", "c_name", lambda c: c.isNull()),
         ],
@@ -517,38 +526,32 @@ def role_inference(spark, sf_dir):
     return signal.role_table(clean(spark, sf_dir).drop(KEY), "is_fraud")
 
 
-def _role_split(df: DataFrame, label: str) -> tuple[list[str], list[str]]:
-    roles = signal.infer_roles(df, label)
-    return [c for c in roles if roles[c] == "numeric"], [c for c in roles if roles[c] == "categorical"]
-
-
 @query("label_correlation")
 def label_correlation(spark, sf_dir):
-    return per_label(lambda df, y: signal.label_correlation(df, y, _role_split(df, y)[0]), spark, sf_dir)
+    return per_label(lambda df, y, r: signal.label_correlation(df, y, of_role(r, "numeric")), spark, sf_dir)
 
 
 @query("mutual_information")
 def mutual_information(spark, sf_dir):
-    return per_label(lambda df, y: signal.mutual_information(df, y, signal.infer_roles(df, y)), spark, sf_dir)
+    return per_label(lambda df, y, r: signal.mutual_information(df, y, r), spark, sf_dir)
 
 
 @query("decile_spread")
 def decile_spread(spark, sf_dir):
-    return per_label(lambda df, y: signal.decile_spread(df, y, _role_split(df, y)[0]), spark, sf_dir)
+    return per_label(lambda df, y, r: signal.decile_spread(df, y, of_role(r, "numeric")), spark, sf_dir)
 
 
 @query("category_spread")
 def category_spread(spark, sf_dir):
-    return per_label(
-        lambda df, y: signal.category_spread(df, y, _role_split(df, y)[1]).drop("rates_by_level"), spark, sf_dir
-    )
+    def spread(df, y, roles):
+        return signal.category_spread(df, y, of_role(roles, "categorical")).drop("rates_by_level")
+
+    return per_label(spread, spark, sf_dir)
 
 
 @query("interaction_spread")
 def interaction_spread(spark, sf_dir):
-    return per_label(
-        lambda df, y: signal.interaction_spread(df, y, _role_split(df, y)[1]), spark, sf_dir
-    )
+    return per_label(lambda df, y, r: signal.interaction_spread(df, y, of_role(r, "categorical")), spark, sf_dir)
 
 
 @query("interaction_cells")
@@ -571,7 +574,7 @@ def row_order_gaps(spark, sf_dir):
 
 @query("signal_verdict")
 def signal_verdict(spark, sf_dir):
-    return per_label(lambda df, y: signal.verdict(signal.signal_checks(df, y)), spark, sf_dir)
+    return per_label(lambda df, y, r: signal.verdict(signal.signal_checks(df, y, r)), spark, sf_dir)
 
 
 # --- features --------------------------------------------------------------------------------
@@ -610,14 +613,14 @@ def fit_categories(spark, sf_dir):
 def scale_numeric(spark, sf_dir):
     split = split_raw(spark, sf_dir)
     fitted = features.fit_numeric(split.where(F.col("split") == "train"))
-    return rounded(split.select(KEY, "split", *features.scaled_columns(fitted)))
+    return rounded(split.selectExpr(KEY, "split", *features.scaled_columns(fitted)))
 
 
 @query("onehot")
 def onehot(spark, sf_dir):
     split = split_raw(spark, sf_dir)
     fitted = features.fit_categories(split.where(F.col("split") == "train"))
-    encoded = tx.dirty(split).select(KEY, "split", *features.onehot_columns(fitted))
+    encoded = tx.dirty(split).selectExpr(KEY, "split", *features.onehot_columns(fitted))
     return encoded.toDF(*[c.replace(".", "_") for c in encoded.columns])
 
 

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.contract import FRAUD_CONTRACT, TableContract
+from plumbline.functions import sqltext as sql
 from plumbline.operators.rules import typed_cell
 
 # Cell texts that mean "missing" in delimited text.
@@ -32,9 +32,9 @@ def scan_text(spark: SparkSession, path: str) -> DataFrame:
 
 def typed(df: DataFrame, contract: TableContract = FRAUD_CONTRACT, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Contract columns of a text table converted to their types; other columns are kept as text."""
-    return df.select(
+    return df.selectExpr(
         *[
-            typed_cell(F.col(c), contract.column(c), tokens).alias(c) if c in contract.names else F.col(c)
+            f"{typed_cell(contract.column(c), tokens)} AS {sql.name(c)}" if c in contract.names else sql.name(c)
             for c in df.columns
         ]
     )

@@ -6,7 +6,7 @@ arithmetic on the order key, so every engine derives the same table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.contract import FRAUD_CONTRACT, FRAUD_POLICIES
@@ -57,10 +57,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mask(multiplier: int, increment: int) -> Column:
+def _mask(multiplier: int, increment: int) -> str:
     """((k * m + a) mod 2^32) >> 16, mod 1000, without overflowing for large keys."""
     word = "pmod(k, 4294967296)"
-    return F.expr(
+    return (
         f"((({word} % 65536) * {multiplier} + ((({word} div 65536) * {multiplier}) % 65536) * 65536"
         f" + {increment}) % 4294967296) div 65536 % 1000"
     )
@@ -105,31 +105,31 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _previous_orders(orders).join(customers, "ck").join(items, "k", "left")
 
     values = {
-        "transaction_amount": F.col("amt"),
-        "hour_of_day": F.expr("1 + floor((month(tx_ts) - 1) / 4)"),
-        "is_weekend": F.expr("CASE WHEN day(tx_ts) % 7 IN (0, 6) THEN 1 ELSE 0 END"),
-        "num_items": F.expr("coalesce(n_items, 0)"),
-        "customer_age": F.expr("18 + ck % 63"),
-        "prev_transactions": F.col("prev"),
-        "distance_from_home": F.abs("bal"),
-        "device_type": F.expr("CASE st WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END"),
-        "network_quality": F.expr("(k * 31 + ck * 17) % 101"),
-        "is_first_transaction": F.expr("CASE WHEN prev = 0 THEN 1 ELSE 0 END"),
-        "store_type": F.expr("ck % 2"),
-        "velocity_score": F.expr("coalesce(qty, 0) / 10"),
+        "transaction_amount": "amt",
+        "hour_of_day": "1 + floor((month(tx_ts) - 1) / 4)",
+        "is_weekend": "if(day(tx_ts) % 7 IN (0, 6), 1, 0)",
+        "num_items": "coalesce(n_items, 0)",
+        "customer_age": "18 + ck % 63",
+        "prev_transactions": "prev",
+        "distance_from_home": "abs(bal)",
+        "device_type": "CASE st WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END",
+        "network_quality": "(k * 31 + ck * 17) % 101",
+        "is_first_transaction": "if(prev = 0, 1, 0)",
+        "store_type": "ck % 2",
+        "velocity_score": "coalesce(qty, 0) / 10",
     }
-    label_mask = _mask(*LABEL_MASK)
-    shares = F.when(F.col("amt") > SIGNAL_AMOUNT, SIGNAL_SHARES[0]).otherwise(SIGNAL_SHARES[1])
-    return base.select(
-        F.col("k").alias("tx_id"),
-        F.col("ck").alias("customer_id"),
+    label = _mask(*LABEL_MASK)
+    share = f"if(amt > {SIGNAL_AMOUNT}, {SIGNAL_SHARES[0]}, {SIGNAL_SHARES[1]})"
+    return base.selectExpr(
+        "k AS tx_id",
+        "ck AS customer_id",
         "tx_ts",
         *[
-            F.when(_mask(m, a) >= share, values[name].cast("double")).alias(name)
-            for name, (m, a, share) in MASKS.items()
+            f"if({_mask(m, a)} >= {share_missing}, CAST({values[c]} AS DOUBLE), NULL) AS {c}"
+            for c, (m, a, share_missing) in MASKS.items()
         ],
-        F.when(label_mask < LABEL_SHARE, 1).otherwise(0).alias("is_fraud"),
-        F.when(label_mask < shares, 1).otherwise(0).alias("is_fraud_signal"),
+        f"if({label} < {LABEL_SHARE}, 1, 0) AS is_fraud",
+        f"if({label} < {share}, 1, 0) AS is_fraud_signal",
     )
 
 
@@ -164,11 +164,8 @@ def contract_columns(df: DataFrame, *extra: str) -> DataFrame:
 def dirty(df: DataFrame) -> DataFrame:
     """The table with cells that break each range, membership and label rule."""
     types = dict(df.dtypes)
-    return df.select(
-        *[
-            F.expr(DIRTY_CELLS[c]).cast(types[c]).alias(c) if c in DIRTY_CELLS else F.col(c)
-            for c in df.columns
-        ]
+    return df.selectExpr(
+        *[f"CAST({DIRTY_CELLS[c]} AS {types[c]}) AS {c}" if c in DIRTY_CELLS else c for c in df.columns]
     )
 
 
@@ -180,9 +177,6 @@ def with_repeated_rows(df: DataFrame) -> DataFrame:
 def with_breached_ceilings(df: DataFrame) -> DataFrame:
     """The table with every policy column pushed 15 points past its ceiling."""
     limits = {p.column: round(100 * (p.ceiling + 0.15)) for p in FRAUD_POLICIES}
-    return df.select(
-        *[
-            F.when(F.col("tx_id") % 100 >= limits[c], F.col(c)).alias(c) if c in limits else F.col(c)
-            for c in df.columns
-        ]
+    return df.selectExpr(
+        *[f"if(tx_id % 100 >= {limits[c]}, {c}, NULL) AS {c}" if c in limits else c for c in df.columns]
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.contract import FRAUD_POLICIES, FillPolicy
+from plumbline.functions import sqltext as sql
 from plumbline.operators import monitoring
 from plumbline.operators.features import Preprocessor
 from plumbline.operators.scoring import score
@@ -100,21 +101,22 @@ def missing_rate_stream(
     timed = with_event_time(transactions, "tx_ts", delay)
     counted = timed.groupBy(monitoring.window_start(width, "tx_ts")).agg(
         F.count("*").alias("n_rows"),
-        *[F.count_if(F.col(p.column).isNull() | F.isnan(p.column)).alias(p.column) for p in policies],
-    )
-    current = run_to_table(counted, "missing_rate_stream", ["window_start"], state)
-    cells = F.array(
         *[
-            F.struct(
-                F.lit(p.guard_name).alias("rule_name"),
-                F.col(p.column).alias("n_missing"),
-                (F.col(p.column) / F.col("n_rows")).alias("missing_rate"),
-                (F.col(p.column) / F.col("n_rows") <= p.ceiling).alias("passed"),
-            )
+            F.expr(f"count_if({sql.name(p.column)} IS NULL OR isnan({sql.name(p.column)})) AS {sql.name(p.column)}")
             for p in policies
-        ]
+        ],
+    )
+    current = run_to_table(counted, "missing_rate_stream", ["window_start"], state)
+    guards = sql.rows(
+        sql.struct(
+            rule_name=sql.text(p.guard_name),
+            n_missing=sql.name(p.column),
+            missing_rate=sql.ratio(sql.name(p.column), "n_rows"),
+            passed=f"{sql.ratio(sql.name(p.column), 'n_rows')} <= {sql.number(p.ceiling)}",
+        )
+        for p in policies
     )
-    return current.select(as_wall_clock("window_start").alias("window_start"), "n_rows", F.inline(cells))
+    return current.select(as_wall_clock("window_start").alias("window_start"), "n_rows", F.expr(guards))
 
 
 def served_counter_stream(events: DataFrame, width: str, delay: str = "1 hour", state: str | None = None) -> DataFrame:
