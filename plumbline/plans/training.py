@@ -42,6 +42,12 @@ def check_targets(processed: DataFrame, label: str) -> None:
         )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores if the table lies in fewer files than that; large tables are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_forest(
     train: DataFrame, names: list[str], label: str, trees: int = TREES, max_depth: int = MAX_DEPTH, seed: int = SEED
 ) -> RandomForestClassificationModel:
@@ -51,7 +57,7 @@ def fit_forest(
     weight = F.lit(None).cast("double")
     for value, w in weights.items():
         weight = F.when(F.col(label) == F.lit(value), F.lit(w)).otherwise(weight)
-    vectors = with_features(train, names, [label]).withColumn("weight", weight)
+    vectors = with_features(spread(train), names, [label]).withColumn("weight", weight)
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=max_depth, seed=seed
     )
