@@ -9,13 +9,14 @@ import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SEED, TEST_SHARE, FillPolicy
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null
 from plumbline.operators.imputation import value_counts
+from plumbline.operators.ordering import numbered
 from plumbline.operators.quantiles import exact_quantiles, order_statistics, profile
 
 MAX_LEVELS = 10_000
@@ -87,16 +88,42 @@ def stratified_split(
     crowded = [c for c in quotas if tallies[f"at{names[c]}"] > room[c]]
     if not crowded:
         return named
-    # Several keys share the cut-off digest prefix: rank just those rows.
-    left = F.lit(0)
-    for c in crowded:
-        left = F.when(F.col(label) == F.lit(c), F.lit(room[c])).otherwise(left)
-    tied = F.coalesce((place == cut) & F.col(label).isin(crowded), F.lit(False))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(digest, key))
-    ranked = named.where(tied).withColumn(
-        "split", F.when(rank <= left, F.lit("test")).otherwise(F.lit("train"))
-    )
-    return named.where(~tied).unionByName(ranked)
+    return _settle_ties(named, key, label, F.coalesce(place == cut, F.lit(False)), digest, {c: room[c] for c in crowded})
+
+
+def _settle_ties(
+    named: DataFrame, key: str, label: str, at_cut: Column, digest: Column, room: Mapping[int, int]
+) -> DataFrame:
+    """Exactly ``room`` of each crowded class's rows at the cut-off go to the test part.
+
+    Keys that collide at the cut-off are taken in digest order. If one key's own rows straddle
+    the quota, they are numbered and the first ones go to the test part.
+    """
+    tied = at_cut & F.col(label).isin(list(room))
+    # Distinct keys whose digests agree in 52 bits: a handful at any table size.
+    keys = named.where(tied).groupBy(F.col(label).alias("c"), digest.alias("d"), F.col(key).alias("k")).count()
+    chosen: dict[int, list] = {c: [] for c in room}
+    straddling: dict[int, tuple] = {}
+    left = dict(room)
+    for r in sorted(keys.collect(), key=lambda r: (r["c"], r["d"], r["k"])):
+        c = r["c"]
+        if r["count"] <= left[c]:
+            chosen[c].append(r["k"])
+            left[c] -= r["count"]
+        elif left[c]:
+            straddling[c] = (r["k"], left[c])
+            left[c] = 0
+    in_test = F.lit(False)
+    for c, picked in chosen.items():
+        in_test = in_test | ((F.col(label) == F.lit(c)) & F.col(key).isin(picked))
+    part = F.when(tied, F.when(in_test, F.lit("test")).otherwise(F.lit("train"))).otherwise(F.col("split"))
+    settled = named.withColumn("split", part)
+    for c, (k, quota) in straddling.items():
+        same_key = F.coalesce((F.col(label) == F.lit(c)) & (F.col(key) == F.lit(k)), F.lit(False))
+        rows = numbered(settled.where(same_key).drop("split"), "split_ties")
+        share = F.when(F.col("_number") < quota, F.lit("test")).otherwise(F.lit("train"))
+        settled = settled.where(~same_key).unionByName(rows.withColumn("split", share).drop("_number"))
+    return settled
 
 
 # --- fitted parameters -----------------------------------------------------------------------
@@ -233,13 +260,16 @@ def parameter_gap(
 
 
 def split_alignment(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Per split: feature rows, label rows, and rows on one side without a partner on the other."""
-    left = features.select(key, F.col("split").alias("x_split"))
-    right = labels.select(key, F.col("split").alias("y_split"))
-    joined = left.join(right, (left[key] == right[key]) & (left["x_split"] == right["y_split"]), "full_outer")
-    return joined.groupBy(F.coalesce("x_split", "y_split").alias("split")).agg(
-        F.count("x_split").alias("n_features"),
-        F.count("y_split").alias("n_labels"),
-        F.count_if(F.col("y_split").isNull()).alias("features_without_label"),
-        F.count_if(F.col("x_split").isNull()).alias("labels_without_features"),
+    """Per split: feature rows, label rows, and rows on one side without a partner on the other.
+
+    Both sides are counted per key instead of joined, so a repeated key cannot multiply.
+    """
+    x = features.select(key, "split", F.lit(1).alias("x"), F.lit(0).alias("y"))
+    y = labels.select(key, "split", F.lit(0).alias("x"), F.lit(1).alias("y"))
+    per_key = x.unionByName(y).groupBy("split", key).agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
+    return per_key.groupBy("split").agg(
+        F.sum("x").alias("n_features"),
+        F.sum("y").alias("n_labels"),
+        F.sum(F.greatest(F.col("x") - F.col("y"), F.lit(0))).alias("features_without_label"),
+        F.sum(F.greatest(F.col("y") - F.col("x"), F.lit(0))).alias("labels_without_features"),
     )

@@ -16,6 +16,7 @@ from plumbline.operators.ordering import running_totals
 LATENCY_EDGES = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
 REQUESTS_PER_WINDOW = 1
 LIMIT_WINDOW = "1 minute"
+SALTS = 32
 
 
 def request_log(events: DataFrame) -> DataFrame:
@@ -99,16 +100,18 @@ def rate_limit_summary(
 def rate_limit(log: DataFrame, quota: int = REQUESTS_PER_WINDOW, width: str = LIMIT_WINDOW) -> DataFrame:
     """Each request with ``admitted``: the first ``quota`` of a user's window are, the rest are not.
 
-    The rank filter keeps at most ``quota`` rows per user and window before anything is
-    shuffled; the decision is joined back on the request id, which no two rows share.
+    Ranked twice: first inside ``SALTS`` arbitrary parts of each user's window, then only the
+    first ``quota`` of every part against each other. A window with very many requests is thus
+    never sorted in one task.
     """
-    keyed = log.select("event_id", "ts", "user_id", window_start(width))
-    order = Window.partitionBy("user_id", "window_start").orderBy("ts", "event_id")
-    first = (
-        keyed.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= quota)
-        .select("event_id", F.lit(True).alias("admitted"))
-    )
-    return keyed.join(first, "event_id", "left").withColumn(
-        "admitted", F.coalesce("admitted", F.lit(False))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")
+    keyed = log.select("event_id", "ts", "user_id", window_start(width), salt)
+    order = [F.col("ts"), F.col("event_id")]
+    group = ["user_id", "window_start"]
+    in_part = F.row_number().over(Window.partitionBy(*group, "salt").orderBy(*order))
+    # Candidates share part -1; all others stay in the part where they already lost.
+    ranked = keyed.withColumn("candidate", in_part <= quota).withColumn(
+        "part", F.when(F.col("candidate"), F.lit(-1)).otherwise(F.col("salt"))
     )
+    overall = F.row_number().over(Window.partitionBy(*group, "part").orderBy(*order))
+    return ranked.withColumn("admitted", F.col("candidate") & (overall <= quota)).drop("salt", "part", "candidate")

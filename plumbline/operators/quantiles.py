@@ -80,18 +80,20 @@ class _Range:
 
 
 def _slotted(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
-    """One row (slot, x) per value that falls into a range; the ranges of a column are disjoint."""
+    """One row (slot, x) per value that falls into a range.
+
+    The ranges of a column are disjoint and come in value order, so the first range that does not
+    end below a value is the only one that can hold it.
+    """
     by_column: dict[str, list[tuple[int, _Range]]] = {}
     for slot, r in enumerate(ranges):
         by_column.setdefault(r.column, []).append((slot, r))
+    values = [f"{_finite(column)} AS x{i}" for i, column in enumerate(by_column)]
     cells = []
-    for column, slots in by_column.items():
-        value = _finite(column)
-        slot = sql.case(
-            [(f"{value} BETWEEN {sql.number(r.low)} AND {sql.number(r.high)}", str(i)) for i, r in slots]
-        )
-        cells.append(sql.struct(slot=slot, x=value))
-    return df.selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
+    for i, slots in enumerate(by_column.values()):
+        inside = [(f"x{i} <= {sql.number(r.high)}", f"if(x{i} >= {sql.number(r.low)}, {slot}, NULL)") for slot, r in slots]
+        cells.append(sql.struct(slot=sql.case(inside), x=f"x{i}"))
+    return df.selectExpr(*values).selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
 
 
 def _per_slot(values: Iterable[float]) -> str:

@@ -279,9 +279,13 @@ def duplicate_result(df: DataFrame, book: RuleBook, rule: DuplicateRule) -> Data
     return repeated_rows(df).selectExpr(sql.rows([_result(rule, position, "n_repeated")]))
 
 
-def data_results(df: DataFrame, book: RuleBook) -> DataFrame:
-    """Results of all data rules; assumes the schema rules passed."""
-    clean = nan_to_null(df.select(*book.contract.names))
+def data_results(df: DataFrame, book: RuleBook, keys: Sequence[str] = ()) -> DataFrame:
+    """Results of all data rules; assumes the schema rules passed.
+
+    ``keys`` identify rows and are not part of the contract; rows with different keys are not
+    duplicates of each other.
+    """
+    clean = nan_to_null(df.select(*keys, *book.contract.names))
     parts = []
     if any(not isinstance(r, DuplicateRule) for r in book.rules):
         parts.append(fused_results(clean, book))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from plumbline.contract import CORRELATION_FLAG, LABEL_SPREAD_FLAG, MUTUAL_INFORMATION_FLAG
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, ratio
-from plumbline.operators.ordering import BUCKET, range_bucketed
+from plumbline.operators.ordering import BUCKET, TIE, range_bucketed
 from plumbline.operators.quantiles import Profile, exact_quantiles, profile, quantile_edges
 
 CATEGORY_LIMIT = 10
@@ -274,7 +274,7 @@ def row_order_gaps(df: DataFrame, label: str, order_key: str, name: str = "row_o
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"),
         F.sum("rows").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
     )
-    inside = Window.partitionBy(BUCKET).orderBy("k")
+    inside = Window.partitionBy(BUCKET).orderBy("k", TIE)
     placed = (
         sliced.withColumn("i", F.row_number().over(inside))
         .join(F.broadcast(offsets), BUCKET)

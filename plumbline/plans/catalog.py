@@ -124,12 +124,27 @@ def validated(spark: SparkSession, sf_dir: str) -> validation.ValidationOutcome:
     return built(spark, sf_dir, "validated", build)
 
 
+def filled_path(spark: SparkSession, sf_dir: str) -> str:
+    """The filled table. The feature queries are about their operators, so they take it whether
+    or not the gate passed; ``run_validation`` and ``run_preparation`` chain the stages."""
+
+    def build() -> str:
+        outcome = validated(spark, sf_dir)
+        if outcome.validated_path:
+            return outcome.validated_path
+        path = Workspace.of(spark).new_path("filled")
+        imputation.impute_guarded(clean(spark, sf_dir), FRAUD_POLICIES).write.parquet(path)
+        return path
+
+    return built(spark, sf_dir, "filled", build)
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> preparation.PreparedData:
     def build() -> preparation.PreparedData:
         workspace = Workspace.of(spark)
         return preparation.run_preparation(
             spark,
-            validated(spark, sf_dir).validated_path,
+            filled_path(spark, sf_dir),
             workspace.new_path("processed"),
             workspace.new_path("parameters"),
             KEY,
@@ -234,7 +249,9 @@ def target_contract(spark, sf_dir):
 
 @query("validated_table")
 def validated_table(spark, sf_dir):
-    return scan_trusted(spark, validated(spark, sf_dir).validated_path, "validation")
+    """What the stage wrote; no rows if the table did not pass."""
+    table = scan_trusted(spark, filled_path(spark, sf_dir), "validation")
+    return table if validated(spark, sf_dir).passed else table.limit(0)
 
 
 @query("validation_report")
@@ -582,7 +599,7 @@ def signal_verdict(spark, sf_dir):
 
 @query("drop_indicators")
 def drop_indicators(spark, sf_dir):
-    table = scan_trusted(spark, validated(spark, sf_dir).validated_path, "validation")
+    table = scan_trusted(spark, filled_path(spark, sf_dir), "validation")
     return features.drop_indicators(table, FRAUD_POLICIES)
 
 
@@ -762,7 +779,7 @@ def latency_histogram(spark, sf_dir):
 @query("bucket_quantile")
 def bucket_quantile(spark, sf_dir):
     rows = monitoring.bucket_quantile(requests(spark, sf_dir), 0.5, "1 minute")
-    return rounded(rows.select(clock(), "n", "latency_quantile"))
+    return rows.select(clock(), "n", F.round("latency_quantile", 9).alias("latency_quantile"))
 
 
 @query("rate_limit")

@@ -160,7 +160,7 @@ def _violation(column: str) -> tuple[str, str]:
     return spec.rule_name, " OR ".join(parts)
 
 
-def _rule_selects(source: str) -> dict[str, str]:
+def _rule_selects(source: str, keys: str = "") -> dict[str, str]:
     """Every data rule as a one-row select (rule_name, passed, n_invalid)."""
     selects = {
         "target_not_null": f"SELECT 'target_not_null' AS rule_name, count(*) = 0 AS passed, count(*) AS n_invalid "
@@ -182,7 +182,7 @@ def _rule_selects(source: str) -> dict[str, str]:
     selects["no_duplicate_rows"] = (
         "SELECT 'no_duplicate_rows' AS rule_name, coalesce(sum(n - 1), 0) = 0 AS passed, "
         f"CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_invalid FROM "
-        f"(SELECT count(*) AS n FROM {source} GROUP BY {CONTRACT})"
+        f"(SELECT count(*) AS n FROM {source} GROUP BY {keys}{CONTRACT})"
     )
     return selects
 
@@ -193,8 +193,8 @@ SCHEMA_PASSED = [
 ]
 
 
-def _all_rules(source: str) -> str:
-    return _union(SCHEMA_PASSED + list(_rule_selects(source).values()))
+def _all_rules(source: str, keys: str = "") -> str:
+    return _union(SCHEMA_PASSED + list(_rule_selects(source, keys).values()))
 
 
 def _suite_select(i: int, source: str) -> str:
@@ -606,7 +606,7 @@ def _bucket_quantile() -> str:
   SELECT * FROM steps WHERE c >= 0.5::DOUBLE * n QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY i) = 1
 )
 SELECT window_start, n, round(CASE WHEN i = {len(LATENCY_EDGES)} THEN low
-  ELSE low + (le - low) * (0.5::DOUBLE * n - c0) / (c - c0) END, 6) AS latency_quantile FROM hit"""
+  ELSE low + (le - low) * (0.5::DOUBLE * n - c0) / (c - c0) END, 9) AS latency_quantile FROM hit"""
 
 
 def _stream_guards() -> str:
@@ -635,18 +635,21 @@ def _target(source: str, table: str, column: str) -> str:
     )
 
 
-def _report(source: str, table: str) -> str:
+def _results(table: str) -> str:
     suite = _union([_suite_select(i, table) for i in range(len(FRAUD_SUITE))])
-    results = _union(
+    return _union(
         [
-            f"SELECT rule_name, 'core' AS category, passed, n_invalid FROM ({_all_rules(table)})",
+            f"SELECT rule_name, 'core' AS category, passed, n_invalid FROM ({_all_rules(table, 'tx_id, ')})",
             "SELECT 'expectation_suite' AS rule_name, 'expectation_suite' AS category, bool_and(success) AS passed, "
             f"count(*) FILTER (WHERE NOT success) AS n_invalid FROM ({suite})",
         ]
     )
+
+
+def _report(source: str, table: str) -> str:
     return (
         f"SELECT '{source}' AS source, (SELECT count(*) FROM {table}) AS row_count, CAST({len(NAMES)} AS INTEGER) AS column_count, "
-        f"bool_and(passed) OVER () AS report_passed, rule_name, category, passed, n_invalid FROM ({results})"
+        f"bool_and(passed) OVER () AS report_passed, rule_name, category, passed, n_invalid FROM ({_results(table)})"
     )
 
 
@@ -694,8 +697,9 @@ def statements() -> dict[str, str]:
             ]
         ),
     )
-    sql["validated_table"] = _with(TX, IMPUTED, body="SELECT * FROM imputed")
-    sql["impute_all"] = sql["validated_table"]
+    gate = f"(SELECT bool_and(passed) FROM ({_results('tx')}))"
+    sql["validated_table"] = _with(TX, IMPUTED, body=f"SELECT * FROM imputed WHERE {gate}")
+    sql["impute_all"] = _with(TX, IMPUTED, body="SELECT * FROM imputed")
     sql["validation_report"] = _with(TX, DIRTY, body=_union([_report("clean", "tx"), _report("dirty", "dirty")]))
     sql["processed_table"] = _with(
         TX, IMPUTED, _split("imputed"), NUMERIC_FIT, body=f"SELECT tx_id, is_fraud, split, {_scaled()}, {_onehot()} FROM split"

@@ -48,13 +48,13 @@ class ValidationOutcome:
     validated_path: str | None
 
 
-def _isolated(df: DataFrame, book: RuleBook) -> list[tuple]:
+def _isolated(df: DataFrame, book: RuleBook, keys: Sequence[str]) -> list[tuple]:
     """Rule by rule, so that a rule that cannot run is reported instead of ending the run."""
     rows: list[tuple] = []
     for i, name in enumerate(book.names()):
         position = len(SCHEMA_RULES) + i
         try:
-            found = data_results(df, book.only(name)).first()
+            found = data_results(df, book.only(name), keys).first()
             rows.append((position, *found[1:]))
         except PySparkException as error:
             message = f"rule could not run: {type(error).__name__}: {str(error).splitlines()[0]}"
@@ -85,16 +85,18 @@ def _with_offenders(df: DataFrame, book: RuleBook, rows: list[tuple]) -> list[tu
     return [(*r[:5], [*r[5], texts[r[1]]]) if r[1] in texts else r for r in rows]
 
 
-def core_results(df: DataFrame, book: RuleBook, integers_as_floats: bool = False) -> list[tuple]:
+def core_results(
+    df: DataFrame, book: RuleBook, integers_as_floats: bool = False, keys: Sequence[str] = ()
+) -> list[tuple]:
     """Result rows of all core rules; only the three schema rules if one of those fails."""
-    rows = schema_results(df, book.contract, integers_as_floats)
+    rows = schema_results(df.drop(*keys), book.contract, integers_as_floats)
     if not all(r[3] for r in rows):
         return rows
     try:
-        found = [tuple(r) for r in data_results(df, book).orderBy("position").collect()]
+        found = [tuple(r) for r in data_results(df, book, keys).orderBy("position").collect()]
     except PySparkException:
         logger.warning("the fused check failed; running the rules one by one")
-        found = _isolated(df, book)
+        found = _isolated(df, book, keys)
     return rows + _with_offenders(df, book, found)
 
 
@@ -108,10 +110,14 @@ def run_validation(
     suite: Sequence[Expectation] | None = FRAUD_SUITE,
     keys: Sequence[str] = (),
 ) -> ValidationOutcome:
-    """The whole stage. ``keys`` are row-identity columns that are not part of the contract."""
+    """The whole stage.
+
+    ``keys`` are row-identity columns that are not part of the contract: they are carried into
+    the trusted table, and rows that differ in them are not duplicates.
+    """
     spark = df.sparkSession
     table = df.drop(*keys)
-    rows = core_results(table, book)
+    rows = core_results(df, book, keys=keys)
     if suite is not None:
         position = len(SCHEMA_RULES) + len(book.rules)
         try:

@@ -112,3 +112,12 @@ def test_alignment_counts_rows_without_a_partner(spark, split):
     rows = features.split_alignment(split.where("tx_id <> 9"), labels, "tx_id").collect()
     assert sum(r["features_without_label"] for r in rows) == 2
     assert sum(r["labels_without_features"] for r in rows) == 1
+
+
+def test_split_keeps_its_quota_when_one_key_holds_a_third_of_the_rows(spark):
+    rows = spark.range(900).selectExpr("if(id % 3 = 0, 17, id) AS k", "CAST(0 AS INT) AS y")
+    got = features.stratified_split(rows, "k", "y", share=0.5)
+    counts = {r["split"]: r["count"] for r in got.groupBy("split").count().collect()}
+    assert counts == {"test": 450, "train": 450}
+    beyond = {s: {r["k"] for r in got.where(f"split = '{s}'").collect()} for s in counts}
+    assert beyond["test"] & beyond["train"] <= {17}

@@ -118,3 +118,9 @@ def test_verdict_and_report(table, frame):
     assert report["verdict"] == "NO_SIGNAL_DETECTED"
     assert report["row_count"] == len(frame) and len(report["checks"]) == 5
     assert report["row_order"]["gap_mean"] == pytest.approx(7.0)
+
+
+def test_row_order_with_a_shared_key(spark):
+    rows = [(5 if i < 100 else i, 1 if i >= 100 and i % 4 == 0 else 0) for i in range(300)]
+    r = signal.row_order_gaps(spark.createDataFrame(rows, "k long, y int").repartition(6), "y", "k").first()
+    assert r["gap_mean"] == 4.0 and r["gap_std"] == 0.0 and r["label_rate"] == pytest.approx(50 / 300)

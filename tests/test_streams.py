@@ -94,3 +94,15 @@ def test_wall_clock_survives_other_time_zones(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert {r["window_start"] for r in found} == {START}
+
+
+@pytest.mark.parametrize("quota", [1, 3])
+def test_row_limit_with_one_busy_window_and_copies(spark, quota):
+    rows = [(i % 50, START + dt.timedelta(seconds=i % 7), 1, "view", 1.0) for i in range(900)]
+    rows += [(1000 + i, START, i, "view", 1.0) for i in range(2, 40)]
+    log = monitoring.request_log(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    found = monitoring.rate_limit(log, quota=quota)
+    busy = found.where("user_id = 1 AND admitted").collect()
+    assert found.count() == len(rows) and len(busy) == quota
+    assert all(r["ts"] == START for r in busy)
+    assert found.where("user_id > 1 AND admitted").count() == 38
