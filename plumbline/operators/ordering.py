@@ -18,19 +18,14 @@ BUCKET = "_bucket"
 TIE = "_tie"
 
 
-def bucket_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_bucketed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """The rows, staged, with the number of their slice of the global order.
 
     ``_tie`` numbers rows arbitrarily; ordering by it last lets a key that many rows share be
-    spread over several slices.
+    spread over several slices. Without a fixed count the engine merges neighbouring slices of a
+    small table, which keeps them in order.
     """
-    sliced = df.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(
-        bucket_count(df), *order, F.col(TIE)
-    )
+    sliced = df.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(*order, F.col(TIE))
     return Workspace.of(df.sparkSession).stage(
         sliced.withColumn(BUCKET, F.spark_partition_id()), name
     )

@@ -29,12 +29,17 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """Staged tables of one Spark application."""
+    """Staged tables of one Spark application; results to keep are written to the caller's paths."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_root(spark)}/plumbline-{spark.sparkContext.applicationId}"
         self._made: dict[tuple, object] = {}
+        # Staged tables are scratch: the folder goes when the application ends.
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(location)
+        files.deleteOnExit(location)
 
     @classmethod
     def of(cls, spark: SparkSession) -> "Workspace":
