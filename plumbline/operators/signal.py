@@ -88,6 +88,10 @@ def label_correlation(df: DataFrame, label: str, columns: Sequence[str]) -> Data
     )
 
 
+def _named(index: str, names: Sequence[str]) -> str:
+    return f"element_at(array({', '.join(sql.text(n) for n in names)}), {index} + 1)"
+
+
 def _labelled(df: DataFrame, label: str, columns: Iterable[str]) -> DataFrame:
     return nan_to_null(df.select(*columns, label)).where(F.col(label).isNotNull())
 
@@ -123,14 +127,20 @@ def mutual_information(
     # Filling with a median moves neither end of a column's range.
     complete = {c: replace(p, present=p.rows) if p.present else p for c, p in profiles.items()}
     edges = quantile_edges(filled, numeric, bins, complete)
+    # Features travel as small numbers until they are counted.
     cells = sql.rows(
         sql.struct(
-            feature=sql.text(c),
+            feature=str(i),
             level=f"CAST(coalesce({sql.bin_index(sql.name(c), edges[c])}, 0) AS DOUBLE)" if c in edges else sql.name(c),
         )
-        for c in features
+        for i, c in enumerate(features)
+    )
+    counts = (
+        filled.selectExpr("y", cells)
+        .groupBy("feature", "level", "y")
+        .agg(F.count("*").alias("n"))
+        .withColumn("feature", F.expr(_named("feature", features)))
     )
-    counts = filled.selectExpr("y", cells).groupBy("feature", "level", "y").agg(F.count("*").alias("n"))
     # From here on there are a few dozen rows per feature.
     shares = counts.selectExpr(
         "feature",
@@ -181,13 +191,14 @@ def decile_rates(
     clean = _labelled(df, label, columns)
     edges = edges or quantile_edges(clean, columns, bins)
     cells = sql.rows(
-        sql.struct(feature=sql.text(c), level=sql.bin_index(sql.name(c), edges[c])) for c in columns
+        sql.struct(feature=str(i), level=sql.bin_index(sql.name(c), edges[c])) for i, c in enumerate(columns)
     )
     return (
         clean.selectExpr(f"{sql.name(label)} AS y", cells)
         .where("level IS NOT NULL")
         .groupBy("feature", "level")
         .agg(F.count("*").alias("n"), F.sum("y").cast("bigint").alias("positives"))
+        .withColumn("feature", F.expr(_named("feature", columns)))
     )
 
 
