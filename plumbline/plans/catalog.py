@@ -68,7 +68,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def clock(column: str = "window_start") -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
+    return F.col(column).cast("string").alias(column)
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
