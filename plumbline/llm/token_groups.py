@@ -7,11 +7,13 @@ shingle. Two texts link when 100 * |A n B| >= percent * |A u B|.
    all texts finds frequent come last. Texts that link share a token among their first
    |A| - ceil(t |A|) + 1 tokens (the prefix).
 2. Nodes that share prefix tokens with the smallest or largest node of a token, and pass an exact
-   comparison, form groups.
+   comparison, form groups. In further rounds nodes are compared with other leaders of their
+   tokens, drawn by hash, as long as that joins groups: a family of many near copies becomes one
+   group with work in proportion to its members.
 3. The token-group matrix has a row for each token and group whose union of prefixes holds it. The
    tokens that a node shares with a group's union bound the overlap with each of its members; only
-   groups of other nodes whose bound reaches the threshold are opened, and their members that pass
-   the same bound are compared exactly.
+   other groups whose bound reaches the threshold are opened, by nodes of the smaller of two
+   groups, and their members that may still link are compared exactly.
 4. Components of all links. A link between nodes that are in one group already cannot change them.
 
 Only sets of nodes that are compared are ever moved as a whole; copies are never paired.
@@ -38,6 +40,8 @@ from plumbline.workspace import Workspace
 SKETCH_BITS = 22
 # A task reports a sketch cell that holds so many of its texts, and so many times the mean.
 SKETCH_LEAST, SKETCH_TIMES = 6, 3
+# Leaders drawn for each node in a round of grouping, and rounds at most before the exact pass.
+LOOKS, ROUNDS = 16, 4
 
 
 def shingle_sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,26 +173,57 @@ class _Job:
         # Numbered when written: everything later reads these numbers.
         nodes = nodes.withColumn("node", F.monotonically_increasing_id())
         self.nodes = self.workspace.stage(nodes, "shingle-nodes")
-        self.postings = self.nodes.select("node", "n", F.explode("prefix").alias("token"))
+        postings = self.nodes.select("node", F.explode("prefix").alias("token"))
+        spans = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+        spans = spans.where("lo < hi").withColumnRenamed("token", "_token")
+        # Most tokens belong to one node; the others are all that is looked at from here.
+        live = postings.join(spans, F.col("token") == F.col("_token")).drop("_token")
+        self.live = self.workspace.stage(live, "live-postings")
+        # A node shares at most its live tokens with any other.
+        counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
+        counts = counts.join(self.nodes.select("node", "n"), "node")
+        self.known = self.workspace.stage(counts, "live-nodes")
+
+    def _bounded(self, pairs: DataFrame, shared: str) -> DataFrame:
+        """Of pairs (a, b), those that can reach the threshold; ``shared`` is SQL over a column
+        of the pairs or over la and lb, the live tokens of either."""
+        left = self.known.select(
+            F.col("node").alias("_a"), F.col("n").alias("na"), F.col("live").alias("la")
+        )
+        right = self.known.select(
+            F.col("node").alias("_b"), F.col("n").alias("nb"), F.col("live").alias("lb")
+        )
+        sized = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+        return sized.where(_may_link("na", "nb", shared, self.percent)).select("a", "b")
 
     def leader_pairs(self) -> DataFrame:
         """(a, b): nodes that share enough prefix tokens with the first or last node of those."""
-        spans = self.postings.groupBy("token").agg(
-            F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")
-        )
-        spans = spans.where("lo.node < hi.node").select(
-            F.col("token").alias("_token"), F.explode(F.array("lo", "hi")).alias("lead")
-        )
-        shared = self.postings.join(spans, F.col("token") == F.col("_token"))
-        shared = shared.where(
-            "node <> lead.node AND least(n, lead.n) * 100 >= "
-            f"{self.percent} * greatest(n, lead.n)"
+        met = self.live.select("token", "node", F.explode(F.array("lo", "hi")).alias("lead"))
+        met = met.where("node <> lead").select(
+            "token", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
         )
-        counted = shared.groupBy(
-            F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"),
-            F.least("n", "lead.n").alias("n"), F.greatest("n", "lead.n").alias("m"),
-        ).agg(F.count_distinct("token").alias("shared"))
-        return counted.where(_may_link("n", "m", "shared", self.percent)).select("a", "b")
+        # The first and the last node of a token meet twice.
+        counted = met.distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+        return self._bounded(counted, "shared")
+
+    def drawn_pairs(self, groups: DataFrame, number: int) -> DataFrame:
+        """(a, b) of different groups: nodes and leaders of their tokens drawn by hash, LOOKS per
+        node where a family shares its tokens."""
+        look = F.pmod("token", F.lit(LOOKS))
+        draw = F.struct(F.xxhash64("node", look, F.lit(number)).alias("draw"), "node")
+        leads = self.live.groupBy("token").agg(F.min(draw).alias("lead"))
+        leads = leads.select(F.col("token").alias("_token"), F.col("lead.node").alias("lead"))
+        met = self.live.select("token", "node").join(leads, F.col("token") == F.col("_token"))
+        pairs = met.where("node <> lead").select(
+            F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
+        ).distinct()
+        roots = groups.select("node", "root")
+        left = roots.select(F.col("node").alias("_na"), F.col("root").alias("_ra"))
+        right = roots.select(F.col("node").alias("_nb"), F.col("root").alias("_rb"))
+        apart = self._bounded(pairs, "least(la, lb)")
+        apart = apart.join(left, F.col("a") == F.col("_na"), "left")
+        apart = apart.join(right, F.col("b") == F.col("_nb"), "left")
+        return apart.where("coalesce(_ra, a) <> coalesce(_rb, b)").select("a", "b")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets reach the threshold. Sets are made anew from the texts of
@@ -216,71 +251,78 @@ class _Job:
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:
         """(a, b) of different groups that the token-group matrix cannot rule out."""
+        p = self.percent
         roots = groups.select(F.col("node").alias("_node"), "root")
-        placed = self.nodes.join(roots, F.col("node") == F.col("_node"), "left")
-        placed = placed.select("node", "n", "prefix", F.coalesce("root", "node").alias("group"))
-        postings = placed.select("node", "n", "group", F.explode("prefix").alias("token"))
-        matrix = postings.groupBy("token", "group").agg(
+        placed = self.known.join(roots, F.col("node") == F.col("_node"), "left")
+        placed = placed.select("node", "n", "live", F.coalesce("root", "node").alias("group"))
+        sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+        placed = self.workspace.stage(placed.join(sizes, "group"), "placed-nodes")
+        live = self.live.select("token", "node").join(placed.drop("live"), "node")
+        # Tokens of one group only say nothing about other groups.
+        several = live.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
+        several = several.where("g < h").select(F.col("token").alias("_token"))
+        live = live.join(several, F.col("token") == F.col("_token"), "left_semi")
+        live = self.workspace.stage(live, "open-postings")
+        matrix = live.groupBy("token", "group", "members").agg(
             F.min("n").alias("least"), F.max("n").alias("most")
         )
-        # Tokens of one group only say nothing about other groups.
-        several = matrix.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
-        several = several.where("g < h").select("token")
-        matrix = self.workspace.stage(matrix.join(several, "token"), "token-groups")
-        sizes = postings.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-        sizes = sizes.select(F.col("group").alias("other"), "least", "most")
-        live = self.workspace.stage(postings.join(several, "token", "left_semi"), "live-postings")
-        p = self.percent
-        fits = f"most * 100 >= {p} * n AND n * 100 >= {p} * least"
+        matrix = matrix.select(
+            F.col("token").alias("_token"), F.col("group").alias("other"),
+            F.col("members").alias("others"), "least", "most",
+        )
         met = live.join(
-            matrix.select(F.col("token").alias("_token"), F.col("group").alias("other"), "least",
-                          "most"),
-            F.expr(f"token = _token AND group <> other AND {fits}"),
+            matrix,
+            F.expr(
+                "token = _token AND (members < others OR members = others AND group < other) "
+                f"AND most * 100 >= {p} * n AND n * 100 >= {p} * least"
+            ),
         )
-        shared = met.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("shared"))
         # The bound is weakest at the smallest and at the largest member size that may link.
-        bounded = shared.join(sizes, "other").withColumns(
-            {
-                "lo": F.expr(f"greatest(least, ceil({p} * n / 100D))"),
-                "hi": F.expr(f"least(most, floor(100 * n / {p}D))"),
-            }
+        bounded = met.groupBy("node", "n", "other", "others").agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.greatest(F.min("least"), F.expr(f"ceil({p} * n / 100D)")).alias("lo"),
+            F.least(F.max("most"), F.expr(f"floor(100 * n / {p}D)")).alias("hi"),
         )
         ends = " OR ".join(f"({_may_link('n', end, 'shared', p)})" for end in ("lo", "hi"))
-        qualified = bounded.where(f"lo <= hi AND ({ends})").select(
-            F.col("node").alias("_q"), F.col("other").alias("_other")
+        qualified = bounded.where(f"lo <= hi AND ({ends})")
+        qualified = self.workspace.stage(
+            qualified.select("node", "other", "others", "shared"), "open-groups"
         )
-        qualified = self.workspace.stage(qualified, "open-groups")
-        asking = live.join(qualified, F.col("node") == F.col("_q"))
-        asking = asking.select("token", "_other", F.col("node").alias("q"), F.col("n").alias("qn"))
-        members = live.select(
-            F.col("token").alias("_token"), F.col("group").alias("_group"), "node", "n"
+        # A group of one node was compared with the whole bound already.
+        single = qualified.where("others = 1").select(
+            F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
         )
-        pairs = asking.join(
-            members,
-            F.expr(
-                "token = _token AND _other = _group AND "
-                f"least(n, qn) * 100 >= {p} * greatest(n, qn)"
-            ),
+        members = placed.select(F.col("node").alias("member"), F.col("group").alias("_group"))
+        opened = qualified.where("others > 1").join(members, F.col("other") == F.col("_group"))
+        opened = opened.select(
+            F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b"), "shared"
         )
-        counted = pairs.groupBy(
-            F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b"),
-            F.least("n", "qn").alias("n"), F.greatest("n", "qn").alias("m"),
-        ).agg(F.count_distinct("token").alias("shared"))
-        return counted.where(_may_link("n", "m", "shared", p)).select("a", "b")
+        return self._bounded(opened, "least(la, lb, shared)").union(single)
 
 
 def _classes(job: _Job) -> DataFrame:
     """(node, root) of all nodes in links, by way of groups and opened groups."""
     workspace = job.workspace
-    first = job.links(workspace.stage(job.leader_pairs(), "leader-pairs"))
-    groups = workspace.stage(components(first), "groups")
-    opened = workspace.stage(job.opened_pairs(groups), "opened-pairs")
-    if opened.isEmpty():
-        return groups
-    second = job.links(opened)
-    # A group is a component so far: joining roots is enough from here.
-    tree = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return workspace.stage(components(second.unionByName(tree)), "groups")
+    groups = workspace.stage(
+        components(job.links(workspace.stage(job.leader_pairs(), "leader-pairs"))), "groups"
+    )
+
+    def joined(pairs: DataFrame) -> DataFrame | None:
+        pairs = workspace.stage(pairs, "pairs")
+        more = job.links(pairs) if not pairs.isEmpty() else pairs
+        if more.isEmpty():
+            return None
+        # A group is a component so far: joining roots is enough.
+        tree = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return workspace.stage(components(more.unionByName(tree)), "groups")
+
+    for number in range(ROUNDS):
+        wider = joined(job.drawn_pairs(groups, number))
+        if wider is None:
+            break
+        groups = wider
+    wider = joined(job.opened_pairs(groups))
+    return groups if wider is None else wider
 
 
 def near_duplicates(
