@@ -2,7 +2,7 @@
 
 A page is a tree of blocks. The trees of a host's pages are aligned by simple tree matching into
 one wrapper: a tree of slots, each with the number of pages that have it, whether its text is the
-same on all of them, and how much of it is text or links. Neighbouring blocks of one label are one
+same on all of them, and how much of it is text or links. Neighbouring leaves of one label are one
 repeating slot, so the wrapper grows with the templates of a host, not with its pages. A slot with
 constant text is template; a varying one is content, unless its tag or class says what else it is
 (menu, footer, advert, comments and so on) or it is mostly links. Where a page marks its article,
@@ -180,10 +180,13 @@ class Slot:
 
 
 def _runs(blocks: list[Block]) -> list[list[Block]]:
-    """Neighbouring blocks of one label together; of very many, all of one label together."""
+    """Neighbouring blocks of one label without inner blocks together; where that leaves very
+    many, all of one label together."""
     runs: list[list[Block]] = []
+    leaf = False
     for block in blocks:
-        if runs and runs[-1][0].label == block.label:
+        was_leaf, leaf = leaf, not any(isinstance(p, Block) for p in block.parts)
+        if was_leaf and leaf and runs[-1][0].label == block.label:
             runs[-1].append(block)
         else:
             runs.append([block])

@@ -1,0 +1,36 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_helpers import sentence  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def odd_documents(spark):
+    """Nulls in any column, empty and long texts, repeated rows, and columns with clashing names."""
+    base = sentence(1, 60)
+    rows = [
+        (1, base, "en", "s1"),
+        (2, base, "en", "s1"),
+        (2, base, "en", "s1"),
+        (3, base.upper() + "\n", "en", None),
+        (4, None, "en", "s1"),
+        (5, "", None, "s1"),
+        (6, " \t\n ", "en", "s2"),
+        (7, sentence(2, 30) + " " + sentence(2, 30), "de", "s2"),
+        (8, "one two", "de", "s2"),
+        (9, "One  two", "de", "s2"),
+        (None, sentence(3, 40), "de", "s2"),
+        (10, " ".join(sentence(k, 50) for k in range(200)), "fr", "s3"),
+        (11, "…—…", "fr", "s3"),
+        (12, "same line\nsame line\nother ### line\n\nsame line ", "fr", "s3"),
+        (13, sentence(2, 30) + " " + sentence(2, 30) + " tail", "de", "s2"),
+    ]
+    rows = [(*r, 0, "x", 1.0) for r in rows]
+    return spark.createDataFrame(
+        rows,
+        "doc_id long, text string, lang string, source string, n_words int, spans string, score double",
+    )
