@@ -39,10 +39,11 @@ def class_quotas(counts: Mapping[int, int], share: float) -> dict[int, int]:
     """Test rows per class: ceil(share * n) in all, by largest remainder, ties to the lower label."""
     total = sum(counts.values())
     wanted = math.ceil(share * total)
-    exact = {c: (n * wanted) / total for c, n in counts.items()}
+    # Whole-number remainders: equal ones must tie exactly.
+    rest = {c: (n * wanted) % total for c, n in counts.items()}
     quotas = {c: n * wanted // total for c, n in counts.items()}
     left = wanted - sum(quotas.values())
-    for c in sorted(counts, key=lambda c: (-(exact[c] - quotas[c]), c))[:left]:
+    for c in sorted(counts, key=lambda c: (-rest[c], c))[:left]:
         quotas[c] += 1
     return quotas
 

@@ -121,3 +121,8 @@ def test_split_keeps_its_quota_when_one_key_holds_a_third_of_the_rows(spark):
     assert counts == {"test": 450, "train": 450}
     beyond = {s: {r["k"] for r in got.where(f"split = '{s}'").collect()} for s in counts}
     assert beyond["test"] & beyond["train"] <= {17}
+
+
+def test_quotas_of_three_classes_tie_exactly():
+    assert features.class_quotas({0: 1, 1: 2, 2: 22}, 0.2) == {0: 0, 1: 1, 2: 4}
+    assert features.class_quotas({0: 5, 1: 5, 2: 5}, 0.2) == {0: 1, 1: 1, 2: 1}
