@@ -238,7 +238,10 @@ class _Job:
             return {"tokens": lists(values.view(np.int64), bounds, pa.int64())}
 
         sets = map_texts(texts, "text", ["node"], "tokens array<long>", partial(make, size=self.size))
-        sets = self.workspace.stage(sets, "shingle-sets")
+        spark = self.workspace.spark
+        path = self.workspace.new_path("shingle-sets")
+        sets.write.parquet(path)
+        sets = spark.read.parquet(path)
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
         both = pairs.join(left, "a").join(right, "b")
@@ -247,7 +250,12 @@ class _Job:
             F.size(F.array_intersect("left", "right")).alias("common"),
         )
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
-        return self.workspace.stage(linked.select("a", "b"), "shingle-links")
+        links = self.workspace.stage(linked.select("a", "b"), "shingle-links")
+        # The sets are the largest scratch table, and the links are written.
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(location, True)
+        return links
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:
         """(a, b) of different groups that the token-group matrix cannot rule out."""

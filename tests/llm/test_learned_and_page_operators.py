@@ -3,7 +3,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
-from llm_helpers import plain_words, sentence
+from llm_helpers import odd_documents, plain_words, sentence  # noqa: F401
 
 from plumbline.llm import factorization, mixing, rule_ensemble, secrets, warc, wrapper
 from plumbline.llm.queries import QUERIES

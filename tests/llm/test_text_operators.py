@@ -2,7 +2,14 @@ import re
 from collections import Counter
 
 import pytest
-from llm_helpers import ascii_lower, brute_components, plain_words, sentence, shingles
+from llm_helpers import (  # noqa: F401
+    ascii_lower,
+    brute_components,
+    odd_documents,
+    plain_words,
+    sentence,
+    shingles,
+)
 
 from plumbline.llm import host_rules, mixture, suffix, token_groups
 from plumbline.llm.queries import QUERIES
