@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegralType
 
 from plumbline.contract import FillPolicy
 from plumbline.functions import sqltext as sql
@@ -57,8 +58,8 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {r["column_name"]: 0.0 - r["best"]["minus"] for r in rows}
 
 
-def fit_fills(df: DataFrame, policies: Sequence[FillPolicy], direct_rows: int | None = None) -> dict[str, Fill]:
-    """Missing counts and fill values per policy column (two or three small aggregations)."""
+def fit_fills(df: DataFrame, policies: Sequence[FillPolicy]) -> dict[str, Fill]:
+    """Missing counts and fill values per policy column (a few small aggregations)."""
     for policy in policies:
         if policy.strategy not in ("median", "mode"):
             raise NotImplementedError(f"{policy.column}: unknown fill strategy {policy.strategy}")
@@ -68,7 +69,6 @@ def fit_fills(df: DataFrame, policies: Sequence[FillPolicy], direct_rows: int |
         df,
         {p.column: [0.5] for p in policies if p.strategy == "median"},
         profiles,
-        direct_rows,
     )
     values = {c: q[0] if q else None for c, q in medians.items()}
     values.update(modes(df, [p.column for p in policies if p.strategy == "mode"]))
@@ -92,14 +92,21 @@ def check_ceilings(df: DataFrame, policies: Sequence[FillPolicy], fills: Mapping
 
 
 def apply_fills(df: DataFrame, fills: Mapping[str, Fill]) -> DataFrame:
-    """Fill in place and append one 0/1 indicator per policy, in policy order."""
+    """Fill in place and append one 0/1 indicator per policy, in policy order.
+
+    A column filled with its median becomes double if it holds integers: the median of two of them
+    may lie between.
+    """
     clean = nan_to_null(df)
-    types = dict(clean.dtypes)
     cells = []
     for c in clean.columns:
         cell = sql.name(c)
         if c in fills:
-            cell = f"coalesce({cell}, CAST({sql.number(fills[c].value)} AS {types[c]})) AS {cell}"
+            kind = clean.schema[c].dataType
+            if fills[c].policy.strategy == "median" and isinstance(kind, IntegralType):
+                kind = DoubleType()
+            kind = kind.simpleString()
+            cell = f"coalesce(CAST({cell} AS {kind}), CAST({sql.number(fills[c].value)} AS {kind})) AS {cell}"
         cells.append(cell)
     return clean.selectExpr(*cells, *_indicators([f.policy for f in fills.values()]))
 

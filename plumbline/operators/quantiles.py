@@ -1,39 +1,71 @@
-"""Exact order statistics and quantiles of many columns at once.
-
-Up to ``DIRECT_ROWS`` rows Spark's own exact ``percentile`` is used. Beyond that its value map
-would have to fit one task, so the wanted ranks are located by counting: a histogram per column
-says in which bucket each rank lies, the bucket's own minimum and maximum become the next range,
-and so on until few enough values are left to read them off. Every round is one map-side combined
-aggregation, the driver only sees bucket counts, and every rank is exact.
+"""Exact order statistics and quantiles of many columns at once, by counting.
+
+A double has an integer key of the same order: its bit pattern, negated for negative values. The
+wanted ranks are located on these keys. Each round counts the values of every open range in
+2^``BUCKET_BITS`` buckets of equal key width, and the bucket that holds a rank, cut to the keys
+found in it, is the next range. A range of one key is an answer. Keys have 64 bits, so any data,
+infinities and values hundreds of decades apart included, are done after at most six rounds. Every
+round is one map-side combined aggregation, the driver only sees bucket counts, every rank is
+exact, and tables of all sizes take the same path.
 """
 
 from __future__ import annotations
 
 import math
-import sys
+import struct
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 
-DIRECT_ROWS = 200_000
-TOTAL_BUCKETS = 16_384
-READ_OFF_ROWS = 2_048
-LARGEST = sys.float_info.max
+BUCKET_BITS = 11
+# Fixed values of the double format: mantissa bits, exponent bias, smallest normal and smallest value.
+MANTISSA, BIAS = 1 << 52, 1023
+NORMAL, TINY = 2.0**-1022, 2.0**-1074
 
 
-def _finite(column: str) -> str:
-    """The value as a double, infinities moved to the largest finite value of their sign."""
+def _present(column: str) -> str:
+    """The value as a double; NaN is missing."""
     value = f"CAST({sql.name(column)} AS DOUBLE)"
-    clipped = f"greatest(least({value}, {sql.number(LARGEST)}), {sql.number(-LARGEST)})"
-    return f"if({sql.name(column)} IS NULL, NULL, {clipped})"
+    return f"if(isnan({value}), NULL, {value})"
+
+
+def key_of(value: float) -> int:
+    bits = struct.unpack("<q", struct.pack("<d", abs(value)))[0]
+    return -bits if value < 0 else bits
 
 
-def _restored(value: float) -> float:
-    return math.copysign(math.inf, value) if abs(value) == LARGEST else value
+def value_of(key: int) -> float:
+    value = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -value if key < 0 else value
+
+
+def _keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``k0``, ``k1``, ... are the keys of ``columns``.
+
+    Spark has no function for the bits of a double. The logarithm gives its exponent up to one,
+    which the quotient by that power of two, always exact, puts right.
+    """
+    span = range(len(columns))
+    sized = df.selectExpr(*[f"{_present(c)} AS x{i}" for i, c in enumerate(columns)])
+    sized = sized.selectExpr(*[f"x{i}" for i in span], *[f"abs(x{i}) AS a{i}" for i in span])
+    normal = "a{i} >= " + sql.number(NORMAL) + " AND a{i} < " + sql.number(math.inf)
+    guess = "if(" + normal + ", pow(2D, least(floor(log2(a{i})), 1023)), 1D) AS p{i}"
+    sized = sized.selectExpr("*", *[guess.format(i=i) for i in span])
+    power = "CASE WHEN a{i} / p{i} >= 2 THEN 2 * p{i} WHEN a{i} / p{i} < 1 THEN p{i} / 2 ELSE p{i} END AS q{i}"
+    sized = sized.selectExpr(*[f"x{i}" for i in span], *[f"a{i}" for i in span], *[power.format(i=i) for i in span])
+    size = (
+        f"CASE WHEN a{{i}} = {sql.number(math.inf)} THEN {key_of(math.inf)}L "
+        f"WHEN a{{i}} < {sql.number(NORMAL)} THEN CAST(a{{i}} / {sql.number(TINY)} AS BIGINT) "
+        f"ELSE (CAST(round(log2(q{{i}})) AS BIGINT) + {BIAS}) * {MANTISSA}L "
+        f"+ CAST((a{{i}} / q{{i}} - 1) * {MANTISSA}L AS BIGINT) END AS k{{i}}"
+    )
+    sized = sized.selectExpr(*[f"x{i}" for i in span], *[size.format(i=i) for i in span])
+    return sized.selectExpr(*[f"if(x{i} < 0, -k{i}, k{i}) AS k{i}" for i in span])
 
 
 @dataclass(frozen=True)
@@ -59,8 +91,8 @@ def profile(df: DataFrame, columns: Iterable[str]) -> dict[str, Profile]:
     columns = list(columns)
     aggs = ["count(*) AS rows"]
     for i, c in enumerate(columns):
-        value = _finite(c)
-        aggs += [f"count({sql.name(c)}) AS n{i}", f"min({value}) AS lo{i}", f"max({value}) AS hi{i}"]
+        value = _present(c)
+        aggs += [f"count({value}) AS n{i}", f"min({value}) AS lo{i}", f"max({value}) AS hi{i}"]
     row = df.agg(*[F.expr(a) for a in aggs]).first()
     return {
         c: Profile(row["rows"], row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"])
@@ -70,63 +102,46 @@ def profile(df: DataFrame, columns: Iterable[str]) -> dict[str, Profile]:
 
 @dataclass(frozen=True)
 class _Range:
-    """Values of one column known to contain a wanted rank."""
+    """Keys of one column known to contain a wanted rank."""
 
     column: str
-    low: float
-    high: float
+    low: int
+    high: int
     below: int
-    inside: int
+
+    @property
+    def shift(self) -> int:
+        """Bits to drop for at most 2^BUCKET_BITS buckets."""
+        shift = 0
+        while (self.high >> shift) - (self.low >> shift) >= 1 << BUCKET_BITS:
+            shift += 1
+        return shift
+
+
+def _per_slot(values: Iterable[int]) -> str:
+    return f"element_at(array({', '.join(f'{v}L' for v in values)}), slot + 1)"
 
 
-def _slotted(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
-    """One row (slot, x) per value that falls into a range.
+def _histogram(df: DataFrame, ranges: Sequence[_Range]):
+    """(slot, bucket, n, lo, hi) of every bucket with values, in key order, as an Arrow table.
 
-    The ranges of a column are disjoint and come in value order, so the first range that does not
-    end below a value is the only one that can hold it.
+    The ranges of a column are disjoint and come in key order, so the first range that does not
+    end below a key is the only one that can hold it.
     """
     by_column: dict[str, list[tuple[int, _Range]]] = {}
     for slot, r in enumerate(ranges):
         by_column.setdefault(r.column, []).append((slot, r))
-    values = [f"{_finite(column)} AS x{i}" for i, column in enumerate(by_column)]
     cells = []
     for i, slots in enumerate(by_column.values()):
-        inside = [(f"x{i} <= {sql.number(r.high)}", f"if(x{i} >= {sql.number(r.low)}, {slot}, NULL)") for slot, r in slots]
-        cells.append(sql.struct(slot=sql.case(inside), x=f"x{i}"))
-    return df.selectExpr(*values).selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
-
-
-def _per_slot(values: Iterable[float]) -> str:
-    return f"element_at(array({', '.join(sql.number(v) for v in values)}), slot + 1)"
-
-
-def _histogram(df: DataFrame, ranges: Sequence[_Range]) -> dict[int, list]:
-    """Bucket counts with each bucket's own minimum and maximum, per range, in value order."""
-    buckets = max(16, TOTAL_BUCKETS // len(ranges))
-    # Halved where the width of the range would not be a finite double.
-    scales = [1.0 if math.isfinite(r.high - r.low) else 0.5 for r in ranges]
-    low = _per_slot(r.low * k for r, k in zip(ranges, scales))
-    width = _per_slot(r.high * k - r.low * k for r, k in zip(ranges, scales))
-    share = f"(x * {_per_slot(scales)} - {low}) / {width}"
-    bucket = F.expr(f"CAST(least({buckets - 1}, floor({share} * {buckets})) AS INT)")
-    counts = (
-        _slotted(df, ranges)
-        .groupBy("slot", bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        inside = [(f"k{i} <= {r.high}L", f"if(k{i} >= {r.low}L, {slot}, NULL)") for slot, r in slots]
+        cells.append(sql.struct(slot=sql.case(inside), k=f"k{i}"))
+    slotted = _keyed(df, list(by_column)).selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
+    shift = f"CAST({_per_slot(r.shift for r in ranges)} AS INT)"
+    bucket = F.expr(f"CAST(shiftright(k, {shift}) - {_per_slot(r.low >> r.shift for r in ranges)} AS INT)")
+    counts = slotted.groupBy("slot", bucket.alias("bucket")).agg(
+        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
     )
-    found: dict[int, list] = {}
-    for row in sorted(counts.collect(), key=lambda r: (r["slot"], r["bucket"])):
-        found.setdefault(row["slot"], []).append(row)
-    return found
-
-
-def _read_off(df: DataFrame, ranges: Sequence[_Range]) -> dict[int, list[tuple[float, int]]]:
-    """Distinct values and their counts inside ranges that hold few rows, in value order."""
-    values = _slotted(df, ranges).groupBy("slot", "x").agg(F.count("*").alias("n"))
-    found: dict[int, list[tuple[float, int]]] = {}
-    for row in sorted(values.collect(), key=lambda r: (r["slot"], r["x"])):
-        found.setdefault(row["slot"], []).append((row["x"], row["n"]))
-    return found
+    return counts.toArrow().sort_by([("slot", "ascending"), ("bucket", "ascending")])
 
 
 def order_statistics(
@@ -138,75 +153,44 @@ def order_statistics(
     for column, wanted in ranks.items():
         p = profiles[column]
         for rank in set(wanted):
-            open_ranks[column, rank] = _Range(column, p.minimum, p.maximum, 0, p.present)
+            open_ranks[column, rank] = _Range(column, key_of(p.minimum), key_of(p.maximum), 0)
 
-    while open_ranks:
+    while True:
         for key, r in list(open_ranks.items()):
             if r.low == r.high:
-                answers[key] = r.low
+                answers[key] = value_of(r.low)
                 del open_ranks[key]
-        wide = sorted(
-            {r for r in open_ranks.values() if r.inside > READ_OFF_ROWS},
-            key=lambda r: (r.column, r.low),
-        )
-        if wide:
-            histogram = _histogram(df, wide)
-            slots = {r: i for i, r in enumerate(wide)}
-            for (column, rank), r in list(open_ranks.items()):
-                if r not in slots:
-                    continue
-                below = r.below
-                for bucket in histogram[slots[r]]:
-                    if rank < below + bucket["n"]:
-                        open_ranks[column, rank] = _Range(
-                            column, bucket["lo"], bucket["hi"], below, bucket["n"]
-                        )
-                        break
-                    below += bucket["n"]
-            continue
-        narrow = sorted(set(open_ranks.values()), key=lambda r: (r.column, r.low))
-        if narrow:
-            values = _read_off(df, narrow)
-            slots = {r: i for i, r in enumerate(narrow)}
-            for (column, rank), r in open_ranks.items():
-                below = r.below
-                for x, n in values[slots[r]]:
-                    below += n
-                    if rank < below:
-                        answers[column, rank] = x
-                        break
-            open_ranks = {}
-    return answers
+        if not open_ranks:
+            return answers
+        ranges = sorted(set(open_ranks.values()), key=lambda r: (r.column, r.low))
+        found = _histogram(df, ranges)
+        slot, n, lo, hi = (found.column(c).to_numpy() for c in ("slot", "n", "lo", "hi"))
+        first = np.searchsorted(slot, np.arange(len(ranges) + 1))
+        slots = {r: i for i, r in enumerate(ranges)}
+        for (column, rank), r in list(open_ranks.items()):
+            start, end = first[slots[r]], first[slots[r] + 1]
+            upto = r.below + np.cumsum(n[start:end])
+            at = int(np.searchsorted(upto, rank, side="right"))
+            below = int(upto[at]) - int(n[start + at])
+            open_ranks[column, rank] = _Range(column, int(lo[start + at]), int(hi[start + at]), below)
 
 
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
     profiles: Mapping[str, Profile] | None = None,
-    direct_rows: int | None = None,
 ) -> dict[str, list[float] | None]:
-    """Linearly interpolated quantiles of each column's present values; None if it has none."""
+    """Linearly interpolated quantiles of each column's present values; None if it has none.
+
+    Between a finite and an infinite value the interpolation is infinite, between the two
+    infinities NaN.
+    """
     probabilities = {c: list(ps) for c, ps in probabilities.items()}
     if not probabilities:
         return {}
     profiles = profiles or profile(df, probabilities)
-    limit = DIRECT_ROWS if direct_rows is None else direct_rows
     filled = [c for c in probabilities if profiles[c].present]
     result: dict[str, list[float] | None] = {c: None for c in probabilities}
-
-    if filled and max(profiles[c].present for c in filled) <= limit:
-        row = df.agg(
-            *[
-                F.expr(
-                    f"percentile(CAST({sql.name(c)} AS DOUBLE), "
-                    f"array({', '.join(sql.number(p) for p in probabilities[c])})) AS q{i}"
-                )
-                for i, c in enumerate(filled)
-            ]
-        ).first()
-        result.update({c: list(row[f"q{i}"]) for i, c in enumerate(filled)})
-        return result
-
     positions = {c: [(profiles[c].present - 1) * p for p in probabilities[c]] for c in filled}
     ranks = {c: {r for x in xs for r in (math.floor(x), math.ceil(x))} for c, xs in positions.items()}
     values = order_statistics(df, ranks, profiles)
@@ -215,8 +199,7 @@ def exact_quantiles(
         for x in xs:
             low, high = values[c, math.floor(x)], values[c, math.ceil(x)]
             share = x - math.floor(x)
-            value = low if low == high else (1 - share) * low + share * high
-            result[c].append(_restored(value))
+            result[c].append(low if low == high else (1 - share) * low + share * high)
     return result
 
 

@@ -1,3 +1,5 @@
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -24,11 +26,10 @@ def table(spark):
     return spark.createDataFrame(frame.assign(id=range(len(frame)))).selectExpr(*cells)
 
 
-@pytest.mark.parametrize("direct_rows", [1_000_000, 0], ids=["direct", "counting"])
-def test_quantiles_equal_linear_interpolation(table, monkeypatch, direct_rows):
-    monkeypatch.setattr(quantiles, "READ_OFF_ROWS", 16)
-    monkeypatch.setattr(quantiles, "TOTAL_BUCKETS", 256)
-    found = quantiles.exact_quantiles(table, {c: PROBABILITIES for c in SHAPES}, direct_rows=direct_rows)
+@pytest.mark.parametrize("bits", [11, 3])
+def test_quantiles_equal_linear_interpolation(table, monkeypatch, bits):
+    monkeypatch.setattr(quantiles, "BUCKET_BITS", bits)
+    found = quantiles.exact_quantiles(table, {c: PROBABILITIES for c in SHAPES})
     keep = np.arange(4000) % 11 != 5
     for column, values in SHAPES.items():
         # NumPy itself interpolates an infinite end to NaN, so the ends are stated.
@@ -39,8 +40,34 @@ def test_quantiles_equal_linear_interpolation(table, monkeypatch, direct_rows):
 
 def test_column_without_values_has_no_quantiles(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
-    for limit in (10, 0):
-        assert quantiles.exact_quantiles(df, {"a": [0.5], "b": [0.5]}, direct_rows=limit) == {"a": None, "b": [1.5]}
+    assert quantiles.exact_quantiles(df, {"a": [0.5], "b": [0.5]}) == {"a": None, "b": [1.5]}
+
+
+def test_keys_keep_order_and_round_trip(spark):
+    edges = [0.0, 5e-324, 2.0**-1023, 2.0**-1022, 1 / 3, 1.0, np.nextafter(2.0, 1), 2.0, 1e300, sys.float_info.max, np.inf]
+    values = [-v for v in reversed(edges[1:])] + edges
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id int, x double")
+    # Rows keep their order: the keys of a sorted column rise.
+    keys = [r["k0"] for r in quantiles._keyed(df.coalesce(1), ["x"]).collect()]
+    assert keys == [quantiles.key_of(v) for v in values] == sorted(set(keys))
+    assert [quantiles.value_of(k) for k in keys] == values
+
+
+def test_values_over_many_decades_take_at_most_six_rounds(spark, monkeypatch):
+    rounds = []
+    histogram = quantiles._histogram
+    monkeypatch.setattr(quantiles, "_histogram", lambda *args: rounds.append(1) or histogram(*args))
+    df = spark.range(20001).selectExpr("pow(10D, id / 50D - 200) AS x")
+    found = quantiles.exact_quantiles(df, {"x": [0.1, 0.5, 0.9]})["x"]
+    assert np.allclose(found, [1e-160, 1.0, 1e160], rtol=1e-9) and len(rounds) <= 6
+
+
+def test_infinities_and_missing_values(spark):
+    rows = [(1.0,), (2.0,), (np.inf,), (np.inf,), (None,), (float("nan"),)]
+    df = spark.createDataFrame(rows, "x double")
+    assert quantiles.exact_quantiles(df, {"x": [0.0, 0.4, 0.5, 1.0]}) == {"x": [1.0, np.inf, np.inf, np.inf]}
+    largest = spark.createDataFrame([(sys.float_info.max,)], "x double")
+    assert quantiles.exact_quantiles(largest, {"x": [1.0]}) == {"x": [sys.float_info.max]}
 
 
 def test_edges_are_distinct(table):
