@@ -34,10 +34,16 @@ def window_start(width: str, ts: str = "ts") -> Column:
     return F.window(ts, width).getField("start").alias("window_start")
 
 
+def per_window(log: DataFrame, width: str, aggregates: list[Column], keys: tuple[str, ...] = (), ts: str = "ts") -> DataFrame:
+    """Aggregates per key and window. Rows are grouped by the window as a whole: it carries the
+    watermark, its start does not, and a stream forgets a window only by the watermark."""
+    counted = log.groupBy(*keys, F.window(ts, width).alias("window")).agg(*aggregates)
+    values = [c for c in counted.columns if c not in (*keys, "window")]
+    return counted.select(*keys, F.col("window.start").alias("window_start"), *values)
+
+
 def served_per_window(log: DataFrame, width: str) -> DataFrame:
-    return log.groupBy(window_start(width)).agg(
-        F.count("*").alias("n_requests"), F.count_if("served").alias("n_served")
-    )
+    return per_window(log, width, [F.count("*").alias("n_requests"), F.count_if("served").alias("n_served")])
 
 
 def served_counter(log: DataFrame, width: str) -> DataFrame:
@@ -84,19 +90,22 @@ def rate_limit_summary(
 ) -> DataFrame:
     """Requests, admitted and rejected per user and clock-aligned window, for any quota."""
     n = F.col("n_requests")
-    return (
-        log.groupBy("user_id", window_start(width))
-        .agg(F.count("*").alias("n_requests"))
-        .select(
-            "user_id",
-            "window_start",
-            n,
-            F.least(n, F.lit(quota)).alias("n_admitted"),
-            F.greatest(n - quota, F.lit(0)).alias("n_rejected"),
-        )
+    return per_window(log, width, [F.count("*").alias("n_requests")], ("user_id",)).select(
+        "user_id",
+        "window_start",
+        n,
+        F.least(n, F.lit(quota)).alias("n_admitted"),
+        F.greatest(n - quota, F.lit(0)).alias("n_rejected"),
     )
 
 
+def first_requests(log: DataFrame, width: str = LIMIT_WINDOW) -> DataFrame:
+    """The earliest request of each user and window: the one let through at a quota of one."""
+    earliest = F.min(F.struct("ts", "event_id")).alias("first")
+    rows = per_window(log, width, [earliest], ("user_id",))
+    return rows.select("user_id", "window_start", "first.ts", "first.event_id")
+
+
 def rate_limit(log: DataFrame, quota: int = REQUESTS_PER_WINDOW, width: str = LIMIT_WINDOW) -> DataFrame:
     """Each request with ``admitted``: the first ``quota`` of a user's window are, the rest are not.
 

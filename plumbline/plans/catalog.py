@@ -801,9 +801,8 @@ def rate_limit_stream(spark, sf_dir):
 
 @query("admitted_stream")
 def admitted_stream(spark, sf_dir):
-    """Which request of a window gets through may differ between runs; the windows may not."""
     rows = jobs.admitted_stream(event_stream(spark, sf_dir), width="1 hour")
-    return rows.select("user_id", clock())
+    return rows.select("event_id", "user_id", clock())
 
 
 @query("served_counter_stream")

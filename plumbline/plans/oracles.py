@@ -950,6 +950,10 @@ def statements() -> dict[str, str]:
     )
     sql["rate_limit_summary"] = _with(LOG, body=_limited(2, "hour"))
     sql["rate_limit_stream"] = _with(LOG, body=_limited(1, "hour"))
-    sql["admitted_stream"] = _with(LOG, body=f"SELECT DISTINCT user_id, {_start('hour')} AS window_start FROM log")
+    sql["admitted_stream"] = _with(
+        LOG,
+        body=f"SELECT event_id, user_id, {_start('hour')} AS window_start FROM log QUALIFY row_number() OVER "
+        "(PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) = 1",
+    )
     sql["missing_rate_stream"] = _with(TX, body=_stream_guards())
     return sql

@@ -2,12 +2,14 @@
 
 Aggregating streams run in update mode and write each micro-batch's changed rows into its own
 folder; the newest row per key is the current state. A replayed batch overwrites its folder, so a
-restart after a failure changes nothing. Replaying a backlog takes all files as one batch, in
-which no row is late.
+restart after a failure changes nothing. Windows that the watermark has passed leave the state;
+rows that arrive for them are dropped by all these streams alike, and a warning says in how many
+per-key groups. Replaying a backlog takes all files as one batch, in which no row is late.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -22,6 +24,8 @@ from plumbline.operators.features import Preprocessor
 from plumbline.operators.scoring import score
 from plumbline.workspace import Workspace
 
+logger = logging.getLogger(__name__)
+
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -68,6 +72,9 @@ def run_to_table(aggregated: DataFrame, name: str, keys: Sequence[str], state: s
         .start()
     )
     query.awaitTermination()
+    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    if late:
+        logger.warning("%s: %d groups of rows came after the watermark and were dropped", name, late)
     schema = T.StructType([*aggregated.schema.fields, T.StructField("batch_id", T.LongType())])
     rows = spark.read.schema(schema).option("basePath", f"{root}/rows").parquet(f"{root}/rows")
     values = [c for c in aggregated.columns if c not in keys]
@@ -99,13 +106,11 @@ def missing_rate_stream(
 ) -> DataFrame:
     """Missing-rate guards per time window of arriving transactions."""
     timed = with_event_time(transactions, "tx_ts", delay)
-    counted = timed.groupBy(monitoring.window_start(width, "tx_ts")).agg(
-        F.count("*").alias("n_rows"),
-        *[
-            F.expr(f"count_if({sql.name(p.column)} IS NULL OR isnan({sql.name(p.column)})) AS {sql.name(p.column)}")
-            for p in policies
-        ],
-    )
+    missing = [
+        F.expr(f"count_if({sql.name(p.column)} IS NULL OR isnan({sql.name(p.column)})) AS {sql.name(p.column)}")
+        for p in policies
+    ]
+    counted = monitoring.per_window(timed, width, [F.count("*").alias("n_rows"), *missing], ts="tx_ts")
     current = run_to_table(counted, "missing_rate_stream", ["window_start"], state)
     guards = sql.rows(
         sql.struct(
@@ -143,11 +148,11 @@ def rate_limit_stream(
 def admitted_stream(
     events: DataFrame, width: str = monitoring.LIMIT_WINDOW, delay: str = "1 hour", state: str | None = None
 ) -> DataFrame:
-    """The requests let through at one per user and window, as rows."""
+    """The requests let through at one per user and window, the earliest first, as rows. Until the
+    watermark passes a window, an earlier request that arrives later takes its place."""
     log = with_event_time(monitoring.request_log(events), "ts", delay)
-    keyed = log.select("event_id", "ts", "user_id", monitoring.window_start(width))
-    admitted = keyed.dropDuplicates(["user_id", "window_start"])
-    rows = append_to_table(admitted, "admitted_stream", state)
+    admitted = monitoring.first_requests(log, width)
+    rows = run_to_table(admitted, "admitted_stream", ["user_id", "window_start"], state)
     return rows.select("event_id", as_wall_clock("ts").alias("ts"), "user_id", as_wall_clock("window_start").alias("window_start"))
 
 

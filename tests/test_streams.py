@@ -41,12 +41,31 @@ def test_served_counter_stream_equals_batch(spark, log, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_one_request_per_window_is_admitted(spark, log, tmp_path):
-    log.coalesce(1).write.parquet(f"{tmp_path}/in")
-    rows = jobs.admitted_stream(jobs.file_stream(spark, f"{tmp_path}/in", log.schema)).collect()
-    keys = {(r["user_id"], r["window_start"]) for r in rows}
-    limited = monitoring.rate_limit_summary(monitoring.request_log(log))
-    assert len(rows) == len(keys) == limited.count()
+def test_first_request_per_window_is_admitted(spark, log, tmp_path):
+    expected = monitoring.rate_limit(monitoring.request_log(log)).where("admitted")
+    expected = sorted((r["event_id"], r["user_id"], r["window_start"]) for r in expected.collect())
+    state = f"{tmp_path}/state"
+    # The later half arrives first, within the delay.
+    for part in (range(300, 600), range(0, 300)):
+        events(spark, part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", log.schema)
+        rows = jobs.admitted_stream(stream, delay="4 hours", state=state).collect()
+    assert sorted((r["event_id"], r["user_id"], r["window_start"]) for r in rows) == expected
+
+
+@pytest.mark.parametrize("job", [jobs.rate_limit_stream, jobs.admitted_stream])
+def test_state_forgets_passed_windows_and_reports_late_rows(spark, log, tmp_path, caplog, job):
+    seen = []
+    for n, part in enumerate((range(0, 200), range(4000, 4200), range(8000, 8200), range(0, 10))):
+        events(spark, part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", log.schema)
+        rows = job(stream, state=f"{tmp_path}/state")
+        seen.append(rows.count())
+    # Four hours and more between arrivals, an hour of delay: the last one is late and changes nothing.
+    assert seen[0] < seen[1] < seen[2] == seen[3]
+    assert "came after the watermark" in caplog.text
+    state = spark.read.format("statestore").load(f"{tmp_path}/state/checkpoint")
+    assert 0 < state.count() <= seen[2] - seen[1]
 
 
 def test_row_limit_admits_the_earliest(log):
