@@ -260,15 +260,11 @@ def fused_results(df: DataFrame, book: RuleBook) -> DataFrame:
 def repeated_rows(df: DataFrame) -> DataFrame:
     """(n_rows, n_repeated): rows, and rows that equal an earlier one with nulls equal.
 
-    Only 64-bit row hashes are shuffled for the whole table, counted on the map side so a group
-    of copies of any size stays one entry per task. Rows whose hash occurs more than once are
-    then compared in full, which settles hash collisions.
+    One shuffle of whole rows, counted on the map side first: a group of copies of any size is one
+    entry per task.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    suspects = hashed.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1").select("_hash")
     return (
-        hashed.join(suspects, "_hash", "left_semi")
-        .groupBy(*df.columns)
+        df.groupBy(*df.columns)
         .agg(F.count("*").alias("n"))
         .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_repeated"))
     )
