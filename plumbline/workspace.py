@@ -6,8 +6,10 @@ survives lost executors, cuts the lineage, and lets each reader prune columns.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +37,16 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_root(spark)}/plumbline-{spark.sparkContext.applicationId}"
         self._made: dict[tuple, object] = {}
+        self._paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
         # Staged tables are scratch: the folder goes when the application ends.
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        location, files = self._located(self.root)
         files.mkdirs(location)
         files.deleteOnExit(location)
 
+    def _located(self, path: str):
+        location = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return location, location.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     @classmethod
     def of(cls, spark: SparkSession) -> "Workspace":
         app = spark.sparkContext.applicationId
@@ -55,7 +61,21 @@ class Workspace:
         """Write ``df`` and return a reader of what was written."""
         path = self.new_path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[staged] = path
+        return staged
+
+    def discard(self, *staged: DataFrame) -> None:
+        """Delete staged tables, once all that is read from them has been written."""
+        for df in staged:
+            location, files = self._located(self._paths.pop(df))
+            files.delete(location, True)
+
+    def release(self) -> None:
+        """Let go of the shuffles and broadcasts of finished queries. Spark removes them when the
+        driver collects their handles, which it puts off while it has room."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def once(self, key: tuple, build: Callable[[], object]) -> object:
         """Build something on first use and remember it for this application."""
