@@ -40,17 +40,22 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns a and b), root its smallest node.
 
     The edges of each round are written to the shared folder, so a lost executor costs that round
-    at most. A hub's neighbours are summed before the shuffle and joined to one row.
+    at most; then those of the round before are deleted. A hub's neighbours are summed before the
+    shuffle and joined to one row. The result is a staged table.
     """
     workspace = Workspace.of(links.sparkSession)
     edges = workspace.stage(links.where("a <> b").select("a", "b").distinct(), "links")
     state = _state(edges)
     while True:
-        edges = _small_star(_large_star(edges)).where("a <> b").distinct()
-        edges = workspace.stage(edges, "links")
+        before = edges
+        edges = workspace.stage(_small_star(_large_star(edges)).where("a <> b").distinct(), "links")
+        workspace.discard(before)
         after = _state(edges)
         if after == state:
             break
         state = after
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    found = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    found = workspace.stage(found, "components")
+    workspace.discard(edges)
+    return found

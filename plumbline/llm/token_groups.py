@@ -164,6 +164,7 @@ class _Job:
         )
         rows = described_rows(self.rows_in, "text", ["key", "row_key"], size, percent)
         self.rows = self.workspace.stage(rows, "shingle-rows")
+        self.workspace.release()
         nodes = self.rows.where("n > 0").groupBy("d1", "d2").agg(
             F.first("n").alias("n"),
             F.min("key").alias("key"),
@@ -183,6 +184,7 @@ class _Job:
         counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
         counts = counts.join(self.nodes.select("node", "n"), "node")
         self.known = self.workspace.stage(counts, "live-nodes")
+        self.workspace.release()
 
     def _bounded(self, pairs: DataFrame, shared: str) -> DataFrame:
         """Of pairs (a, b), those that can reach the threshold; ``shared`` is SQL over a column
@@ -238,10 +240,7 @@ class _Job:
             return {"tokens": lists(values.view(np.int64), bounds, pa.int64())}
 
         sets = map_texts(texts, "text", ["node"], "tokens array<long>", partial(make, size=self.size))
-        spark = self.workspace.spark
-        path = self.workspace.new_path("shingle-sets")
-        sets.write.parquet(path)
-        sets = spark.read.parquet(path)
+        sets = self.workspace.stage(sets, "shingle-sets")
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
         both = pairs.join(left, "a").join(right, "b")
@@ -252,19 +251,18 @@ class _Job:
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
         links = self.workspace.stage(linked.select("a", "b"), "shingle-links")
         # The sets are the largest scratch table, and the links are written.
-        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(location, True)
+        self.workspace.discard(sets)
         return links
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:
-        """(a, b) of different groups that the token-group matrix cannot rule out."""
+        """(a, b) of different groups that the token-group matrix cannot rule out; staged."""
         p = self.percent
         roots = groups.select(F.col("node").alias("_node"), "root")
         placed = self.known.join(roots, F.col("node") == F.col("_node"), "left")
         placed = placed.select("node", "n", "live", F.coalesce("root", "node").alias("group"))
         sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
         placed = self.workspace.stage(placed.join(sizes, "group"), "placed-nodes")
+        self.workspace.release()
         live = self.live.select("token", "node").join(placed.drop("live"), "node")
         # Tokens of one group only say nothing about other groups.
         several = live.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
@@ -305,32 +303,45 @@ class _Job:
         opened = opened.select(
             F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b"), "shared"
         )
-        return self._bounded(opened, "least(la, lb, shared)").union(single)
+        pairs = self._bounded(opened, "least(la, lb, shared)").union(single)
+        pairs = self.workspace.stage(pairs, "pairs")
+        self.workspace.discard(placed, live, qualified)
+        return pairs
 
 
 def _classes(job: _Job) -> DataFrame:
     """(node, root) of all nodes in links, by way of groups and opened groups."""
     workspace = job.workspace
-    groups = workspace.stage(
-        components(job.links(workspace.stage(job.leader_pairs(), "leader-pairs"))), "groups"
-    )
-
-    def joined(pairs: DataFrame) -> DataFrame | None:
-        pairs = workspace.stage(pairs, "pairs")
-        more = job.links(pairs) if not pairs.isEmpty() else pairs
-        if more.isEmpty():
-            return None
-        # A group is a component so far: joining roots is enough.
-        tree = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        return workspace.stage(components(more.unionByName(tree)), "groups")
 
+    def joined(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
+        """The groups that the links among staged ``pairs`` make of ``groups``; all else that was
+        staged for them is deleted. The same table if nothing was joined."""
+        # The plans of the pairs are done with: their shuffles can go before sets are made.
+        workspace.release()
+        more = job.links(pairs)
+        workspace.discard(pairs)
+        if groups is not None and more.isEmpty():
+            workspace.discard(more)
+            return groups
+        edges = more
+        if groups is not None:
+            # A group is a component so far: joining roots is enough.
+            tree = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            edges = more.unionByName(tree)
+        wider = components(edges)
+        workspace.discard(more, *([] if groups is None else [groups]))
+        workspace.release()
+        return wider
+
+    groups = joined(workspace.stage(job.leader_pairs(), "pairs"), None)
     for number in range(ROUNDS):
-        wider = joined(job.drawn_pairs(groups, number))
-        if wider is None:
+        wider = joined(workspace.stage(job.drawn_pairs(groups, number), "pairs"), groups)
+        if wider is groups:
             break
         groups = wider
-    wider = joined(job.opened_pairs(groups))
-    return groups if wider is None else wider
+    groups = joined(job.opened_pairs(groups), groups)
+    workspace.discard(job.live, job.known)
+    return groups
 
 
 def near_duplicates(
