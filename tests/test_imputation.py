@@ -57,3 +57,9 @@ def test_proposed_ceilings_equal_the_declared_ones(spark):
     df = spark.createDataFrame(rows, "c string, rate double, ceiling double")
     for r in imputation.proposed_ceilings(df, "rate").collect():
         assert r["proposed_ceiling"] == pytest.approx(r["ceiling"]), r["c"]
+
+
+def test_median_of_integers_is_not_cut(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (10,), (None,)], "num_items int")
+    found = imputation.impute(df, [FillPolicy("num_items", "median", 0.5, 0.1)])
+    assert sorted(r["num_items"] for r in found.collect()) == [1.0, 2.0, 2.5, 3.0, 10.0]

@@ -69,3 +69,12 @@ def test_staged_tables_lie_under_the_shared_folder(spark, shared_folder):
     assert shared_root(spark) == shared_folder
     assert Workspace.of(spark).new_path("x").startswith(shared_folder)
     assert tx.transaction_path(spark, SMALL).startswith(shared_folder)
+
+
+def test_discarded_tables_are_gone(spark):
+    workspace = Workspace.of(spark)
+    kept, gone = workspace.stage(spark.range(5), "kept"), workspace.stage(spark.range(5), "gone")
+    folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    workspace.discard(gone)
+    workspace.release()
+    assert kept.count() == 5 and not os.path.exists(folder)
