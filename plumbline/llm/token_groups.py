@@ -150,6 +150,17 @@ def _may_link(n: str, m: str, shared: str, percent: int) -> str:
     )
 
 
+def _may_reach(n: str, least: str, most: str, shared: str, percent: int) -> str:
+    """Whether a set of ``n`` may link with one of ``least`` to ``most`` tokens that shares so many
+    prefix tokens. The bound is weakest at the smallest or the largest size that may link; rounding
+    moves it by one token at most between them."""
+    lo = f"greatest({least}, ceil({percent} * {n} / 100D))"
+    hi = f"least({most}, floor(100 * {n} / {percent}D))"
+    shared = f"{shared} + if({lo} < {hi}, 1, 0)"
+    ends = " OR ".join(f"({_may_link(n, end, shared, percent)})" for end in (lo, hi))
+    return f"({lo} <= {hi} AND ({ends}))"
+
+
 class _Job:
     """Tables of one run."""
 
@@ -263,47 +274,49 @@ class _Job:
         sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
         placed = self.workspace.stage(placed.join(sizes, "group"), "placed-nodes")
         self.workspace.release()
-        live = self.live.select("token", "node").join(placed.drop("live"), "node")
+        live = self.live.select("token", "node").join(placed, "node")
         # Tokens of one group only say nothing about other groups.
         several = live.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
         several = several.where("g < h").select(F.col("token").alias("_token"))
         live = live.join(several, F.col("token") == F.col("_token"), "left_semi")
         live = self.workspace.stage(live, "open-postings")
         matrix = live.groupBy("token", "group", "members").agg(
-            F.min("n").alias("least"), F.max("n").alias("most")
+            F.min("n").alias("least"), F.max("n").alias("most"), F.max("live").alias("reach")
         )
         matrix = matrix.select(
             F.col("token").alias("_token"), F.col("group").alias("other"),
-            F.col("members").alias("others"), "least", "most",
+            F.col("members").alias("others"), "least", "most", "reach",
         )
+        # Before tokens are counted, a node and a member share no more than either has live.
         met = live.join(
             matrix,
             F.expr(
-                "token = _token AND (members < others OR members = others AND group < other) "
-                f"AND most * 100 >= {p} * n AND n * 100 >= {p} * least"
+                "token = _token AND (members < others OR members = others AND group < other) AND "
+                + _may_reach("n", "least", "most", "least(live, reach)", p)
             ),
         )
-        # The bound is weakest at the smallest and at the largest member size that may link.
-        bounded = met.groupBy("node", "n", "other", "others").agg(
-            F.count(F.lit(1)).alias("shared"),
-            F.greatest(F.min("least"), F.expr(f"ceil({p} * n / 100D)")).alias("lo"),
-            F.least(F.max("most"), F.expr(f"floor(100 * n / {p}D)")).alias("hi"),
+        bounded = met.groupBy("node", "n", "live", "other", "others").agg(
+            F.count(F.lit(1)).alias("shared"), F.min("least").alias("lo"), F.max("most").alias("hi")
         )
-        ends = " OR ".join(f"({_may_link('n', end, 'shared', p)})" for end in ("lo", "hi"))
-        qualified = bounded.where(f"lo <= hi AND ({ends})")
+        qualified = bounded.where(_may_reach("n", "lo", "hi", "shared", p))
         qualified = self.workspace.stage(
-            qualified.select("node", "other", "others", "shared"), "open-groups"
+            qualified.select("node", "n", "live", "other", "others", "shared"), "open-groups"
         )
         # A group of one node was compared with the whole bound already.
         single = qualified.where("others = 1").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
         )
-        members = placed.select(F.col("node").alias("member"), F.col("group").alias("_group"))
-        opened = qualified.where("others > 1").join(members, F.col("other") == F.col("_group"))
-        opened = opened.select(
-            F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b"), "shared"
+        members = placed.select(
+            F.col("node").alias("member"), F.col("group").alias("_group"),
+            F.col("n").alias("m"), F.col("live").alias("reach"),
+        )
+        opened = qualified.where("others > 1").join(
+            members,
+            F.expr("other = _group AND " + _may_link("n", "m", "least(live, reach, shared)", p)),
         )
-        pairs = self._bounded(opened, "least(la, lb, shared)").union(single)
+        pairs = opened.select(
+            F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")
+        ).union(single)
         pairs = self.workspace.stage(pairs, "pairs")
         self.workspace.discard(placed, live, qualified)
         return pairs

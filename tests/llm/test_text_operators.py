@@ -125,6 +125,21 @@ def test_near_duplicates_equal_brute_force(spark, size, percent):
     }
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_group_bound_holds_for_every_size_in_it(spark, percent):
+    """Whenever a set of some size in the range may link, the bound of the range says so."""
+    may_reach, may_link = token_groups._may_reach, token_groups._may_link
+    ranges = spark.sql(
+        "SELECT n.id AS n, l.id AS least, l.id + w.id AS most, s.id AS shared "
+        "FROM range(1, 41) n, range(1, 46) l, range(0, 9, 2) w, range(1, 9) s"
+    )
+    sizes = ranges.selectExpr("*", "explode(sequence(least, most)) AS m")
+    lost = sizes.where(may_link("n", "m", "shared", percent)).where(
+        f"NOT {may_reach('n', 'least', 'most', 'shared', percent)}"
+    )
+    assert lost.isEmpty()
+
+
 def test_one_row_of_each_group_stays(odd_documents):
     kept = token_groups.one_of_each(odd_documents)
     assert kept.columns == odd_documents.columns
