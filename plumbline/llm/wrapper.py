@@ -260,22 +260,6 @@ def merge(left: Slot, right: Slot) -> Slot:
     )
 
 
-class Wrapper:
-    """The template tree of one host, and the pages it was made from (as a few page hashes, so
-    that copies of one page are not taken for a template)."""
-
-    __slots__ = ("root", "seen")
-
-    def __init__(self, root: Slot, seen: frozenset[int]):
-        self.root, self.seen = root, seen
-
-    def with_other(self, other: "Wrapper") -> "Wrapper":
-        if other.seen <= self.seen:
-            return self
-        seen = frozenset(sorted(self.seen | other.seen)[:LEAST_PAGES])
-        return Wrapper(merge(self.root, other.root), seen)
-
-
 def _plain(slot: Slot) -> tuple:
     head = (slot.label, slot.pages, slot.value, slot.constant, slot.chars, slot.links)
     return (*head, [_plain(s) for s in slot.slots])
@@ -285,18 +269,17 @@ def _slot(plain: tuple) -> Slot:
     return Slot(*plain[:6], [_slot(s) for s in plain[6]])
 
 
-def pack(wrapper: Wrapper) -> bytes:
-    """A wrapper as bytes that any process can read."""
-    return pickle.dumps((_plain(wrapper.root), sorted(wrapper.seen)))
+def pack(wrapper: Slot) -> bytes:
+    """A wrapper, the slot of whole pages, as bytes that any process can read."""
+    return pickle.dumps(_plain(wrapper))
 
 
-def unpack(data: bytes) -> Wrapper:
-    root, seen = pickle.loads(data)
-    return Wrapper(_slot(root), frozenset(seen))
+def unpack(data: bytes) -> Slot:
+    return _slot(pickle.loads(data))
 
 
-def page_wrapper(page: str) -> Wrapper:
-    return Wrapper(slot_of([parse(page)]), frozenset([hash_text(page)]))
+def page_wrapper(page: str) -> Slot:
+    return slot_of([parse(page)])
 
 
 def _chars(slot: Slot, own) -> int:
@@ -366,7 +349,7 @@ def _emit(block: Block, out: list[str], slot: Slot | None, varied: bool) -> None
     out.append("".join(piece))
 
 
-def extract(page: str, wrapper: Wrapper | None) -> str:
+def extract(page: str, wrapper: Slot | None) -> str:
     """The main text of a page, given its host's wrapper."""
     root = parse(page)
     out: list[str] = []
@@ -376,8 +359,8 @@ def extract(page: str, wrapper: Wrapper | None) -> str:
             _emit(block, out, None, False)
     else:
         # Constant slots are only told apart where the host's pages differ.
-        varied = wrapper is not None and len(wrapper.seen) >= LEAST_PAGES
-        _emit(root, out, wrapper.root if varied else None, varied)
+        varied = wrapper is not None and wrapper.pages >= LEAST_PAGES
+        _emit(root, out, wrapper if varied else None, varied)
     return " ".join(p for p in (SPACE.sub(" ", t).strip() for t in out) if p)
 
 
@@ -386,22 +369,31 @@ def host_column(url) -> F.Column:
     return F.coalesce(host, F.lit(""))
 
 
-def _combined(parts) -> Wrapper | None:
+def _combined(parts) -> Slot | None:
     whole = None
     for part in parts:
-        whole = part if whole is None else whole.with_other(part)
+        whole = part if whole is None else merge(whole, part)
     return whole
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from a table of host and html."""
+    """(host, wrapper) from a table of host and html. Of equal pages of a host one counts: trees
+    of single pages, without their texts, are told apart by the digest of the page."""
+
+    def trees(batches):
+        for batch in batches:
+            made = [pack(page_wrapper(page.as_py())) for page in batch.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), batch.column("digest"), pa.array(made, type=pa.binary())],
+                names=["host", "digest", "wrapper"],
+            )
 
     def partial_wrappers(batches):
-        wrappers: dict[str, Wrapper] = {}
+        wrappers: dict[str, Slot] = {}
         for batch in batches:
-            for host, page in zip(batch.column("host"), batch.column("html")):
-                name, made = host.as_py(), page_wrapper(page.as_py())
-                wrappers[name] = wrappers[name].with_other(made) if name in wrappers else made
+            for host, packed in zip(batch.column("host"), batch.column("wrapper")):
+                name, made = host.as_py(), unpack(packed.as_py())
+                wrappers[name] = merge(wrappers[name], made) if name in wrappers else made
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(wrappers), type=pa.string()),
@@ -419,7 +411,10 @@ def induce(pages: DataFrame) -> DataFrame:
         )
 
     schema = "host string, wrapper binary"
-    parts = pages.mapInArrow(partial_wrappers, schema).withColumn(
+    known = pages.select("host", "html", F.sha2(F.col("html").cast("binary"), 256).alias("digest"))
+    single = known.mapInArrow(trees, "host string, digest string, wrapper binary")
+    single = single.groupBy("host", "digest").agg(F.first("wrapper").alias("wrapper"))
+    parts = single.select("host", "wrapper").mapInArrow(partial_wrappers, schema).withColumn(
         "salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))
     )
     once = parts.groupBy("host", "salt").applyInArrow(merged, schema)
@@ -440,7 +435,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     kind = rows.schema["key"].dataType.simpleString()
 
     def work(batches):
-        known: dict[bytes, Wrapper] = {}
+        known: dict[bytes, Slot] = {}
         for batch in batches:
             texts = []
             for page, wrapper in zip(batch.column("html"), batch.column("wrapper")):
