@@ -3,10 +3,13 @@
 A page is a tree of blocks. The trees of a host's pages are aligned by simple tree matching into
 one wrapper: a tree of slots, each with the number of pages that have it, whether its text is the
 same on all of them, and how much of it is text or links. Neighbouring leaves of one label are one
-repeating slot, so the wrapper grows with the templates of a host, not with its pages. A slot with
+repeating slot, so the wrapper grows with the templates of a host, not with its pages; texts that
+it begins or ends with on every page are kept apart. A slot with
 constant text is template; a varying one is content, unless its tag or class says what else it is
 (menu, footer, advert, comments and so on) or it is mostly links. Where a page marks its article,
-text inside is content whatever repeats.
+text outside is left out, and the wrapper decides inside, with a higher bar: a slot is template
+if most of the host's pages with that article element repeat it, and only as long as a fifth of
+the text stays.
 
 Wrappers are merged within each task, then per host in two steps (a busy host has at most one
 partial wrapper for each task), and joined back to the pages.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import math
 import pickle
 import re
 
@@ -36,6 +40,9 @@ LEAST_PAGES = 3
 # Slots of one parent that are aligned in order; with more, blocks of one label form one slot.
 MOST_SLOTS = 48
 LINK_SHARE = 0.6
+# In a marked article: the share of the host's pages with it that have to repeat a slot, and the
+# share of its text that has to stay.
+MAIN_PAGES, LEAST_LEFT = 0.5, 0.2
 SALTS = 32
 
 # What HTML tags mean for the text of an article.
@@ -172,11 +179,13 @@ def parse(page: str) -> Block:
 class Slot:
     """What the wrapper knows about the blocks of one place."""
 
-    __slots__ = ("label", "pages", "value", "constant", "chars", "links", "slots")
+    __slots__ = ("label", "pages", "value", "constant", "chars", "links", "head", "tail", "slots")
 
-    def __init__(self, label, pages, value, constant, chars, links, slots):
+    def __init__(self, label, pages, value, constant, chars, links, head, tail, slots):
         self.label, self.pages, self.value, self.constant = label, pages, value, constant
         self.chars, self.links, self.slots = chars, links, slots
+        # Of a run of leaves: the texts that it begins and ends with on all pages.
+        self.head, self.tail = head, tail
 
 
 def _runs(blocks: list[Block]) -> list[list[Block]]:
@@ -203,12 +212,19 @@ def slot_of(blocks: list[Block]) -> Slot:
     texts = [b.text() for b in blocks]
     value = hash_text("\n".join(texts))
     inner = [x for b in blocks for x in b.blocks()]
+    leaves = tuple(map(hash_text, texts)) if not inner else ()
     return Slot(
         blocks[0].label, 1, value, True, sum(map(len, texts)), sum(b.links for b in blocks),
-        [slot_of(run) for run in _runs(inner)],
+        leaves, leaves, [slot_of(run) for run in _runs(inner)],
     )
 
 
+def _common(left: tuple, right: tuple) -> tuple:
+    """What both begin with."""
+    n = next((i for i, (a, b) in enumerate(zip(left, right)) if a != b), min(len(left), len(right)))
+    return left[:n]
+
+
 def hash_text(text: str) -> int:
     """A 64-bit value that is the same in every process."""
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big")
@@ -256,17 +272,18 @@ def merge(left: Slot, right: Slot) -> Slot:
     return Slot(
         left.label, left.pages + right.pages, left.value,
         left.constant and right.constant and left.value == right.value,
-        left.chars + right.chars, left.links + right.links, slots,
+        left.chars + right.chars, left.links + right.links, _common(left.head, right.head),
+        _common(left.tail[::-1], right.tail[::-1])[::-1], slots,
     )
 
 
 def _plain(slot: Slot) -> tuple:
-    head = (slot.label, slot.pages, slot.value, slot.constant, slot.chars, slot.links)
-    return (*head, [_plain(s) for s in slot.slots])
+    own = (slot.label, slot.pages, slot.value, slot.constant, slot.chars, slot.links)
+    return (*own, slot.head, slot.tail, [_plain(s) for s in slot.slots])
 
 
 def _slot(plain: tuple) -> Slot:
-    return Slot(*plain[:6], [_slot(s) for s in plain[6]])
+    return Slot(*plain[:-1], [_slot(s) for s in plain[-1]])
 
 
 def pack(wrapper: Slot) -> bytes:
@@ -286,10 +303,8 @@ def _chars(slot: Slot, own) -> int:
     return own(slot) + sum(_chars(s, own) for s in slot.slots)
 
 
-def _is_template(slot: Slot) -> bool:
-    if slot.pages >= LEAST_PAGES and slot.constant and slot.chars:
-        return True
-    # Lists of links: menus without a telling name.
+def _is_link_list(slot: Slot) -> bool:
+    """Menus without a telling name."""
     chars = _chars(slot, lambda s: s.chars)
     return bool(chars) and _chars(slot, lambda s: s.links) > LINK_SHARE * chars
 
@@ -314,20 +329,36 @@ def _inner_main(block: Block) -> list[Block]:
     return found
 
 
-def _emit(block: Block, out: list[str], slot: Slot | None, varied: bool) -> None:
-    """The block's text in page order. Without a slot, everything that is not skipped counts."""
-    matched: dict[int, Slot] = {}
-    if slot is not None:
-        runs = _runs(block.blocks())
-        _, pairs = align(
-            runs, slot.slots,
-            lambda x: x[0].label if isinstance(x, list) else x.label,
-            lambda x: _runs([k for b in x for k in b.blocks()]) if isinstance(x, list) else x.slots,
-        )
-        matched = {id(b): slot.slots[j] for i, j in pairs for b in runs[i]}
-    own = slot is None or not varied or not (
-        slot.pages >= LEAST_PAGES and slot.constant and slot.chars
+def _places(block: Block, slot: Slot, into: dict[int, tuple[Slot, int, int]]) -> None:
+    """The slot of every block below ``block``, its place in its run, and the size of the run."""
+    runs = _runs(block.blocks())
+    _, pairs = align(
+        runs, slot.slots,
+        lambda x: x[0].label if isinstance(x, list) else x.label,
+        lambda x: _runs([k for b in x for k in b.blocks()]) if isinstance(x, list) else x.slots,
     )
+    for i, j in pairs:
+        for at, b in enumerate(runs[i]):
+            into[id(b)] = slot.slots[j], at, len(runs[i])
+            if not b.skipped:
+                _places(b, slot.slots[j], into)
+
+
+def _repeated(slot: Slot, at: int, size: int, least: int) -> bool:
+    """Whether the own text of a block of the slot is template: constant on ``least`` pages, or one of the texts
+    that its run begins or ends with on them."""
+    if slot.pages < least or not slot.chars:
+        return False
+    return slot.constant or at < len(slot.head) or size - at <= len(slot.tail)
+
+
+def _emit(
+    block: Block, out: list[str], places: dict, least: int = LEAST_PAGES, links: bool = True
+) -> None:
+    """The block's text in page order. Without places, everything that is not skipped counts;
+    with ``links``, lists of links are template too."""
+    place = places.get(id(block))
+    own = place is None or not _repeated(*place, least)
     piece: list[str] = []
     for part in block.parts:
         if isinstance(part, str):
@@ -338,30 +369,47 @@ def _emit(block: Block, out: list[str], slot: Slot | None, varied: bool) -> None
         piece = []
         if part.skipped:
             continue
-        inner = matched.get(id(part))
-        if inner is not None and varied and _is_template(inner) and not inner.slots:
+        inner = places.get(id(part))
+        if links and inner is not None and _is_link_list(inner[0]):
             continue
-        if inner is not None and varied and inner.slots and _is_template(inner) and (
-            _chars(inner, lambda s: s.links) > LINK_SHARE * _chars(inner, lambda s: s.chars)
-        ):
-            continue
-        _emit(part, out, inner, varied)
+        _emit(part, out, places, least, links)
     out.append("".join(piece))
 
 
+def _joined(pieces: list[str]) -> str:
+    return " ".join(p for p in (SPACE.sub(" ", t).strip() for t in pieces) if p)
+
+
+def _marked_text(block: Block, places: dict) -> str:
+    """The text of a marked article or main element. The mark raises the bar: template is what
+    most of the host's pages with that element repeat, and never nearly all of its text (then
+    the pages are copies of one text)."""
+    whole: list[str] = []
+    _emit(block, whole, {})
+    place = places.get(id(block))
+    if place is None:
+        return _joined(whole)
+    out: list[str] = []
+    least = max(LEAST_PAGES, math.ceil(MAIN_PAGES * place[0].pages))
+    _emit(block, out, places, least, links=False)
+    text, full = _joined(out), _joined(whole)
+    return text if len(text) >= LEAST_LEFT * len(full) else full
+
+
 def extract(page: str, wrapper: Slot | None) -> str:
     """The main text of a page, given its host's wrapper."""
     root = parse(page)
-    out: list[str] = []
+    # Constant slots are only told apart where the host's pages differ.
+    places: dict[int, tuple[Slot, int, int]] = {}
+    if wrapper is not None and wrapper.pages >= LEAST_PAGES:
+        places[id(root)] = wrapper, 0, 1
+        _places(root, wrapper, places)
     main = _inner_main(root) if _has_main(root.blocks()) else []
     if main:
-        for block in main:
-            _emit(block, out, None, False)
-    else:
-        # Constant slots are only told apart where the host's pages differ.
-        varied = wrapper is not None and wrapper.pages >= LEAST_PAGES
-        _emit(root, out, wrapper if varied else None, varied)
-    return " ".join(p for p in (SPACE.sub(" ", t).strip() for t in out) if p)
+        return _joined([_marked_text(block, places) for block in main])
+    out: list[str] = []
+    _emit(root, out, places)
+    return _joined(out)
 
 
 def host_column(url) -> F.Column:
