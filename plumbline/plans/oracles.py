@@ -925,6 +925,19 @@ def statements() -> dict[str, str]:
         body="SELECT count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM "
         f"(SELECT CAST('0x' || substr(md5({row_text}), 1, 12) AS BIGINT) AS h FROM tx)",
     )
+    whole = ["tx_id"]
+    for c in (c for c in NAMES if c != "is_fraud"):
+        first = f"((abs({c}) - floor(abs({c}))) * 4503599627370496.0::DOUBLE)"
+        second = f"(({first} - floor({first})) * 4503599627370496.0::DOUBLE)"
+        whole.append(f"CASE WHEN {c} < 0 THEN 1 WHEN {c} >= 0 THEN 0 END")
+        whole += [f"CAST(floor({x}) AS BIGINT)" for x in (f"abs({c})", first, second)]
+    whole.append("CAST(is_fraud AS BIGINT)")
+    whole_text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in whole)
+    sql["table_fingerprint_all"] = _with(
+        TX,
+        body="SELECT count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM "
+        f"(SELECT CAST('0x' || substr(md5({whole_text}), 1, 12) AS BIGINT) AS h FROM tx)",
+    )
     bounded = [c for c in NUMERIC_FEATURES if FRAUD_CONTRACT.column(c).minimum is not None]
     fields = list(NUMERIC_FEATURES + CATEGORICAL_FEATURES)
     sql["score_contract"] = _with(
