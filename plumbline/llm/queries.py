@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from plumbline.llm import (
     factorization,
     host_rules,
+    line_dedup,
     mixing,
     mixture,
     rule_ensemble,
     secrets,
     suffix,
     token_groups,
+    variants,
     warc,
     wrapper,
 )
@@ -87,6 +89,15 @@ def host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def line_dedup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup.drop_common_lines(_table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_external_index_merge": external_index_merge,
     "op2_temperature_mixing": temperature_mixing,
@@ -98,4 +109,6 @@ QUERIES = {
     "op8_toxicity": toxicity,
     "op9_quality_classifier": quality_classifier,
     "op10_host_rules": host_quality_rules,
+    "op11_spelling_variants": spelling_variants,
+    "op12_line_dedup": line_dedup_documents,
 }

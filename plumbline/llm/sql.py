@@ -101,8 +101,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM k LEFT JOIN h USING (source)
 """
 
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), e AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e
+), common AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), m AS (
+  SELECT k.*, common.key IS NOT NULL AS dropped FROM k LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(dropped AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), ''))
+         AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 STATEMENTS = {
     "op1_external_index_merge": OP1,
     "op4_benchmark_decontamination": OP4,
     "op10_host_rules": OP10,
+    "op12_line_dedup": OP12,
 }
