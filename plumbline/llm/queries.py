@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
+    alignment,
     factorization,
     host_rules,
     line_dedup,
@@ -98,6 +99,10 @@ def line_dedup_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_external_index_merge": external_index_merge,
     "op2_temperature_mixing": temperature_mixing,
@@ -111,4 +116,5 @@ QUERIES = {
     "op10_host_rules": host_quality_rules,
     "op11_spelling_variants": spelling_variants,
     "op12_line_dedup": line_dedup_documents,
+    "op13_tokenizer_alignment": tokenizer_alignment,
 }
