@@ -12,7 +12,8 @@ rarer pairs are shuffled, and each of those pairs has few of them.
 
 Tokenizer files are read by the driver and sent along with the code. Tokenizer A is the byte-level
 vocabulary of a tokenizers file, whose merge order is its id order; it is run by tiktoken, which
-gives the same ids several times faster.
+gives the same ids several times faster, but for texts with runs of white space so long that its
+pattern would exhaust the stack: those are left to the tokenizers library.
 
 Defined results: null and empty texts, and texts that a tokenizer's pieces do not give back byte
 for byte, have no tokens, zero counts and an empty digest. Every row is a document: repeated rows
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,17 +58,23 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+# From this length on a run of white space is left to the slower library.
+LONG_SPACE = re.compile(r"\s{2000}")
+
+
 @dataclass(frozen=True)
 class TokenizerPair:
-    """What executors need: ranks of A's tokens by their bytes, and B's model file."""
+    """What executors need: ranks of A's tokens by their bytes, and both files."""
 
     ranks: dict[bytes, int]
+    stored: str
     model: bytes
 
     @classmethod
     def read(cls, byte_bpe: str, piece_bpe: str) -> "TokenizerPair":
         with open(byte_bpe, encoding="utf-8") as file:
-            stored = json.load(file)
+            text = file.read()
+        stored = json.loads(text)
         special = {t["content"] for t in stored["added_tokens"]}
         vocabulary = {t: i for t, i in stored["model"]["vocab"].items() if t not in special}
         # A merge's priority must be the id of what it makes, or ids as ranks would differ.
@@ -77,7 +85,7 @@ class TokenizerPair:
         alphabet = byte_alphabet()
         ranks = {bytes(alphabet[c] for c in t): i for t, i in vocabulary.items()}
         with open(piece_bpe, "rb") as file:
-            return cls(ranks, file.read())
+            return cls(ranks, text, file.read())
 
 
 def _binary(values: list[bytes]) -> pa.Array:
@@ -94,6 +102,7 @@ class Aligner:
         self.a = tiktoken.Encoding(
             "a", pat_str=PATTERN, mergeable_ranks=pair.ranks, special_tokens={}
         )
+        self.stored, self.slow_a = pair.stored, None
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pair.model)
         self.n_a, self.n_b = max(pair.ranks.values()) + 1, self.b.vocab_size()
         bytes_a = [b""] * self.n_a
@@ -117,10 +126,20 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
+    def _encode_a(self, text: str) -> list[int]:
+        if not LONG_SPACE.search(text):
+            return self.a.encode_ordinary(text)
+        if self.slow_a is None:
+            import tokenizers
+
+            self.slow_a = tokenizers.Tokenizer.from_str(self.stored)
+            self.slow_a.encode_special_tokens = True
+        return self.slow_a.encode(text, add_special_tokens=False).ids
+
     def encode(self, raws: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
         """Token ids of both; none for texts that are empty or not given back byte for byte."""
         texts = [raw.decode("utf-8", "replace") for raw in raws]
-        lists_a = [self.a.encode_ordinary(" " + t) if t else [] for t in texts]
+        lists_a = [self._encode_a(" " + t) if t else [] for t in texts]
         lists_b = [self.b.encode(t, num_threads=1) if t else [] for t in texts]
         made = [pa.array(x, pa.list_(pa.int32())) for x in (lists_a, lists_b)]
         same = np.array([bool(raw) for raw in raws], dtype=bool)
