@@ -1,61 +1,108 @@
-"""Connected components of a table of links, by alternating star contractions."""
+"""Connected components of a table of links, by contracting what one task can see.
+
+1. Each task joins the links of a block in memory and writes (node, root) of what hangs together
+   there.
+2. A node that different blocks gave different roots links those roots. A node has at most one root
+   per block, so this is a small aggregation by node, also for a hub with links in every block.
+3. The same is done with the links between roots, until there are none; then every node looks up
+   the root of its root, level by level.
+
+Roots are chosen by a hash of the node that is another one on each level, so that a chain whose
+links all lie in different blocks loses a constant share of its nodes on each level. A table that
+fits one block is done after the first level.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from plumbline.llm.textkit import mix
 from plumbline.workspace import Workspace
 
+# Links that are joined in memory at a time.
+BLOCK_LINKS = 2_000_000
 
-def _least(edges: DataFrame) -> DataFrame:
-    """Smallest neighbour of each ``a``, itself included."""
-    return edges.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("_a"), F.least("a", "m").alias("m")
-    )
 
+def block_roots(a: np.ndarray, b: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of some links and the root of each: its component's node of the least hash."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    # Labels are ranks by hash; the least label of a component wins.
+    order = np.argsort(mix(nodes.view(np.uint64) + mix(np.uint64([salt]))), kind="stable")
+    label = np.empty(len(nodes), dtype=np.int64)
+    label[order] = np.arange(len(nodes))
+    x, y = label[place[: len(a)]], label[place[len(a) :]]
+    parent = np.arange(len(nodes))
+    while len(x):
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        np.minimum.at(parent, high, low)
+        while True:
+            further = parent[parent]
+            if np.array_equal(further, parent):
+                break
+            parent = further
+        x, y = parent[x], parent[y]
+        open_links = x != y
+        x, y = x[open_links], y[open_links]
+    return nodes, nodes[order[parent[label]]]
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour larger than the node moves to the node's smallest neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = both.join(_least(both), F.col("a") == F.col("_a")).where("b > a")
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
+def _contracted(links: DataFrame, salt: int, block: int) -> DataFrame:
+    """(node, root) of every block of links; a node is there once per block that it is in."""
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour not larger than the node, and the node, move to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = _least(down)
-    moved = down.join(least, F.col("a") == F.col("_a")).select(
-        F.col("b").alias("a"), F.col("m").alias("b")
-    )
-    return moved.unionByName(least.select(F.col("_a").alias("a"), F.col("m").alias("b")))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
 
+        def joined() -> pa.RecordBatch:
+            a, b = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            nodes, roots = block_roots(a, b, salt)
+            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["node", "root"])
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum("b")).first()
+        for batch in batches:
+            held.append([np.asarray(batch.column(i)) for i in (0, 1)])
+            rows += len(batch)
+            if rows >= block:
+                yield joined()
+                held, rows = [], 0
+        if held:
+            yield joined()
 
+    return links.select("a", "b").mapInArrow(work, "node long, root long")
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (columns a and b), root its smallest node.
 
-    The edges of each round are written to the shared folder, so a lost executor costs that round
-    at most; then those of the round before are deleted. A hub's neighbours are summed before the
-    shuffle and joined to one row. The result is a staged table.
-    """
+def components(links: DataFrame, block: int = BLOCK_LINKS) -> DataFrame:
+    """(node, root) of every node of ``links`` (long columns a and b); nodes have the same root,
+    one of them, if and only if links connect them. The result is a staged table."""
     workspace = Workspace.of(links.sparkSession)
-    edges = workspace.stage(links.where("a <> b").select("a", "b").distinct(), "links")
-    state = _state(edges)
+    found, left, level = None, links, 0
     while True:
-        before = edges
-        edges = workspace.stage(_small_star(_large_star(edges)).where("a <> b").distinct(), "links")
-        workspace.discard(before)
-        after = _state(edges)
-        if after == state:
-            break
-        state = after
-    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    found = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
-    found = workspace.stage(found, "components")
-    workspace.discard(edges)
-    return found
+        forest = workspace.stage(_contracted(left, level, block), "block-roots")
+        if level:
+            workspace.discard(left)
+        level += 1
+        several = forest.groupBy("node").agg(F.collect_set("root").alias("roots"))
+        several = several.where("size(roots) > 1")
+        edges = several.select(
+            F.element_at("roots", 1).alias("a"), F.explode(F.expr("slice(roots, 2, size(roots))")).alias("b")
+        )
+        seen = Observation()
+        left = workspace.stage(
+            edges.distinct().observe(seen, F.count(F.lit(1)).alias("links")), "root-links"
+        )
+        one = forest.groupBy("node").agg(F.min("root").alias("root"))
+        if found is not None:
+            # Roots of the level below that were linked have a root on this one.
+            further = one.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+            one = found.join(further, F.col("root") == F.col("_node"), "left").select(
+                "node", F.coalesce("_root", "root").alias("root")
+            )
+        written = workspace.stage(one, "components")
+        workspace.discard(forest, *([] if found is None else [found]))
+        found = written
+        if not seen.get["links"]:
+            workspace.discard(left)
+            return found

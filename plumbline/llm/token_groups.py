@@ -8,7 +8,7 @@ shingle. Two texts link when 100 * |A n B| >= percent * |A u B|.
    |A| - ceil(t |A|) + 1 tokens (the prefix).
 2. Nodes that share prefix tokens with the smallest or largest node of a token, and pass an exact
    comparison, form groups. In further rounds nodes are compared with other leaders of their
-   tokens, drawn by hash, as long as that joins groups: a family of many near copies becomes one
+   tokens, drawn by hash, as long as that joins many groups: a family of many near copies becomes one
    group with work in proportion to its members.
 3. The token-group matrix has a row for each token and group whose union of prefixes holds it. The
    tokens that a node shares with a group's union bound the overlap with each of its members; only
@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
@@ -40,8 +40,11 @@ from plumbline.workspace import Workspace
 SKETCH_BITS = 22
 # A task reports a sketch cell that holds so many of its texts, and so many times the mean.
 SKETCH_LEAST, SKETCH_TIMES = 6, 3
-# Leaders drawn for each node in a round of grouping, and rounds at most before the exact pass.
-LOOKS, ROUNDS = 16, 4
+# Leaders drawn for each node in a round of grouping, and rounds at most before the exact pass. A
+# further round must be worth its jobs: the last one found a link for every so many nodes at least.
+LOOKS, ROUNDS, WORTH = 16, 4, 50
+# Members of an opened group that one task compares with a node.
+GROUP_PART = 256
 
 
 def shingle_sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,17 +164,31 @@ def _may_reach(n: str, least: str, most: str, shared: str, percent: int) -> str:
     return f"({lo} <= {hi} AND ({ends}))"
 
 
+def row_digest(*columns: Column) -> Column:
+    """128 bits that tell different rows apart, nulls included."""
+    return F.struct(
+        F.xxhash64(*columns).alias("h1"),
+        F.xxhash64(F.lit(12), *[c.isNull() for c in columns], *columns).alias("h2"),
+    )
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and the number of its rows once it has been written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 class _Job:
     """Tables of one run."""
 
     def __init__(self, df: DataFrame, key: str, text: str, size: int, percent: int):
         self.workspace = Workspace.of(df.sparkSession)
         self.size, self.percent = size, percent
-        # Equal rows are interchangeable: a row is known by the hash of all its columns.
+        # Equal rows are interchangeable: a row is known by the digest of all its columns.
         self.rows_in = df.select(
             df[f"`{key}`"].alias("key"),
             df[f"`{text}`"].cast("string").alias("text"),
-            F.xxhash64(*[df[f"`{c}`"] for c in df.columns]).alias("row_key"),
+            row_digest(*[df[f"`{c}`"] for c in df.columns]).alias("row_key"),
         )
         rows = described_rows(self.rows_in, "text", ["key", "row_key"], size, percent)
         self.rows = self.workspace.stage(rows, "shingle-rows")
@@ -193,8 +210,9 @@ class _Job:
         self.live = self.workspace.stage(live, "live-postings")
         # A node shares at most its live tokens with any other.
         counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
-        counts = counts.join(self.nodes.select("node", "n"), "node")
+        counts, seen = _counted(counts.join(self.nodes.select("node", "n"), "node"))
         self.known = self.workspace.stage(counts, "live-nodes")
+        self.live_nodes = seen.get["rows"]
         self.workspace.release()
 
     def _bounded(self, pairs: DataFrame, shared: str) -> DataFrame:
@@ -238,9 +256,9 @@ class _Job:
         apart = apart.join(right, F.col("b") == F.col("_nb"), "left")
         return apart.where("coalesce(_ra, a) <> coalesce(_rb, b)").select("a", "b")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets reach the threshold. Sets are made anew from the texts of
-        the nodes in question."""
+    def links(self, pairs: DataFrame) -> tuple[DataFrame, int]:
+        """The pairs whose whole sets reach the threshold, and their number. Sets are made anew
+        from the texts of the nodes in question."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = self.nodes.join(wanted, "node").select("node", F.col("row_key").alias("_row"))
         texts = self.rows_in.join(wanted, F.col("row_key") == F.col("_row"))
@@ -260,10 +278,11 @@ class _Job:
             F.size(F.array_intersect("left", "right")).alias("common"),
         )
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
-        links = self.workspace.stage(linked.select("a", "b"), "shingle-links")
+        linked, seen = _counted(linked.select("a", "b"))
+        links = self.workspace.stage(linked, "shingle-links")
         # The sets are the largest scratch table, and the links are written.
         self.workspace.discard(sets)
-        return links
+        return links, seen.get["rows"]
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:
         """(a, b) of different groups that the token-group matrix cannot rule out; staged."""
@@ -306,13 +325,22 @@ class _Job:
         single = qualified.where("others = 1").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
         )
+        # Members of a large group are dealt to parts, and what opens the group goes to each part.
+        parts = f"CAST(ceil(%s / {GROUP_PART}D) AS INT)"
         members = placed.select(
             F.col("node").alias("member"), F.col("group").alias("_group"),
             F.col("n").alias("m"), F.col("live").alias("reach"),
+            F.expr(f"pmod(xxhash64(node), {parts % 'members'})").alias("_part"),
+        )
+        several = qualified.where("others > 1").withColumn(
+            "part", F.explode(F.expr(f"sequence(0, {parts % 'others'} - 1)"))
         )
-        opened = qualified.where("others > 1").join(
+        opened = several.join(
             members,
-            F.expr("other = _group AND " + _may_link("n", "m", "least(live, reach, shared)", p)),
+            F.expr(
+                "other = _group AND part = _part AND "
+                + _may_link("n", "m", "least(live, reach, shared)", p)
+            ),
         )
         pairs = opened.select(
             F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")
@@ -326,16 +354,16 @@ def _classes(job: _Job) -> DataFrame:
     """(node, root) of all nodes in links, by way of groups and opened groups."""
     workspace = job.workspace
 
-    def joined(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
-        """The groups that the links among staged ``pairs`` make of ``groups``; all else that was
-        staged for them is deleted. The same table if nothing was joined."""
+    def joined(pairs: DataFrame, groups: DataFrame | None) -> tuple[DataFrame, int]:
+        """The groups that the links among staged ``pairs`` make of ``groups``, and how many links
+        these are; all else that was staged for them is deleted."""
         # The plans of the pairs are done with: their shuffles can go before sets are made.
         workspace.release()
-        more = job.links(pairs)
+        more, found = job.links(pairs)
         workspace.discard(pairs)
-        if groups is not None and more.isEmpty():
+        if groups is not None and not found:
             workspace.discard(more)
-            return groups
+            return groups, 0
         edges = more
         if groups is not None:
             # A group is a component so far: joining roots is enough.
@@ -344,15 +372,15 @@ def _classes(job: _Job) -> DataFrame:
         wider = components(edges)
         workspace.discard(more, *([] if groups is None else [groups]))
         workspace.release()
-        return wider
+        return wider, found
 
-    groups = joined(workspace.stage(job.leader_pairs(), "pairs"), None)
+    groups, _ = joined(workspace.stage(job.leader_pairs(), "pairs"), None)
     for number in range(ROUNDS):
-        wider = joined(workspace.stage(job.drawn_pairs(groups, number), "pairs"), groups)
-        if wider is groups:
+        pairs = workspace.stage(job.drawn_pairs(groups, number), "pairs")
+        groups, found = joined(pairs, groups)
+        if found * WORTH < job.live_nodes:
             break
-        groups = wider
-    groups = joined(job.opened_pairs(groups), groups)
+    groups, _ = joined(job.opened_pairs(groups), groups)
     workspace.discard(job.live, job.known)
     return groups
 
@@ -391,7 +419,8 @@ def one_of_each(
     )
     kept = first.select(F.col("first.row_key").alias("_row"))
     plain = [f"c{i}" for i in range(len(df.columns))]
-    whole = df.toDF(*plain).withColumn("row_key", F.xxhash64(*plain))
+    whole = df.toDF(*plain)
+    whole = whole.withColumn("row_key", row_digest(*[whole[c] for c in plain]))
     body = F.col(plain[df.columns.index(text)])
     wordless = body.isNull() | ~body.rlike(r"[^\x20\x09-\x0D]")
     chosen = whole.join(kept, F.col("row_key") == F.col("_row"), "left_semi")
