@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.textkit import mix
@@ -89,10 +89,7 @@ def components(links: DataFrame, block: int = BLOCK_LINKS) -> DataFrame:
         edges = several.select(
             F.element_at("roots", 1).alias("a"), F.explode(F.expr("slice(roots, 2, size(roots))")).alias("b")
         )
-        seen = Observation()
-        left = workspace.stage(
-            edges.distinct().observe(seen, F.count(F.lit(1)).alias("links")), "root-links"
-        )
+        left = workspace.stage(edges.distinct(), "root-links")
         one = forest.groupBy("node").agg(F.min("root").alias("root"))
         if found is not None:
             # Roots of the level below that were linked have a root on this one.
@@ -103,6 +100,6 @@ def components(links: DataFrame, block: int = BLOCK_LINKS) -> DataFrame:
         written = workspace.stage(one, "components")
         workspace.discard(forest, *([] if found is None else [found]))
         found = written
-        if not seen.get["links"]:
+        if left.isEmpty():
             workspace.discard(left)
             return found

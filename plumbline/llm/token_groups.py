@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
@@ -172,12 +172,6 @@ def row_digest(*columns: Column) -> Column:
     )
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df``, and the number of its rows once it has been written."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 class _Job:
     """Tables of one run."""
 
@@ -210,9 +204,9 @@ class _Job:
         self.live = self.workspace.stage(live, "live-postings")
         # A node shares at most its live tokens with any other.
         counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
-        counts, seen = _counted(counts.join(self.nodes.select("node", "n"), "node"))
+        counts = counts.join(self.nodes.select("node", "n"), "node")
         self.known = self.workspace.stage(counts, "live-nodes")
-        self.live_nodes = seen.get["rows"]
+        self.live_nodes = self.known.count()
         self.workspace.release()
 
     def _bounded(self, pairs: DataFrame, shared: str) -> DataFrame:
@@ -278,11 +272,10 @@ class _Job:
             F.size(F.array_intersect("left", "right")).alias("common"),
         )
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
-        linked, seen = _counted(linked.select("a", "b"))
-        links = self.workspace.stage(linked, "shingle-links")
+        links = self.workspace.stage(linked.select("a", "b"), "shingle-links")
         # The sets are the largest scratch table, and the links are written.
         self.workspace.discard(sets)
-        return links, seen.get["rows"]
+        return links, links.count()
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:
         """(a, b) of different groups that the token-group matrix cannot rule out; staged."""
