@@ -106,15 +106,15 @@ def first_requests(log: DataFrame, width: str = LIMIT_WINDOW) -> DataFrame:
     return rows.select("user_id", "window_start", "first.ts", "first.event_id")
 
 
-def rate_limit(log: DataFrame, quota: int = REQUESTS_PER_WINDOW, width: str = LIMIT_WINDOW) -> DataFrame:
-    """Each request with ``admitted``: the first ``quota`` of a user's window are, the rest are not.
+def admit_first(windows: DataFrame, quota: int) -> DataFrame:
+    """Requests of known windows with ``admitted``: the first ``quota`` of a user's window are.
 
     Ranked twice: first inside ``SALTS`` arbitrary parts of each user's window, then only the
     first ``quota`` of every part against each other. A window with very many requests is thus
     never sorted in one task.
     """
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")
-    keyed = log.select("event_id", "ts", "user_id", window_start(width), salt)
+    keyed = windows.select("event_id", "ts", "user_id", "window_start", salt)
     order = [F.col("ts"), F.col("event_id")]
     group = ["user_id", "window_start"]
     in_part = F.row_number().over(Window.partitionBy(*group, "salt").orderBy(*order))
@@ -124,3 +124,8 @@ def rate_limit(log: DataFrame, quota: int = REQUESTS_PER_WINDOW, width: str = LI
     )
     overall = F.row_number().over(Window.partitionBy(*group, "part").orderBy(*order))
     return ranked.withColumn("admitted", F.col("candidate") & (overall <= quota)).drop("salt", "part", "candidate")
+
+
+def rate_limit(log: DataFrame, quota: int = REQUESTS_PER_WINDOW, width: str = LIMIT_WINDOW) -> DataFrame:
+    """Each request with ``admitted``: the first ``quota`` of a user's clock-aligned window."""
+    return admit_first(log.select("event_id", "ts", "user_id", window_start(width)), quota)

@@ -29,7 +29,9 @@ from plumbline.operators import (
     imputation,
     metrics,
     missingness,
+    limits,
     monitoring,
+    neighbours,
     rules,
     scoring,
     signal,
@@ -553,6 +555,18 @@ def mutual_information(spark, sf_dir):
     return per_label(lambda df, y, r: signal.mutual_information(df, y, r), spark, sf_dir)
 
 
+@query("neighbour_information")
+def neighbour_information(spark, sf_dir):
+    features = [c for c in FRAUD_CONTRACT.names if c != "is_fraud"]
+    parts = [
+        neighbours.neighbour_information(labelled(spark, sf_dir, label), label, features, KEY).select(
+            F.lit(label).alias("label"), "*"
+        )
+        for label in LABELS
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
 @query("decile_spread")
 def decile_spread(spark, sf_dir):
     return per_label(lambda df, y, r: signal.decile_spread(df, y, of_role(r, "numeric")), spark, sf_dir)
@@ -806,6 +820,21 @@ def rate_limit_summary(spark, sf_dir):
     return rows.select("user_id", clock(), "n_requests", "n_admitted", "n_rejected")
 
 
+def anchored(rows: DataFrame) -> DataFrame:
+    start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("window_start")
+    return rows.select("event_id", "user_id", start, "admitted")
+
+
+@query("rate_limit_anchored")
+def rate_limit_anchored(spark, sf_dir):
+    return anchored(limits.rate_limit_anchored(requests(spark, sf_dir)))
+
+
+@query("rate_limit_anchored_quota")
+def rate_limit_anchored_quota(spark, sf_dir):
+    return anchored(limits.rate_limit_anchored(requests(spark, sf_dir), quota=2, width="6 hours"))
+
+
 @query("rate_limit_stream")
 def rate_limit_stream(spark, sf_dir):
     rows = jobs.rate_limit_stream(event_stream(spark, sf_dir), width="1 hour")
@@ -818,6 +847,12 @@ def admitted_stream(spark, sf_dir):
     return rows.select("event_id", "user_id", clock())
 
 
+@query("admitted_stream_quota")
+def admitted_stream_quota(spark, sf_dir):
+    rows = jobs.admitted_stream(event_stream(spark, sf_dir), quota=3, width="6 hours")
+    return rows.select("event_id", "user_id", clock())
+
+
 @query("served_counter_stream")
 def served_counter_stream(spark, sf_dir):
     rows = jobs.served_counter_stream(event_stream(spark, sf_dir), "1 hour")

@@ -21,6 +21,15 @@ from plumbline.contract import (
 from plumbline.functions.columns import ERFC_A, ERFC_P
 from plumbline.operators.expectations import FRAUD_SUITE
 from plumbline.operators.monitoring import LATENCY_EDGES
+from plumbline.operators.neighbours import (
+    FEATURE_STEP,
+    FIRST_STEP,
+    GRID_BITS,
+    NEIGHBOURS,
+    NOISE_BITS,
+    PRIME,
+    SECOND_STEP,
+)
 from plumbline.sources.transactions import (
     DIRTY_CELLS,
     LABEL_MASK,
@@ -414,6 +423,48 @@ MI = f"""mi_cells AS ({_mi_cells()}), mi_shares AS (
 )"""
 
 
+def _neighbour_parts() -> list[str]:
+    """Nearest neighbours by windows over each label, nearer rows by a range frame, digamma from
+    harmonic numbers. The grid and the spread of equal values are those of the operator."""
+    features = [c for c in NAMES if c != "is_fraud"]
+    drawn = f"((tx_id % {PRIME} * {FIRST_STEP} + i * {FEATURE_STEP}) % {PRIME} * {SECOND_STEP} % {PRIME}) >> {31 - NOISE_BITS}"
+    cells = _union(
+        [
+            f"SELECT {i} AS i, '{c}' AS feature, tx_id, is_fraud, is_fraud_signal, coalesce({c}, (SELECT median({c}) FROM tx)) AS x FROM tx"
+            for i, c in enumerate(features)
+        ]
+    )
+    labels = _union([f"SELECT '{y}' AS label, {y} AS y, feature, place FROM placed" for y in LABELS])
+    steps = ", ".join(
+        f"place - lag(place, {j}) OVER w, lead(place, {j}) OVER w - place" for j in range(1, NEIGHBOURS + 1)
+    )
+    return [
+        f"cells AS MATERIALIZED ({cells})",
+        "scales AS (SELECT i, avg(x) AS m, stddev_pop(x) AS s FROM cells GROUP BY i)",
+        f"""placed AS MATERIALIZED (SELECT feature, is_fraud, is_fraud_signal, CAST(round(coalesce((x - m) / nullif(s, 0), 0)
+  * {1 << GRID_BITS}) AS BIGINT) * {1 << NOISE_BITS} + ({drawn}) AS place FROM cells JOIN scales USING (i))""",
+        f"long AS MATERIALIZED ({labels})",
+        f"""radii AS MATERIALIZED (SELECT label, feature, y, place, n, list_sort(steps, 'ASC', 'NULLS LAST')[
+  CAST(least({NEIGHBOURS}, n - 1) AS BIGINT)] AS radius FROM (SELECT *, [{steps}] AS steps,
+  count(*) OVER (PARTITION BY label, feature, y) AS n FROM long
+  WINDOW w AS (PARTITION BY label, feature, y ORDER BY place)) WHERE n > 1)""",
+        """nearer AS MATERIALIZED (SELECT label, feature, n, count(*) OVER (PARTITION BY label, feature ORDER BY place
+  RANGE BETWEEN greatest(radius, 1) - 1 PRECEDING AND greatest(radius, 1) - 1 FOLLOWING) AS m FROM radii)""",
+        """harmonic AS MATERIALIZED (SELECT k, coalesce(sum(1.0::DOUBLE / (k - 1)) FILTER (WHERE k > 1) OVER (ORDER BY k), 0)
+  - 0.57721566490153286 AS psi FROM (SELECT unnest(range(1, (SELECT count(*) FROM tx) + 2)) AS k))""",
+    ]
+
+
+def _neighbours() -> str:
+    """One row per label and feature."""
+    return (
+        "SELECT label, feature, greatest(max(p.psi) + avg(k.psi) - avg(y.psi) - avg(m.psi), 0) AS information "
+        "FROM (SELECT *, count(*) OVER (PARTITION BY label, feature) AS total FROM nearer) r "
+        f"JOIN harmonic p ON p.k = r.total JOIN harmonic k ON k.k = least({NEIGHBOURS}, r.n - 1) "
+        "JOIN harmonic y ON y.k = r.n JOIN harmonic m ON m.k = r.m GROUP BY label, feature"
+    )
+
+
 def _decile_rates() -> str:
     return _union(
         [
@@ -582,6 +633,21 @@ def _served() -> str:
     )
 
 
+def _anchored(quota: int, width: str) -> str:
+    """Walks every client's chain of windows, one window at a time."""
+    chain = f"""chain AS (
+  SELECT user_id, min(ts) AS opened FROM log GROUP BY user_id
+  UNION ALL
+  SELECT c.user_id, min(l.ts) FROM chain c
+  JOIN log l ON l.user_id = c.user_id AND l.ts >= c.opened + INTERVAL '{width}' GROUP BY c.user_id
+)"""
+    return (
+        f"WITH RECURSIVE {LOG}, {chain} SELECT l.event_id, l.user_id, strftime(opened, '%Y-%m-%d %H:%M:%S.%f') AS window_start, "
+        f"row_number() OVER (PARTITION BY l.user_id, opened ORDER BY l.ts, l.event_id) <= {quota} AS admitted "
+        "FROM log l ASOF JOIN chain c ON l.user_id = c.user_id AND l.ts >= c.opened"
+    )
+
+
 def _limited(quota: int, unit: str) -> str:
     return (
         f"SELECT user_id, {_start(unit)} AS window_start, count(*) AS n_requests, "
@@ -843,6 +909,11 @@ def statements() -> dict[str, str]:
         body="SELECT label, feature, n_bins, round(mutual_information, 6) AS mutual_information, "
         "round(corrected, 6) AS corrected, corrected >= 0.01 AS flagged FROM mutual",
     )
+    sql["neighbour_information"] = _with(
+        TX, *_neighbour_parts(),
+        body="SELECT label, feature, round(information, 6) AS mutual_information, information >= 0.01 AS flagged "
+        f"FROM ({_neighbours()})",
+    )
     sql["decile_spread"] = _with(TX, DECILES, body=_label_spread(_decile_rates(), "label, feature"))
     sql["category_spread"] = _with(TX, body=_label_spread(_level_rates(), "label, feature"))
     sql["interaction_spread"] = _with(TX, body=_label_spread(_pair_rates(), "label, feature_a, feature_b"))
@@ -961,6 +1032,14 @@ def statements() -> dict[str, str]:
         body=f"SELECT event_id, user_id, {_start('minute')} AS window_start, row_number() OVER (PARTITION BY user_id, "
         "date_trunc('minute', ts) ORDER BY ts, event_id) <= 1 AS admitted FROM log",
     )
+    sql["rate_limit_anchored"] = _anchored(1, "1 minute")
+    sql["rate_limit_anchored_quota"] = _anchored(2, "6 hours")
+    sql["admitted_stream_quota"] = _with(
+        LOG,
+        body="SELECT event_id, user_id, strftime(start, {0}) AS window_start FROM (SELECT *, "
+        "time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS start FROM log) QUALIFY row_number() OVER "
+        "(PARTITION BY user_id, start ORDER BY ts, event_id) <= 3".format(STAMP),
+    )
     sql["rate_limit_summary"] = _with(LOG, body=_limited(2, "hour"))
     sql["rate_limit_stream"] = _with(LOG, body=_limited(1, "hour"))
     sql["admitted_stream"] = _with(

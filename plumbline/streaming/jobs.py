@@ -9,13 +9,16 @@ per-key groups. Replaying a backlog takes all files as one batch, in which no ro
 
 from __future__ import annotations
 
+import heapq
 import logging
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from plumbline.contract import FRAUD_POLICIES, FillPolicy
 from plumbline.functions import sqltext as sql
@@ -146,14 +149,78 @@ def rate_limit_stream(
 
 
 def admitted_stream(
-    events: DataFrame, width: str = monitoring.LIMIT_WINDOW, delay: str = "1 hour", state: str | None = None
+    events: DataFrame,
+    width: str = monitoring.LIMIT_WINDOW,
+    delay: str = "1 hour",
+    state: str | None = None,
+    quota: int = monitoring.REQUESTS_PER_WINDOW,
 ) -> DataFrame:
-    """The requests let through at one per user and window, the earliest first, as rows. Until the
-    watermark passes a window, an earlier request that arrives later takes its place."""
+    """The requests let through, the first ``quota`` of a user and window, as rows. Until the
+    watermark passes a window, an earlier request that arrives later takes the place of the last."""
     log = with_event_time(monitoring.request_log(events), "ts", delay)
-    admitted = monitoring.first_requests(log, width)
-    rows = run_to_table(admitted, "admitted_stream", ["user_id", "window_start"], state)
-    return rows.select("event_id", as_wall_clock("ts").alias("ts"), "user_id", as_wall_clock("window_start").alias("window_start"))
+    if quota == 1:
+        admitted = monitoring.first_requests(log, width)
+        rows = run_to_table(admitted, "admitted_stream", ["user_id", "window_start"], state)
+        shown = as_wall_clock("ts"), as_wall_clock("window_start")
+    else:
+        first = run_to_table(first_of_parts(log, quota, width), "admitted_stream", PART_KEYS, state)
+        # At most quota requests of each of the window's parts.
+        order = Window.partitionBy("user_id", "opens").orderBy("t", "event_id")
+        rows = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= quota)
+        shown = (F.expr(f"timestampadd(MICROSECOND, {c}, {EPOCH})") for c in ("t", "opens"))
+    ts, start = shown
+    return rows.select("event_id", ts.alias("ts"), "user_id", start.alias("window_start"))
+
+
+PART_KEYS = ["user_id", "opens", "part", "place"]
+
+
+def first_of_parts(log: DataFrame, quota: int, width: str) -> DataFrame:
+    """The first ``quota`` requests of every part of a user's window, as a stream of changes.
+
+    The state of a part is those requests, and it goes when the watermark passes the window. A
+    busy user's window is dealt to ``monitoring.SALTS`` parts by request, so that no task sees all
+    of it."""
+    kinds = {c: log.schema[c].dataType.simpleString() for c in ("user_id", "event_id")}
+    part = F.pmod(F.xxhash64("event_id"), F.lit(monitoring.SALTS)).cast("int")
+    window = F.window("ts", width)
+    keyed = log.where("ts IS NOT NULL").select(
+        "user_id",
+        F.unix_micros(window["start"]).alias("opens"),
+        F.unix_millis(window["end"]).alias("closes"),
+        part.alias("part"),
+        "ts",
+        F.unix_micros("ts").alias("t"),
+        "event_id",
+    )
+
+    def kept(key, arrived, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        user, opens, closes, part = key
+        if int(closes) <= state.getCurrentWatermarkMs():
+            return
+        first = list(zip(*state.get)) if state.exists else []
+        for rows in arrived:
+            first = heapq.nsmallest(quota, first + list(zip(rows["t"].tolist(), rows["event_id"].tolist())))
+        state.update(tuple(map(list, zip(*first))))
+        state.setTimeoutTimestamp(int(closes))
+        times, events = zip(*first)
+        yield pd.DataFrame(
+            {
+                "user_id": [user] * len(first), "opens": opens, "part": part, "place": range(len(first)),
+                "t": times, "event_id": events,
+            }
+        )
+
+    return keyed.groupBy("user_id", "opens", "closes", "part").applyInPandasWithState(
+        kept,
+        f"user_id {kinds['user_id']}, opens long, part int, place int, t long, event_id {kinds['event_id']}",
+        f"t array<long>, event_id array<{kinds['event_id']}>",
+        "update",
+        GroupStateTimeout.EventTimeTimeout,
+    )
 
 
 def score_stream(

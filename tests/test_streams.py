@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -53,7 +54,25 @@ def test_first_request_per_window_is_admitted(spark, log, tmp_path):
     assert sorted((r["event_id"], r["user_id"], r["window_start"]) for r in rows) == expected
 
 
-@pytest.mark.parametrize("job", [jobs.rate_limit_stream, jobs.admitted_stream])
+def test_first_requests_of_any_quota_equal_the_batch(spark, log, tmp_path):
+    ids = list(range(600))
+    random.Random(4).shuffle(ids)
+    batch = monitoring.rate_limit(monitoring.request_log(log), quota=3, width="5 minutes").where("admitted")
+    expected = sorted((r["event_id"], r["ts"], r["user_id"], r["window_start"]) for r in batch.collect())
+    assert len(expected) > 3 * 20
+    # Each arrival goes on in the folder of the one before, as after a restart.
+    for part in (ids[:200], ids[200:201], ids[201:450], ids[450:]):
+        events(spark, part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", log.schema)
+        rows = jobs.admitted_stream(stream, "5 minutes", "6 hours", f"{tmp_path}/state", quota=3).collect()
+    assert sorted((r["event_id"], r["ts"], r["user_id"], r["window_start"]) for r in rows) == expected
+
+
+def first_three(stream, state):
+    return jobs.admitted_stream(stream, state=state, quota=3)
+
+
+@pytest.mark.parametrize("job", [jobs.rate_limit_stream, jobs.admitted_stream, first_three])
 def test_state_forgets_passed_windows_and_reports_late_rows(spark, log, tmp_path, caplog, job):
     seen = []
     for n, part in enumerate((range(0, 200), range(4000, 4200), range(8000, 8200), range(0, 10))):
