@@ -45,11 +45,22 @@ LINK_SHARE = 0.6
 MAIN_PAGES, LEAST_LEFT = 0.5, 0.2
 SALTS = 32
 
+# Blocks are nested as deep as this, like in browsers; text of deeper ones belongs to the last.
+MOST_DEPTH = 256
+# What follows a listed word in the class of a part that it names, as in comments-area.
+CONTAINERS = frozenset(
+    "area bar block body box button buttons container content form group holder inner item items "
+    "link links list menu outer panel post posts row section slot text title unit widget wrap "
+    "wrapper".split()
+)
+
 # What HTML tags mean for the text of an article.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = "script|style|noscript|template|svg|iframe|textarea|object|math|xmp|noembed|noframes|select"
+RAW = frozenset(
+    "script style noscript template svg iframe textarea object math xmp noembed noframes select".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
     "s samp small span strike strong sub sup time tt u var wbr nobr".split()
@@ -77,23 +88,26 @@ SKIPPED_WORDS = frozenset(
     "newsletter signup login search widget toolbar skip alert paywall".split()
 )
 
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I,
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# A tag as most are written, found or not before the next < or >.
+SIMPLE = re.compile(
+    r"<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>=]|=(?!\s*[\"'])|=\s*\"[^\"<>]*\"|=\s*'[^'<>]*')*+)>"
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# What ends a tag, or begins a quoted value inside which nothing does.
+TAG_MARK = re.compile(r">|=\s*[\"']")
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPACE = re.compile(r"\s+")
+LONG_REFERENCE = re.compile(r"&#(?:([0-9]{8,})|[xX]([0-9a-fA-F]{8,}));?")
 
 
 class Block:
-    """A block element: its label, and in page order its pieces of text and inner blocks."""
+    """A block element: its label, and in page order its pieces of text and inner blocks. It is
+    skipped for its tag, role or style, or only named like parts that are not of the article."""
 
-    __slots__ = ("label", "tag", "skipped", "parts", "links")
+    __slots__ = ("label", "tag", "skipped", "named", "parts", "links")
 
-    def __init__(self, label: str, tag: str, skipped: bool):
-        self.label, self.tag, self.skipped = label, tag, skipped
+    def __init__(self, label: str, tag: str, skipped: bool, named: bool):
+        self.label, self.tag, self.skipped, self.named = label, tag, skipped, named
         self.parts: list = []
         self.links = 0
 
@@ -104,75 +118,201 @@ class Block:
         return [p for p in self.parts if isinstance(p, Block)]
 
 
-def _label(tag: str, attrs: str, in_main: bool) -> tuple[str, bool]:
-    """The block's label for alignment, and whether tag, role or class take it out."""
+def _named(tokens: list[str], tag: str, in_main: bool) -> bool:
+    """Whether class and id name a part that is not of the article. Around and inside a marked
+    article only names that say so plainly count: a listed word alone, and inside it also one at
+    the end, or at the beginning before the word for a container."""
+    for token in tokens:
+        words = re.findall(r"[a-z]+", token)
+        if not words or SKIPPED_WORDS.isdisjoint(words):
+            continue
+        if len(words) == 1:
+            return True
+        if tag == "article":
+            continue
+        if not in_main or words[-1] in SKIPPED_WORDS:
+            return True
+        if words[0] in SKIPPED_WORDS and words[1] in CONTAINERS | SKIPPED_WORDS:
+            return True
+    return False
+
+
+def _label(tag: str, attrs: str, in_main: bool) -> tuple[str, bool, bool]:
+    """The block's label for alignment, whether tag, role or style take it out, and whether its
+    class or id does."""
     skipped = tag in SKIPPED_TAGS or (tag == "header" and not in_main)
     if not attrs.strip():
-        return tag, skipped
+        return tag, skipped, False
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)}
     names = f"{values.get('class', '')} {values.get('id', '')}".lower()
-    words = re.findall(r"[a-z]+", names)
-    if tag not in ("html", "body", "main"):
-        skipped = skipped or not SKIPPED_WORDS.isdisjoint(words)
+    named = tag not in ("html", "body", "main") and _named(names.split(), tag, in_main)
     hidden = "display:none" in values.get("style", "").replace(" ", "").lower()
     hidden = hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", ATTRIBUTE.sub(" ", attrs)))
     skipped = skipped or hidden or values.get("role", "").lower() in SKIPPED_ROLES
-    return ".".join([tag, *sorted(set(words))]), skipped
+    return ".".join([tag, *sorted(set(re.findall(r"[a-z]+", names)))]), skipped, named
+
+
+class Scanner:
+    """The texts and tags of a page, in one pass: what is scanned is either used or not scanned
+    again."""
+
+    def __init__(self, page: str):
+        self.page, self.last_end, self.quotes = page, page.rfind(">"), True
+
+    def _tag_end(self, at: int) -> int:
+        """Where the tag that is open at ``at`` ends. A tag that never ends shows that quotes are
+        broken, so they mean nothing from there on."""
+        at_first = at
+        while self.quotes:
+            mark = TAG_MARK.search(self.page, at)
+            if mark is None:
+                self.quotes = False
+            elif mark.group() == ">":
+                return mark.start()
+            else:
+                close = self.page.find(mark.group()[-1], mark.end())
+                if close < 0:
+                    self.quotes = False
+                at = close + 1
+        return self.page.find(">", at_first)
+
+    def __iter__(self):
+        """(text, None, None, None) or (None, closing, tag, attributes)."""
+        page, at, size = self.page, 0, len(self.page)
+        while at < size:
+            start = page.find("<", at)
+            if start < 0:
+                start = size
+            if start > at:
+                yield page[at:start], None, None, None
+            if start == size:
+                return
+            simple = SIMPLE.match(page, start) if self.quotes else None
+            if simple is not None and (simple[1] or simple[2].lower() not in RAW):
+                yield None, simple[1], simple[2].lower(), simple[3]
+                at = simple.end()
+                continue
+            if page.startswith("<!--", start):
+                close = page.find("-->", start + 4)
+                at = size if close < 0 else close + 3
+                continue
+            if start > self.last_end:
+                # No tag ends from here on.
+                yield "<", None, None, None
+                at = start + 1
+                continue
+            if page[start + 1 : start + 2] in ("!", "?"):
+                at = page.find(">", start) + 1
+                continue
+            name = NAME.match(page, start)
+            if name is None:
+                if page[start + 1 : start + 2] == "/":
+                    at = page.find(">", start) + 1
+                else:
+                    yield "<", None, None, None
+                    at = start + 1
+                continue
+            end = self._tag_end(name.end())
+            if end < 0:
+                yield "<", None, None, None
+                at = start + 1
+                continue
+            tag, at = name[2].lower(), end + 1
+            if tag in RAW and not name[1]:
+                close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = close.end() if close else size
+                continue
+            yield None, name[1], tag, page[name.end() : end]
+
+
+def _unescaped(text: str) -> str:
+    """Character references decoded; numbers beyond any character are one replacement each."""
+
+    def short(match: re.Match) -> str:
+        digits = (match[1] or match[2]).lstrip("0")
+        if len(digits) > 7:
+            return "\ufffd"
+        return f"&#{'x' if match[2] else ''}{digits or '0'};"
+
+    return html.unescape(LONG_REFERENCE.sub(short, text))
+
+
+class OpenBlocks:
+    """The blocks that are open, and where each tag is among them."""
+
+    def __init__(self, root: Block):
+        self.stack = [(root.tag, root)]
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def last(self, *tags: str) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, tag: str, block: Block) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append((tag, block))
+
+    def close(self, depth: int) -> None:
+        """Close the block at ``depth`` and all inside it."""
+        while len(self.stack) > depth:
+            tag, block = self.stack.pop()
+            self.places[tag].pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+            if len(self.stack) >= MOST_DEPTH:
+                block.parts.append(" ")
 
 
 def parse(page: str) -> Block:
     """The page's tree of blocks. Inline elements are text of their block; a line break is white
     space, so is a block border."""
-    root = Block("#", "#", False)
-    stack = [root]
-    inline_links = inline_skips = 0
-    for match in TOKEN.finditer(page):
-        text = match["text"]
+    root = Block("#", "#", False, False)
+    opened = OpenBlocks(root)
+    inline_links = 0
+    for text, closing, tag, attrs in Scanner(page):
+        block = opened.stack[-1][1]
         if text is not None:
-            if inline_skips:
-                continue
-            text = html.unescape(text)
-            stack[-1].parts.append(text)
+            text = _unescaped(text)
+            block.parts.append(text)
             if inline_links:
-                stack[-1].links += len(text.strip())
-            continue
-        tag = match["tag"]
-        if tag is None:
+                block.links += len(text.strip())
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                inline_links = 0 if match["close"] else 1
+                inline_links = 0 if closing else 1
             continue
         if tag in VOID:
-            stack[-1].parts.append(" ")
+            block.parts.append(" ")
             continue
         inline_links = 0
-        if match["close"]:
+        if closing:
             # A stray end tag closes nothing.
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened.last(tag):
+                opened.close(opened.last(tag))
             continue
-        if stack[-1].tag in CLOSED_BY_BLOCK:
-            stack.pop()
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in SAME_CLOSES.get(tag, ()):
-                del stack[depth:]
-                break
-            if stack[depth].tag in SCOPES:
-                break
-        if tag in ("html", "body") and any(b.tag == tag for b in stack):
+        if opened.stack[-1][0] in CLOSED_BY_BLOCK:
+            opened.close(len(opened.stack) - 1)
+        same = opened.last(*SAME_CLOSES.get(tag, ()))
+        # Up to the next scope, which may itself be what is closed.
+        if same and same >= (opened.scopes[-1] if opened.scopes else 0):
+            opened.close(same)
+        if tag in ("html", "body") and opened.last(tag):
             continue
-        if tag == "body" and stack[-1].tag == "head":
-            stack.pop()
-        in_main = any(b.tag in MAIN_TAGS for b in stack)
-        label, skipped = _label(tag, match["attrs"], in_main)
-        block = Block(label, tag, skipped)
-        stack[-1].parts.append(block)
-        if not match["attrs"].rstrip().endswith("/") or tag in MAIN_TAGS:
-            stack.append(block)
+        if tag == "body" and opened.stack[-1][0] == "head":
+            opened.close(len(opened.stack) - 1)
+        label, skipped, named = _label(tag, attrs, bool(opened.last(*MAIN_TAGS)))
+        parent = opened.stack[-1][1]
+        made = Block(label, tag, skipped, named)
+        if len(opened.stack) < MOST_DEPTH:
+            parent.parts.append(made)
+        else:
+            # Too deep for a block of its own: its text goes on in the parent's, or nowhere.
+            parent.parts.append(" ")
+            made = made if skipped or named else parent
+        if not attrs.rstrip().endswith("/") or tag in MAIN_TAGS:
+            opened.push(tag, made)
     return root
 
 
@@ -309,22 +449,16 @@ def _is_link_list(slot: Slot) -> bool:
     return bool(chars) and _chars(slot, lambda s: s.links) > LINK_SHARE * chars
 
 
-def _has_main(blocks: list[Block]) -> bool:
-    return any(
-        not b.skipped and (b.tag in MAIN_TAGS or _has_main(b.blocks())) for b in blocks
-    )
-
-
-def _inner_main(block: Block) -> list[Block]:
+def _inner_main(block: Block, through_named: bool) -> list[Block]:
     """The articles of a page, or its main element where no article is marked."""
     found = []
     for b in block.blocks():
-        if b.skipped:
+        if b.skipped or (b.named and not (through_named and b.tag not in MAIN_TAGS)):
             continue
         if b.tag == "article":
             found.append(b)
             continue
-        inner = _inner_main(b)
+        inner = _inner_main(b, through_named)
         found += [b] if b.tag == "main" and not any(x.tag == "article" for x in inner) else inner
     return found
 
@@ -353,10 +487,11 @@ def _repeated(slot: Slot, at: int, size: int, least: int) -> bool:
 
 
 def _emit(
-    block: Block, out: list[str], places: dict, least: int = LEAST_PAGES, links: bool = True
+    block: Block, out: list[str], places: dict, least: int = LEAST_PAGES, links: bool = True,
+    names: bool = True,
 ) -> None:
     """The block's text in page order. Without places, everything that is not skipped counts;
-    with ``links``, lists of links are template too."""
+    with ``links``, lists of links are template too; with ``names``, what class and id say counts."""
     place = places.get(id(block))
     own = place is None or not _repeated(*place, least)
     piece: list[str] = []
@@ -367,12 +502,12 @@ def _emit(
             continue
         out.append("".join(piece))
         piece = []
-        if part.skipped:
+        if part.skipped or (names and part.named):
             continue
         inner = places.get(id(part))
         if links and inner is not None and _is_link_list(inner[0]):
             continue
-        _emit(part, out, places, least, links)
+        _emit(part, out, places, least, links, names)
     out.append("".join(piece))
 
 
@@ -404,12 +539,17 @@ def extract(page: str, wrapper: Slot | None) -> str:
     if wrapper is not None and wrapper.pages >= LEAST_PAGES:
         places[id(root)] = wrapper, 0, 1
         _places(root, wrapper, places)
-    main = _inner_main(root) if _has_main(root.blocks()) else []
+    # A block's name does not take out the article that it is around, if there is no other.
+    main = _inner_main(root, False) or _inner_main(root, True)
     if main:
         return _joined([_marked_text(block, places) for block in main])
-    out: list[str] = []
-    _emit(root, out, places)
-    return _joined(out)
+    # Nor does it take out all the text that there is.
+    for names in (True, False):
+        out: list[str] = []
+        _emit(root, out, places, names=names)
+        if text := _joined(out):
+            return text
+    return ""
 
 
 def host_column(url) -> F.Column:
