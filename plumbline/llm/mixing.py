@@ -101,6 +101,8 @@ def mix_sources(
         F.coalesce(F.regexp_count(df[f"`{text}`"], F.lit(TOKENS)), F.lit(0))
         .cast("long")
         .alias("n_tokens"),
+        # Texts with equal keys are spread over blocks by what they say.
+        F.xxhash64(df[f"`{text}`"]).alias("said"),
     )
     texts = workspace.stage(named, "mixing-texts")
     sources = texts.groupBy("name").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
@@ -110,14 +112,15 @@ def mix_sources(
     quotas = sources.select(
         "name",
         "tokens",
-        F.expr(f"pow(tokens / {total or 1.0!r}D, {alpha!r}D) / {powers!r}D * {spend!r}D").alias(
+        # Whole tokens: equal sources get their tokens exactly, however the powers add up.
+        F.expr(f"round(pow(tokens / {total or 1.0!r}D, {alpha!r}D) / {powers!r}D * {spend!r}D)").alias(
             "quota"
         ),
         F.ceil(F.col("tokens") / block_tokens).alias("n_blocks"),
     )
     placed = texts.join(quotas.select("name", "n_blocks"), "name").select(
         "key", "source", "name", "n_tokens",
-        F.pmod(F.xxhash64("key", "n_tokens", F.lit(SEED)), "n_blocks").alias("block"),
+        F.pmod(F.xxhash64("key", "n_tokens", "said", F.lit(SEED)), "n_blocks").alias("block"),
     )
     placed = workspace.stage(placed, "mixing-blocks")
     # Blocks of each pass in hashed order, with the tokens before each. A source's blocks are
@@ -145,8 +148,10 @@ def mix_sources(
         + F.col("before_range")
         + F.coalesce(F.sum("block_tokens").over(within), F.lit(0)),
     )
-    passes = passes.where("block_start < quota").select(
-        "name", "block", "epoch", "block_start", "quota"
+    # What has no tokens may begin where a whole pass ends.
+    whole = (F.col("epoch") + 1) * F.col("tokens") <= F.col("quota")
+    passes = passes.withColumn("whole", whole).where("whole OR block_start < quota").select(
+        "name", "block", "epoch", "block_start", "quota", "whole"
     )
     inside = Window.partitionBy("name", "block", "epoch").orderBy(
         F.xxhash64("key", "epoch", F.lit(SEED)), "key", "n_tokens"
@@ -155,7 +160,7 @@ def mix_sources(
         "start_token",
         F.col("block_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)),
     )
-    return drawn.where("start_token < quota").select(
+    return drawn.where("whole OR start_token < quota").select(
         F.col("key").alias(key), F.col("source").alias(source), "n_tokens", "epoch", "block",
         "start_token",
     )

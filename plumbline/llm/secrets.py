@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.textkit import Texts, text_chunks
+from plumbline.llm.textkit import Texts, row_digest, text_chunks
 from plumbline.workspace import Workspace
 
 LONG, ASSIGNED = 16, 8
@@ -209,7 +209,7 @@ def features_of(value: str, before: str, after: str, words: set[str], longest: i
         float(-(counts * np.log2(counts)).sum()),
         sum(a != b for a, b in zip(kinds, kinds[1:])) / n,
         float(bool(re.fullmatch(r"[0-9a-fA-F-]+", value))),
-        _covered(value, words, longest) if len(value) < 200 else 0.0,
+        _covered(value, words, longest),
         float((tail + value + after[:1]).count("/")),
         value.count(".") / n,
         float(bool(re.search(r"[=:]\s*[\"']?$", before))),
@@ -310,8 +310,9 @@ def redact_secrets(df: DataFrame, text: str = "text", **options) -> DataFrame:
     """``df`` with every secret found replaced by MASK; all rows stay, others are unchanged."""
     plain = [f"c{i}" for i in range(len(df.columns))]
     body = plain[df.columns.index(text)]
-    # Equal rows have equal findings, so a row is known by the hash of all its columns.
-    rows = df.toDF(*plain).withColumn("row_key", F.xxhash64(*plain))
+    # Equal rows have equal findings, so a row is known by the digest of all its columns.
+    rows = df.toDF(*plain)
+    rows = rows.withColumn("row_key", row_digest(*[rows[c] for c in plain]))
     found = judged_findings(rows, body, ("row_key",), **options).where("is_secret")
     spans = found.groupBy("row_key").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")

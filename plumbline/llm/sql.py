@@ -44,7 +44,7 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT pos) AS n_hit
   FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY 1
 ), items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,

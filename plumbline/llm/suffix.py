@@ -181,7 +181,7 @@ def item_blocks(
     items = benchmark.select(
         benchmark[f"`{item}`"].cast("string").alias("item"),
         benchmark[f"`{text}`"].cast("string").alias("text"),
-    ).where("item IS NOT NULL AND text IS NOT NULL")
+    ).where("text IS NOT NULL")
     # Two bytes hold at most one word and its separator.
     sized = items.withColumn("words", (F.octet_length("text") + 1) / 2)
     total = sized.agg(F.sum("words")).first()[0] or 0
@@ -191,7 +191,7 @@ def item_blocks(
         return [ItemBlock([(r["item"], r["text"]) for r in rows], window)]
     blocks = []
     for block in range(count):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(count)) == block).collect()
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == block).collect()
         blocks.append(ItemBlock([(r["item"], r["text"]) for r in part], window))
     return blocks
 
@@ -239,7 +239,7 @@ def _block_pass(df: DataFrame, keep: list[str], text: str, block: ItemBlock, las
                 places = np.flatnonzero(hit)
                 bounds = np.searchsorted(places, words.bounds)
                 items = pa.array(
-                    [sorted(found.get(i, set()) | set(before[i])) for i in range(texts.n)],
+                    [sorted({*found.get(i, ()), *before[i]} - {None}) for i in range(texts.n)],
                     type=pa.list_(pa.string()),
                 )
                 kept = [rows.column(k) for k in keep]
@@ -291,10 +291,14 @@ def contaminated_spans(
         df[f"`{text}`"].cast("string").alias("_text"),
     )
     blocks = item_blocks(benchmark, item, item_text, window, block_words)
+    written = None
     for block in blocks[:-1]:
         # One automaton in a worker at a time: between blocks the rows are written.
         current = _block_pass(current, [*inner, "_text"], "_text", block, last=False)
-        current = Workspace.of(spark).stage(current, "decontaminate")
+        passed = Workspace.of(spark).stage(current, "decontaminate")
+        if written is not None:
+            Workspace.of(spark).discard(written)
+        current = written = passed
     carried = [*inner, "_text"] if text in keep else inner
     out = _block_pass(current, carried, "_text", blocks[-1], last=True)
     return out.withColumnsRenamed({**dict(zip(inner, wanted)), "_text": text})

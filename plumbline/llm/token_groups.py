@@ -30,11 +30,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
-from plumbline.llm.textkit import BASE, PLAIN, Texts, lists, map_texts, mix, text_chunks
+from plumbline.llm.textkit import BASE, PLAIN, Texts, lists, map_texts, mix, row_digest, text_chunks
 from plumbline.workspace import Workspace
 
 SKETCH_BITS = 22
@@ -164,14 +164,6 @@ def _may_reach(n: str, least: str, most: str, shared: str, percent: int) -> str:
     return f"({lo} <= {hi} AND ({ends}))"
 
 
-def row_digest(*columns: Column) -> Column:
-    """128 bits that tell different rows apart, nulls included."""
-    return F.struct(
-        F.xxhash64(*columns).alias("h1"),
-        F.xxhash64(F.lit(12), *[c.isNull() for c in columns], *columns).alias("h2"),
-    )
-
-
 class _Job:
     """Tables of one run."""
 
