@@ -94,7 +94,7 @@ def components(links: DataFrame, block: int = BLOCK_LINKS) -> DataFrame:
         if found is not None:
             # Roots of the level below that were linked have a root on this one.
             further = one.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-            one = found.join(further, F.col("root") == F.col("_node"), "left").select(
+            one = found.join(further.hint("merge"), F.col("root") == F.col("_node"), "left").select(
                 "node", F.coalesce("_root", "root").alias("root")
             )
         written = workspace.stage(one, "components")

@@ -133,6 +133,12 @@ def described_rows(df: DataFrame, text: str, keep: list[str], size: int, percent
 MIX_A, MIX_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """The side of a join that is to be merged, not broadcast: one more small table in the driver
+    for each of very many joins costs it more than the shuffle costs the executors."""
+    return df.hint("merge")
+
+
 def _needed(n: str, m: str, percent: int) -> str:
     """Overlap that two sets of these sizes need, as SQL."""
     return f"ceil({percent} * ({n} + {m}) / {100 + percent}D)"
@@ -192,11 +198,11 @@ class _Job:
         spans = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         spans = spans.where("lo < hi").withColumnRenamed("token", "_token")
         # Most tokens belong to one node; the others are all that is looked at from here.
-        live = postings.join(spans, F.col("token") == F.col("_token")).drop("_token")
+        live = postings.join(_merged(spans), F.col("token") == F.col("_token")).drop("_token")
         self.live = self.workspace.stage(live, "live-postings")
         # A node shares at most its live tokens with any other.
         counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
-        counts = counts.join(self.nodes.select("node", "n"), "node")
+        counts = counts.join(_merged(self.nodes.select("node", "n")), "node")
         self.known = self.workspace.stage(counts, "live-nodes")
         self.live_nodes = self.known.count()
         self.workspace.release()
@@ -210,7 +216,7 @@ class _Job:
         right = self.known.select(
             F.col("node").alias("_b"), F.col("n").alias("nb"), F.col("live").alias("lb")
         )
-        sized = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+        sized = pairs.join(_merged(left), F.col("a") == F.col("_a")).join(_merged(right), F.col("b") == F.col("_b"))
         return sized.where(_may_link("na", "nb", shared, self.percent)).select("a", "b")
 
     def leader_pairs(self) -> DataFrame:
@@ -230,7 +236,7 @@ class _Job:
         draw = F.struct(F.xxhash64("node", look, F.lit(number)).alias("draw"), "node")
         leads = self.live.groupBy("token").agg(F.min(draw).alias("lead"))
         leads = leads.select(F.col("token").alias("_token"), F.col("lead.node").alias("lead"))
-        met = self.live.select("token", "node").join(leads, F.col("token") == F.col("_token"))
+        met = self.live.select("token", "node").join(_merged(leads), F.col("token") == F.col("_token"))
         pairs = met.where("node <> lead").select(
             F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")
         ).distinct()
@@ -238,16 +244,16 @@ class _Job:
         left = roots.select(F.col("node").alias("_na"), F.col("root").alias("_ra"))
         right = roots.select(F.col("node").alias("_nb"), F.col("root").alias("_rb"))
         apart = self._bounded(pairs, "least(la, lb)")
-        apart = apart.join(left, F.col("a") == F.col("_na"), "left")
-        apart = apart.join(right, F.col("b") == F.col("_nb"), "left")
+        apart = apart.join(_merged(left), F.col("a") == F.col("_na"), "left")
+        apart = apart.join(_merged(right), F.col("b") == F.col("_nb"), "left")
         return apart.where("coalesce(_ra, a) <> coalesce(_rb, b)").select("a", "b")
 
     def links(self, pairs: DataFrame) -> tuple[DataFrame, int]:
         """The pairs whose whole sets reach the threshold, and their number. Sets are made anew
         from the texts of the nodes in question."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = self.nodes.join(wanted, "node").select("node", F.col("row_key").alias("_row"))
-        texts = self.rows_in.join(wanted, F.col("row_key") == F.col("_row"))
+        wanted = self.nodes.join(_merged(wanted), "node").select("node", F.col("row_key").alias("_row"))
+        texts = self.rows_in.join(_merged(wanted), F.col("row_key") == F.col("_row"))
         texts = texts.select("node", "text").dropDuplicates(["node"])
 
         def make(texts: Texts, size: int) -> dict[str, pa.Array]:
@@ -258,7 +264,7 @@ class _Job:
         sets = self.workspace.stage(sets, "shingle-sets")
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
-        both = pairs.join(left, "a").join(right, "b")
+        both = pairs.join(_merged(left), "a").join(_merged(right), "b")
         common = both.select(
             "a", "b", (F.size("left") + F.size("right")).alias("total"),
             F.size(F.array_intersect("left", "right")).alias("common"),
@@ -273,16 +279,16 @@ class _Job:
         """(a, b) of different groups that the token-group matrix cannot rule out; staged."""
         p = self.percent
         roots = groups.select(F.col("node").alias("_node"), "root")
-        placed = self.known.join(roots, F.col("node") == F.col("_node"), "left")
+        placed = self.known.join(_merged(roots), F.col("node") == F.col("_node"), "left")
         placed = placed.select("node", "n", "live", F.coalesce("root", "node").alias("group"))
         sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-        placed = self.workspace.stage(placed.join(sizes, "group"), "placed-nodes")
+        placed = self.workspace.stage(placed.join(_merged(sizes), "group"), "placed-nodes")
         self.workspace.release()
-        live = self.live.select("token", "node").join(placed, "node")
+        live = self.live.select("token", "node").join(_merged(placed), "node")
         # Tokens of one group only say nothing about other groups.
         several = live.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
         several = several.where("g < h").select(F.col("token").alias("_token"))
-        live = live.join(several, F.col("token") == F.col("_token"), "left_semi")
+        live = live.join(_merged(several), F.col("token") == F.col("_token"), "left_semi")
         live = self.workspace.stage(live, "open-postings")
         matrix = live.groupBy("token", "group", "members").agg(
             F.min("n").alias("least"), F.max("n").alias("most"), F.max("live").alias("reach")
@@ -376,12 +382,12 @@ def near_duplicates(
     """(key, n_shingles, component_id) of every row; component_id is the smallest key among all
     rows reachable by links."""
     job = _Job(df, key, text, size, percent)
-    placed = job.nodes.join(_classes(job), "node", "left").select(
+    placed = job.nodes.join(_merged(_classes(job)), "node", "left").select(
         "d1", "d2", "key", F.coalesce("root", "node").alias("root")
     )
     names = placed.groupBy("root").agg(F.min("key").alias("component_id"))
-    classes = placed.join(names, "root").select("d1", "d2", "component_id")
-    out = job.rows.where("n > 0").join(classes, ["d1", "d2"])
+    classes = placed.join(_merged(names), "root").select("d1", "d2", "component_id")
+    out = job.rows.where("n > 0").join(_merged(classes), ["d1", "d2"])
     out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
     empty = job.rows.where("n = 0").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("key").alias("component_id")
@@ -395,10 +401,10 @@ def one_of_each(
     """``df`` with one row of each component: that of the smallest key (null last), of equal keys
     the one with the smallest row hash. Rows without words are linked with nothing and stay."""
     job = _Job(df, key, text, size, percent)
-    placed = job.nodes.join(_classes(job), "node", "left").select(
+    placed = job.nodes.join(_merged(_classes(job)), "node", "left").select(
         "d1", "d2", F.coalesce("root", "node").alias("root")
     )
-    rows = job.rows.where("n > 0").join(placed, ["d1", "d2"])
+    rows = job.rows.where("n > 0").join(_merged(placed), ["d1", "d2"])
     first = rows.groupBy("root").agg(
         F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row_key")).alias("first")
     )
@@ -408,6 +414,6 @@ def one_of_each(
     whole = whole.withColumn("row_key", row_digest(*[whole[c] for c in plain]))
     body = F.col(plain[df.columns.index(text)])
     wordless = body.isNull() | ~body.rlike(r"[^\x20\x09-\x0D]")
-    chosen = whole.join(kept, F.col("row_key") == F.col("_row"), "left_semi")
+    chosen = whole.join(_merged(kept), F.col("row_key") == F.col("_row"), "left_semi")
     chosen = chosen.where(~wordless).dropDuplicates(["row_key"])
     return chosen.unionByName(whole.where(wordless)).select(*plain).toDF(*df.columns)
