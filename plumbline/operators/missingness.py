@@ -1,8 +1,8 @@
 """Do missing values look random? Evidence per column, as tables.
 
 Everything about which cells are missing together is in the table of missing-value patterns: one
-bit per column, at most 2^columns groups. One pass builds it; rates, label splits and indicator
-correlations are then arithmetic over a few thousand rows. Driver checks take two more passes.
+bit per column in as many words as it takes. One pass builds it; rates, label splits and indicator
+correlations are then arithmetic over its rows. Driver checks take two more passes.
 """
 
 from __future__ import annotations
@@ -27,13 +27,16 @@ from plumbline.functions.columns import nan_to_null, ratio, two_sided_p
 from plumbline.operators.quantiles import quantile_edges
 
 PATTERN = "_pattern"
+WORD = 62
 
 
 def missing_patterns(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """(pattern, n, positives): bit i of the pattern is set where columns[i] is missing."""
-    if len(columns) > 62:
-        raise ValueError("at most 62 columns fit one pattern")
-    bits = " + ".join(f"CAST({sql.name(c)} IS NULL AS BIGINT) * {1 << i}L" for i, c in enumerate(columns))
+    """(pattern, n, positives): bit i of the pattern's words is set where columns[i] is missing."""
+    words = []
+    for first in range(0, len(columns), WORD):
+        part = enumerate(columns[first : first + WORD])
+        words.append(" + ".join(f"CAST({sql.name(c)} IS NULL AS BIGINT) * {1 << i}L" for i, c in part))
+    bits = f"array({', '.join(words)})"
     return (
         nan_to_null(df.select(*columns, label))
         .groupBy(F.expr(bits).alias(PATTERN))
@@ -42,7 +45,7 @@ def missing_patterns(df: DataFrame, columns: Sequence[str], label: str) -> DataF
 
 
 def _bit(i: int) -> str:
-    return f"getbit({PATTERN}, {i}) = 1"
+    return f"getbit({PATTERN}[{i // WORD}], {i % WORD}) = 1"
 
 
 def _totals(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -105,28 +108,36 @@ def missingness_correlation(patterns: DataFrame, columns: Sequence[str]) -> Data
 
     Pairs with a constant indicator have no correlation and do not count.
     """
-    size = range(len(columns))
-    alone = ", ".join(sql.total("n", _bit(i)) for i in size)
-    both = ", ".join(
-        "array(" + ", ".join(sql.total("n", f"{_bit(min(i, j))} AND {_bit(max(i, j))}") for j in size) + ")"
-        for i in size
+    last = len(columns) - 1
+    set_bits = f"filter(sequence(0, {last}), i -> getbit({PATTERN}[i div {WORD}], i % {WORD}) = 1)"
+    # Pairs of set bits only; the pair (-1, -1) counts all rows, (i, i) those that lack column i.
+    pairs = "flatten(transform(bits, i -> transform(filter(bits, j -> j >= i), j -> named_struct('i', i, 'j', j))))"
+    counted = (
+        patterns.selectExpr("n", f"{set_bits} AS bits")
+        .selectExpr("n", f"inline(concat(array(named_struct('i', -1, 'j', -1)), {pairs}))")
+        .groupBy("i", "j")
+        .agg(F.sum("n").cast("double").alias("n"))
     )
-    totals = patterns.agg(
-        F.expr(f"{sql.total('n')} AS rows"), F.expr(f"array({alone}) AS alone"), F.expr(f"array({both}) AS both")
+    # From here on there is a row per pair of columns, and one number for all rows.
+    rows = F.broadcast(counted.where("i < 0").select(F.lit(0).alias("_all"), F.col("n").alias("rows")))
+    both = counted.where("i >= 0").selectExpr("i AS bi", "j AS bj", "n AS nij")
+    own = counted.where("i >= 0 AND i = j")
+    every = patterns.sparkSession.range(len(columns)).selectExpr(
+        "CAST(id AS INT) AS i", f"explode(sequence(0, {last})) AS j", "0 AS _all"
     )
-    shares = totals.selectExpr(
-        f"transform(alone, m -> {sql.ratio('m', 'rows')}) AS p",
-        f"transform(both, row -> transform(row, m -> {sql.ratio('m', 'rows')})) AS pp",
+    grid = (
+        every.join(rows, "_all")
+        .join(F.broadcast(own.selectExpr("i", "n AS ni")), "i", "left")
+        .join(F.broadcast(own.selectExpr("i AS j", "n AS nj")), "j", "left")
+        .join(both, F.expr("i <> j AND bi = least(i, j) AND bj = greatest(i, j)"), "left")
+        .selectExpr("i", "j", "coalesce(ni, 0D) / rows AS p", "coalesce(nj, 0D) / rows AS q", "coalesce(nij, 0D) / rows AS pq")
     )
-    phi = "abs(try_divide(pp[i][j] - p[i] * p[j], sqrt(p[i] * (1 - p[i]) * p[j] * (1 - p[j]))))"
-    last = len(columns) - 1
-    strongest = f"array_max(transform(filter(sequence(0, {last}), j -> j <> i), j -> {phi}))"
-    names = ", ".join(sql.text(c) for c in columns)
-    return shares.selectExpr(
-        f"inline(transform(sequence(0, {last}), i -> named_struct("
-        f"'column_name', array({names})[i], 'max_abs_correlation', {strongest})))"
-    ).withColumn(
-        "flagged", F.expr(f"coalesce(max_abs_correlation > {MISSING_CORRELATION_FLAG}, false)")
+    phi = "if(i = j, NULL, abs(try_divide(pq - p * q, sqrt(p * (1 - p) * q * (1 - q)))))"
+    return (
+        grid.groupBy("i")
+        .agg(F.max(F.expr(phi)).alias("max_abs_correlation"))
+        .selectExpr(f"array({', '.join(sql.text(c) for c in columns)})[i] AS column_name", "max_abs_correlation")
+        .withColumn("flagged", F.expr(f"coalesce(max_abs_correlation > {MISSING_CORRELATION_FLAG}, false)"))
     )
 
 

@@ -175,6 +175,15 @@ def order_statistics(
             open_ranks[column, rank] = _Range(column, int(lo[start + at]), int(hi[start + at]), below)
 
 
+def _interpolated(positions: Iterable[float], value_at) -> list[float]:
+    found = []
+    for x in positions:
+        low, high = value_at(math.floor(x)), value_at(math.ceil(x))
+        share = x - math.floor(x)
+        found.append(low if low == high else (1 - share) * low + share * high)
+    return found
+
+
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
@@ -195,11 +204,61 @@ def exact_quantiles(
     ranks = {c: {r for x in xs for r in (math.floor(x), math.ceil(x))} for c, xs in positions.items()}
     values = order_statistics(df, ranks, profiles)
     for c, xs in positions.items():
-        result[c] = []
-        for x in xs:
-            low, high = values[c, math.floor(x)], values[c, math.ceil(x)]
-            share = x - math.floor(x)
-            result[c].append(low if low == high else (1 - share) * low + share * high)
+        result[c] = _interpolated(xs, lambda rank, c=c: values[c, rank])
+    return result
+
+
+@dataclass(frozen=True)
+class Quantiles:
+    """Per column, None where nothing is present: the median, quantiles of the present values, and
+    quantiles of the column with its missing values filled with the median."""
+
+    medians: dict[str, float | None]
+    present: dict[str, list[float] | None]
+    filled: dict[str, list[float] | None]
+
+
+def _without_fill(rank: int, p: Profile) -> int | None:
+    """Where the value at a rank of the filled column is among the present ones; None for the
+    median. The copies of the median lie in the middle of the present values."""
+    half = p.present // 2
+    if rank < half:
+        return rank
+    copies = p.missing + p.present % 2
+    return None if rank < half + copies else rank - p.missing
+
+
+def quantiles_around_median(
+    df: DataFrame,
+    profiles: Mapping[str, Profile],
+    present: Mapping[str, Sequence[float]],
+    filled: Mapping[str, Sequence[float]],
+) -> Quantiles:
+    """Medians of all profiled columns, and the wanted quantiles of present and of filled values,
+    in one search: what the filled column has at a rank, the present values have at another."""
+    known = [c for c, p in profiles.items() if p.present]
+    middle = {c: (profiles[c].present - 1) / 2 for c in known}
+    of_present = {c: [(profiles[c].present - 1) * p for p in present[c]] for c in known if c in present}
+    of_filled = {c: [(profiles[c].rows - 1) * p for p in filled[c]] for c in known if c in filled}
+    ranks: dict[str, set[int]] = {}
+    for c in known:
+        ranks[c] = {r for x in (middle[c], *of_present.get(c, ())) for r in (math.floor(x), math.ceil(x))}
+        for x in of_filled.get(c, ()):
+            ranks[c] |= {_without_fill(r, profiles[c]) for r in (math.floor(x), math.ceil(x))} - {None}
+    values = order_statistics(df, ranks, profiles)
+    medians: dict[str, float | None] = {c: None for c in profiles}
+    result = Quantiles(medians, {c: None for c in present}, {c: None for c in filled})
+    for c in known:
+        medians[c] = _interpolated([middle[c]], lambda rank: values[c, rank])[0]
+
+        def filled_value(rank: int) -> float:
+            place = _without_fill(rank, profiles[c])
+            return medians[c] if place is None else values[c, place]
+
+        if c in of_present:
+            result.present[c] = _interpolated(of_present[c], lambda rank: values[c, rank])
+        if c in of_filled:
+            result.filled[c] = _interpolated(of_filled[c], filled_value)
     return result
 
 

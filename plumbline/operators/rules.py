@@ -257,17 +257,25 @@ def fused_results(df: DataFrame, book: RuleBook) -> DataFrame:
     )
 
 
-def repeated_rows(df: DataFrame) -> DataFrame:
-    """(n_rows, n_repeated): rows, and rows that equal an earlier one with nulls equal.
+def row_digest(df: DataFrame) -> tuple[Column, Column]:
+    """128 bits of a row; rows that differ only in which columns are null differ in the second."""
+    columns = [F.col(sql.name(c)) for c in df.columns]
+    return F.xxhash64(*columns), F.xxhash64(F.lit(7), *[c.isNull() for c in columns], *columns)
 
-    One shuffle of whole rows, counted on the map side first: a group of copies of any size is one
-    entry per task.
+
+def repeated_rows(df: DataFrame, digest: Callable[[DataFrame], tuple[Column, Column]] = row_digest) -> DataFrame:
+    """(n_repeated): rows that equal an earlier one, with nulls equal.
+
+    Digests are counted first, on the map side before the shuffle. Only rows whose digest occurs
+    more than once are compared, again counted on the map side: a group of copies of any size is
+    one entry per task, and rows that occur once are never shuffled as a whole.
     """
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_repeated"))
-    )
+    high, low = digest(df)
+    named = df.select(high.alias("_high"), low.alias("_low"), "*")
+    several = named.groupBy("_high", "_low").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    suspects = named.join(several.select("_high", "_low"), ["_high", "_low"], "left_semi")
+    copies = suspects.groupBy(*[F.col(sql.name(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_repeated"))
 
 
 def duplicate_result(df: DataFrame, book: RuleBook, rule: DuplicateRule) -> DataFrame:

@@ -7,7 +7,6 @@ shuffled is a few counts per feature, whatever the table size.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import replace
 from functools import reduce
 from itertools import combinations
 
@@ -19,7 +18,7 @@ from plumbline.contract import CORRELATION_FLAG, LABEL_SPREAD_FLAG, MUTUAL_INFOR
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null, ratio
 from plumbline.operators.ordering import BUCKET, TIE, range_bucketed
-from plumbline.operators.quantiles import Profile, exact_quantiles, profile, quantile_edges
+from plumbline.operators.quantiles import Quantiles, profile, quantile_edges, quantiles_around_median
 
 CATEGORY_LIMIT = 10
 SURE_ESTIMATE = 50
@@ -96,13 +95,20 @@ def _labelled(df: DataFrame, label: str, columns: Iterable[str]) -> DataFrame:
     return nan_to_null(df.select(*columns, label)).where(F.col(label).isNotNull())
 
 
+def _bin_quantiles(
+    clean: DataFrame, features: Sequence[str], present: Mapping[str, int], filled: Mapping[str, int]
+) -> Quantiles:
+    """Medians, and edges of so many equal-frequency bins of present and of filled values."""
+    steps = [{c: [i / n for i in range(n + 1)] for c, n in bins.items()} for bins in (present, filled)]
+    return quantiles_around_median(clean, profile(clean, features), *steps)
+
+
 def mutual_information(
     df: DataFrame,
     label: str,
     roles: Mapping[str, str],
     bins: int = 10,
-    profiles: Mapping[str, Profile] | None = None,
-    medians: Mapping[str, float | None] | None = None,
+    quantiles: Quantiles | None = None,
 ) -> DataFrame:
     """Mutual information with the label in nats, from counts.
 
@@ -113,10 +119,10 @@ def mutual_information(
     features = list(roles)
     numeric = [c for c in features if roles[c] == "numeric"]
     clean = _labelled(df, label, features)
-    profiles = profiles or profile(clean, features)
-    if medians is None:
-        middles = exact_quantiles(clean, {c: [0.5] for c in features}, profiles)
-        medians = {c: q[0] if q else None for c, q in middles.items()}
+    if quantiles is None:
+        quantiles = _bin_quantiles(clean, features, {}, {c: bins for c in numeric})
+    medians = quantiles.medians
+    edges = {c: sorted(set(quantiles.filled[c] or [])) for c in numeric}
     filled = clean.selectExpr(
         f"{sql.name(label)} AS y",
         *[
@@ -124,9 +130,6 @@ def mutual_information(
             for c in features
         ],
     )
-    # Filling with a median moves neither end of a column's range.
-    complete = {c: replace(p, present=p.rows) if p.present else p for c, p in profiles.items()}
-    edges = quantile_edges(filled, numeric, bins, complete)
     # Features travel as small numbers until they are counted.
     cells = sql.rows(
         sql.struct(
@@ -346,12 +349,11 @@ def signal_checks(df: DataFrame, label: str, roles: Mapping[str, str] | None = N
         )
 
     clean = _labelled(df, label, roles)
-    profiles = profile(clean, roles)
-    deciles = [i / 10 for i in range(11)]
-    found = exact_quantiles(clean, {c: deciles if roles[c] == "numeric" else [0.5] for c in roles}, profiles)
-    medians = {c: q[len(q) // 2] if q else None for c, q in found.items()}
-    edges = {c: sorted(set(found[c] or [])) for c in numeric}
-    information = mutual_information(df, label, roles, profiles=profiles, medians=medians)
+    # Bins of all checks from one search.
+    tenths = {c: 10 for c in numeric}
+    quantiles = _bin_quantiles(clean, list(roles), tenths, tenths)
+    edges = {c: sorted(set(quantiles.present[c] or [])) for c in numeric}
+    information = mutual_information(df, label, roles, quantiles=quantiles)
     parts = [shaped(information, "mutual_information", "corrected")]
     if numeric:
         parts.append(shaped(label_correlation(df, label, numeric), "correlation", "correlation"))

@@ -580,6 +580,15 @@ def category_spread(spark, sf_dir):
     return per_label(spread, spark, sf_dir)
 
 
+@query("category_rates")
+def category_rates(spark, sf_dir):
+    def rates(df, y, roles):
+        found = signal.category_rates(df, y, of_role(roles, "categorical"))
+        return found.selectExpr("feature", "level", "n", "positives", "positives / n AS label_rate")
+
+    return per_label(rates, spark, sf_dir)
+
+
 @query("interaction_spread")
 def interaction_spread(spark, sf_dir):
     return per_label(lambda df, y, r: signal.interaction_spread(df, y, of_role(r, "categorical")), spark, sf_dir)

@@ -916,6 +916,18 @@ def statements() -> dict[str, str]:
     )
     sql["decile_spread"] = _with(TX, DECILES, body=_label_spread(_decile_rates(), "label, feature"))
     sql["category_spread"] = _with(TX, body=_label_spread(_level_rates(), "label, feature"))
+    sql["category_rates"] = _with(
+        TX,
+        body=_union(
+            [
+                f"SELECT '{y}' AS label, '{c}' AS feature, CAST({c} AS VARCHAR) AS level, count(*) AS n, "
+                f"CAST(sum({y}) AS BIGINT) AS positives, round(avg({y}), 6) AS label_rate FROM tx "
+                f"WHERE {c} IS NOT NULL GROUP BY {c}"
+                for y in LABELS
+                for c in CATEGORICAL_BY_ROLE
+            ]
+        ),
+    )
     sql["interaction_spread"] = _with(TX, body=_label_spread(_pair_rates(), "label, feature_a, feature_b"))
     sql["interaction_cells"] = (
         "SELECT 'l_returnflag' AS feature_a, 'l_linestatus' AS feature_b, l_returnflag AS level_a, l_linestatus AS level_b, "

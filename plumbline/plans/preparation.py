@@ -16,7 +16,7 @@ from plumbline.operators.features import (
     transform,
 )
 from plumbline.sources.readers import scan_trusted
-from plumbline.sources.sinks import write_processed
+from plumbline.sources.sinks import feature_metadata, write_processed
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class PreparedData:
     processed_path: str
     parameters_path: str
     fitted: Preprocessor
+    metadata_path: str
 
 
 def split_trusted(validated: DataFrame, key: str, label: str) -> DataFrame:
@@ -33,12 +34,15 @@ def split_trusted(validated: DataFrame, key: str, label: str) -> DataFrame:
 def run_preparation(
     spark: SparkSession, validated_path: str, processed_path: str, parameters_path: str, key: str, label: str
 ) -> PreparedData:
-    """The whole stage. The split is a projection, so re-reading it per fit costs no shuffle."""
+    """The whole stage: data of both splits, the fitted parameters, and beside those the metadata of
+    the features they make. The split is a projection, so re-reading it per fit costs no shuffle."""
     split = split_trusted(scan_trusted(spark, validated_path, "validation"), key, label)
     fitted = fit_preprocessor(split.where(F.col("split") == "train"))
     write_processed(transform(split, fitted, [key, label, "split"]), processed_path)
     fitted.table(spark).coalesce(1).write.mode("overwrite").parquet(parameters_path)
-    return PreparedData(processed_path, parameters_path, fitted)
+    metadata_path = f"{parameters_path.rstrip('/')}-metadata"
+    feature_metadata(spark, fitted).coalesce(1).write.mode("overwrite").json(metadata_path)
+    return PreparedData(processed_path, parameters_path, fitted, metadata_path)
 
 
 def load_processed(spark: SparkSession, path: str) -> DataFrame:

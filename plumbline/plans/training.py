@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import pyspark
@@ -11,15 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.contract import SEED
+from plumbline.functions import sqltext as sql
 from plumbline.operators.features import Preprocessor
 from plumbline.operators.fingerprint import artifact_fingerprint
 from plumbline.operators.metrics import binary_metrics, class_weights, ranking_metrics, target_contract
 from plumbline.operators.scoring import predict, with_features
 from plumbline.plans.preparation import load_processed
 from plumbline.sources.readers import MissingInput, scan_trusted
+from plumbline.sources.sinks import append_run
 
 TREES = 100
 MAX_DEPTH = 10
+# Parts that the training rows are dealt to. The forest draws its samples part by part, so the same
+# number gives the same forest on any cluster.
+PARTS = 16
 MANIFEST_SCHEMA = "model_hash string, preprocessor_hash string, engine_version string, trained_at timestamp"
 
 
@@ -32,6 +38,8 @@ class TrainedModel:
     model_path: str
     manifest_path: str
     report_path: str
+    runs_path: str
+    run_id: str
 
 
 def check_targets(processed: DataFrame, label: str) -> None:
@@ -42,14 +50,22 @@ def check_targets(processed: DataFrame, label: str) -> None:
         )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Over all cores if the table lies in fewer files than that; large tables are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def dealt(df: DataFrame, parts: int, key: str | None = None) -> DataFrame:
+    """The rows in ``parts`` parts by the hash of the key, or of the whole row, and in its order:
+    the same parts whatever files the table lies in."""
+    order = [F.col(sql.name(c)) for c in ([key] if key else df.columns)]
+    return df.repartition(parts, *order).sortWithinPartitions(*order)
 
 
 def fit_forest(
-    train: DataFrame, names: list[str], label: str, trees: int = TREES, max_depth: int = MAX_DEPTH, seed: int = SEED
+    train: DataFrame,
+    names: list[str],
+    label: str,
+    trees: int = TREES,
+    max_depth: int = MAX_DEPTH,
+    seed: int = SEED,
+    key: str | None = None,
+    parts: int = PARTS,
 ) -> RandomForestClassificationModel:
     """Class-balanced random forest. Depth is bounded because every level costs passes over the
     data and doubles what the driver keeps per tree; raise ``max_depth`` up to Spark's 30."""
@@ -57,7 +73,7 @@ def fit_forest(
     weight = F.lit(None).cast("double")
     for value, w in weights.items():
         weight = F.when(F.col(label) == F.lit(value), F.lit(w)).otherwise(weight)
-    vectors = with_features(spread(train), names, [label]).withColumn("weight", weight)
+    vectors = with_features(dealt(train, parts, key), names, [label]).withColumn("weight", weight)
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=max_depth, seed=seed
     )
@@ -117,14 +133,19 @@ def run_training(
     label: str,
     trees: int = TREES,
     max_depth: int = MAX_DEPTH,
+    parts: int = PARTS,
 ) -> TrainedModel:
-    """The whole stage; inputs are checked before anything is written."""
+    """The whole stage; inputs are checked before anything is written. The run is added to the
+    history of runs under the output path: its parameters, metrics and where its artifacts are."""
     processed = load_processed(spark, processed_path)
     fitted = Preprocessor.from_table(scan_trusted(spark, parameters_path, "preparation"))
     check_targets(processed, label)
     train = processed.where(F.col("split") == "train")
-    model = fit_forest(train, fitted.feature_names, label, trees, max_depth)
-    paths = TrainedModel(f"{output_path}/model", f"{output_path}/manifest", f"{output_path}/evaluation")
+    model = fit_forest(train, fitted.feature_names, label, trees, max_depth, key=key, parts=parts)
+    paths = TrainedModel(
+        f"{output_path}/model", f"{output_path}/manifest", f"{output_path}/evaluation", f"{output_path}/runs",
+        uuid.uuid4().hex,
+    )
     model.write().overwrite().save(paths.model_path)
     metrics = evaluate(score_split(processed, model, fitted, key, label, "test"), label)
     report = spark.createDataFrame(
@@ -132,6 +153,10 @@ def run_training(
     )
     report.coalesce(1).write.mode("overwrite").json(paths.report_path)
     write_manifest(spark, paths.model_path, parameters_path, paths.manifest_path)
+    settings = {p.name: value for p, value in model.extractParamMap().items()}
+    artifacts = {"model": paths.model_path, "evaluation": paths.report_path, "manifest": paths.manifest_path}
+    entries = {"param": settings | {"parts": parts}, "metric": metrics, "artifact": artifacts}
+    append_run(spark, paths.runs_path, paths.run_id, entries)
     return paths
 
 

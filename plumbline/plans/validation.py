@@ -46,6 +46,7 @@ class ValidationOutcome:
     results: list[Row]
     report_path: str
     validated_path: str | None
+    offenders_path: str | None
 
 
 def _isolated(df: DataFrame, book: RuleBook, keys: Sequence[str]) -> list[tuple]:
@@ -62,13 +63,17 @@ def _isolated(df: DataFrame, book: RuleBook, keys: Sequence[str]) -> list[tuple]
     return rows
 
 
+def _failed_members(book: RuleBook, rows: list[tuple]) -> list[MemberRule]:
+    failed = {r[1] for r in rows if not r[3] and r[4]}
+    return [r for r in book.rules if isinstance(r, MemberRule) and r.name in failed]
+
+
 def _with_offenders(df: DataFrame, book: RuleBook, rows: list[tuple]) -> list[tuple]:
     """Add the smallest offending values to the message of each failed membership rule.
 
-    The message shows up to ``SHOWN_VALUES`` of them; ``offending_values`` has them all.
+    The message shows up to ``SHOWN_VALUES`` of them; ``run_validation`` writes them all.
     """
-    failed = {r[1] for r in rows if not r[3] and r[4]}
-    rules = [r for r in book.rules if isinstance(r, MemberRule) and r.name in failed]
+    rules = _failed_members(book, rows)
     if not rules:
         return rows
     values = offending_values(df, rules)
@@ -113,7 +118,8 @@ def run_validation(
     """The whole stage.
 
     ``keys`` are row-identity columns that are not part of the contract: they are carried into
-    the trusted table, and rows that differ in them are not duplicates.
+    the trusted table, and rows that differ in them are not duplicates. Every offending value of a
+    failed membership rule, with its row count, is written beside the report.
     """
     spark = df.sparkSession
     table = df.drop(*keys)
@@ -130,6 +136,10 @@ def run_validation(
     run_id = uuid.uuid4().hex
     results = result_rows(spark, rows)
     append_report(results, report_path, run_id, source, row_count, column_count, passed)
+    members, offenders = _failed_members(book, rows), None
+    if members:
+        offenders = f"{report_path.rstrip('/')}-offenders/run_id={run_id}"
+        offending_values(table, members).write.parquet(offenders)
     written = None
     if passed:
         impute_guarded(df, policies).write.mode("overwrite").parquet(validated_path)
@@ -140,5 +150,5 @@ def run_validation(
                 logger.error("%s: %s", row[1], error)
     names = [f.split()[0] for f in RESULT_SCHEMA.split(", ")]
     return ValidationOutcome(
-        run_id, passed, row_count, column_count, [Row(*names)(*r) for r in rows], report_path, written
+        run_id, passed, row_count, column_count, [Row(*names)(*r) for r in rows], report_path, written, offenders
     )

@@ -29,6 +29,41 @@ def stage(spark, tmp_path_factory):
     return outcome, data, model
 
 
+def test_stages_record_what_they_did(spark, stage):
+    _, data, model = stage
+    metadata = spark.read.json(data.metadata_path).collect()
+    assert {r["feature_name"] for r in metadata} == set(data.fitted.feature_names)
+    runs = spark.read.schema(sinks.RUN_SCHEMA).parquet(model.runs_path).where(f"run_id = '{model.run_id}'").collect()
+    entries = {(r["kind"], r["key"]): r["value"] for r in runs}
+    assert entries["param", "numTrees"] == "5" and entries["param", "maxDepth"] == "3"
+    report = spark.read.json(model.report_path).first().asDict()
+    assert {k: float(v) for (kind, k), v in entries.items() if kind == "metric"} == report
+    assert entries["artifact", "model"] == model.model_path
+
+
+def test_forest_does_not_depend_on_files(spark, stage):
+    _, data, _ = stage
+    train = preparation.load_processed(spark, data.processed_path).where("split = 'train'")
+    names = data.fitted.feature_names
+    one, other = (
+        training.fit_forest(df, names, "is_fraud", trees=3, max_depth=4, key="tx_id").toDebugString.split("\n", 1)[1]
+        for df in (train.coalesce(1), train.repartition(7))
+    )
+    assert one == other
+
+
+def test_all_offending_values_are_written(spark, tmp_path):
+    frame = valid_pandas(200)
+    frame["device_type"] = [100.0 + i for i in range(200)]
+    outcome = validation.run_validation(
+        to_spark(spark, frame), rules.rule_book(), f"{tmp_path}/reports", f"{tmp_path}/validated", "unit"
+    )
+    assert not outcome.passed
+    written = spark.read.parquet(outcome.offenders_path).where("rule_name LIKE '%device%'")
+    assert sorted(r["value"] for r in written.collect()) == [100.0 + i for i in range(200)]
+    assert sinks.read_reports(spark, outcome.report_path).count() == len(outcome.results)
+
+
 def test_passing_table_is_filled_and_reported(spark, stage):
     outcome, _, _ = stage
     assert outcome.passed and outcome.row_count == 400 and outcome.column_count == 13

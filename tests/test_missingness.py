@@ -91,3 +91,23 @@ def test_report_names_unknown_columns_and_gives_verdicts(table):
 def test_guard_per_batch(table):
     found = missingness.missing_rate_guards(table, by=[missingness.F.col("is_fraud")])
     assert found.count() == 24 and found.columns[0] == "is_fraud"
+
+
+def test_patterns_of_two_hundred_columns(spark):
+    rng = np.random.default_rng(3)
+    columns = [f"c{i}" for i in range(200)]
+    gone = rng.random((120, 200)) < rng.uniform(0, 0.6, 200)
+    gone[:, 5], gone[:, 6], gone[:, 130] = False, True, gone[:, 64]
+    frame = pd.DataFrame(np.where(gone, np.nan, 1.0), columns=columns).assign(is_fraud=rng.integers(0, 2, 120))
+    df = to_spark(spark, frame)
+    patterns = missingness.missing_patterns(df, columns, "is_fraud")
+    rates = {r["column_name"]: r["n_missing"] for r in missingness.missing_rates(patterns, columns).collect()}
+    assert rates == dict(zip(columns, gone.sum(axis=0).tolist()))
+    found = missingness.missingness_correlation(patterns, columns).collect()
+    expected = pd.DataFrame(gone.astype(float), columns=columns).corr().abs()
+    expected = expected.mask(np.eye(200, dtype=bool)).max()
+    assert len(found) == 200
+    for r in found:
+        value = expected[r["column_name"]]
+        assert (r["max_abs_correlation"] is None) if np.isnan(value) else abs(r["max_abs_correlation"] - value) < 1e-9
+    assert next(r for r in found if r["column_name"] == "c130")["flagged"]

@@ -74,3 +74,18 @@ def test_edges_are_distinct(table):
     edges = quantiles.quantile_edges(table, ["ties", "constant"], 10)
     assert edges["constant"] == [3.25]
     assert edges["ties"] == sorted(set(edges["ties"]))
+
+
+@pytest.mark.parametrize("missing", [0, 1, 7, 400])
+@pytest.mark.parametrize("rows", [401, 402, 1])
+def test_quantiles_of_a_filled_column_come_from_its_present_values(spark, rows, missing):
+    values = RNG.integers(0, 60, rows) * 1.5
+    frame = pd.DataFrame({"x": np.append(values, np.full(missing, np.nan)), "void": np.nan})
+    df = spark.createDataFrame(frame).selectExpr("nanvl(x, null) AS x", "nanvl(void, null) AS void")
+    tenths = {"x": [i / 10 for i in range(11)]}
+    found = quantiles.quantiles_around_median(df, quantiles.profile(df, ["x", "void"]), tenths, tenths | {"void": [0.5]})
+    median = np.median(values)
+    assert found.medians == {"x": median, "void": None} and found.filled["void"] is None
+    filled = frame["x"].fillna(median)
+    assert np.allclose(found.present["x"], np.quantile(values, tenths["x"]), rtol=0, atol=1e-9)
+    assert np.allclose(found.filled["x"], np.quantile(filled, tenths["x"]), rtol=0, atol=1e-9)

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from conftest import by_rule, to_spark, valid_pandas
 
 from plumbline.contract import FRAUD_CONTRACT, FRAUD_POLICIES
@@ -111,6 +112,20 @@ def test_repeated_rows_match_pandas_with_nulls_zero_signs_and_a_hot_group(spark)
     assert rules.repeated_rows(spark_frame).first()["n_repeated"] == int(frame.duplicated().sum())
 
 
+def test_rows_of_equal_digest_are_told_apart(spark):
+    """Every digest collides: what differs is still not a repeat."""
+    rows = [(i // 2 % 5, None if i % 3 else i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    same = rules.repeated_rows(df, lambda _: (F.lit(1), F.lit(1))).first()["n_repeated"]
+    assert same == rules.repeated_rows(df).first()["n_repeated"] == 60 - len(set(rows))
+
+
+def test_only_repeated_digests_are_shuffled_as_whole_rows(spark):
+    high, low = rules.row_digest(spark.createDataFrame([(None, 1), (1, None)], "a int, b int"))
+    found = spark.createDataFrame([(None, 1), (1, None)], "a int, b int").select(high.alias("h"), low.alias("l")).collect()
+    assert found[0]["l"] != found[1]["l"]
+
+
 def test_offending_values_are_complete(spark):
     frame = valid_pandas()
     frame.loc[100:160, "device_type"] = np.arange(61) + 10.0
