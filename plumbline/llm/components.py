@@ -100,6 +100,7 @@ def components(links: DataFrame, block: int = BLOCK_LINKS) -> DataFrame:
         written = workspace.stage(one, "components")
         workspace.discard(forest, *([] if found is None else [found]))
         found = written
+        workspace.release()
         if left.isEmpty():
             workspace.discard(left)
             return found

@@ -183,8 +183,7 @@ class _Job:
             row_digest(*[df[f"`{c}`"] for c in df.columns]).alias("row_key"),
         )
         rows = described_rows(self.rows_in, "text", ["key", "row_key"], size, percent)
-        self.rows = self.workspace.stage(rows, "shingle-rows")
-        self.workspace.release()
+        self.rows = self.stage(rows, "shingle-rows")
         nodes = self.rows.where("n > 0").groupBy("d1", "d2").agg(
             F.first("n").alias("n"),
             F.min("key").alias("key"),
@@ -193,19 +192,25 @@ class _Job:
         )
         # Numbered when written: everything later reads these numbers.
         nodes = nodes.withColumn("node", F.monotonically_increasing_id())
-        self.nodes = self.workspace.stage(nodes, "shingle-nodes")
+        self.nodes = self.stage(nodes, "shingle-nodes")
         postings = self.nodes.select("node", F.explode("prefix").alias("token"))
         spans = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
         spans = spans.where("lo < hi").withColumnRenamed("token", "_token")
         # Most tokens belong to one node; the others are all that is looked at from here.
         live = postings.join(_merged(spans), F.col("token") == F.col("_token")).drop("_token")
-        self.live = self.workspace.stage(live, "live-postings")
+        self.live = self.stage(live, "live-postings")
         # A node shares at most its live tokens with any other.
         counts = self.live.groupBy("node").agg(F.count(F.lit(1)).alias("live"))
         counts = counts.join(_merged(self.nodes.select("node", "n")), "node")
-        self.known = self.workspace.stage(counts, "live-nodes")
+        self.known = self.stage(counts, "live-nodes")
         self.live_nodes = self.known.count()
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table of this run. Its plans, shuffles and broadcasts are done with, and there
+        are many such tables: what they hold in the driver goes before the next one is made."""
+        staged = self.workspace.stage(df, name)
         self.workspace.release()
+        return staged
 
     def _bounded(self, pairs: DataFrame, shared: str) -> DataFrame:
         """Of pairs (a, b), those that can reach the threshold; ``shared`` is SQL over a column
@@ -261,7 +266,7 @@ class _Job:
             return {"tokens": lists(values.view(np.int64), bounds, pa.int64())}
 
         sets = map_texts(texts, "text", ["node"], "tokens array<long>", partial(make, size=self.size))
-        sets = self.workspace.stage(sets, "shingle-sets")
+        sets = self.stage(sets, "shingle-sets")
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
         both = pairs.join(_merged(left), "a").join(_merged(right), "b")
@@ -270,7 +275,7 @@ class _Job:
             F.size(F.array_intersect("left", "right")).alias("common"),
         )
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
-        links = self.workspace.stage(linked.select("a", "b"), "shingle-links")
+        links = self.stage(linked.select("a", "b"), "shingle-links")
         # The sets are the largest scratch table, and the links are written.
         self.workspace.discard(sets)
         return links, links.count()
@@ -282,14 +287,13 @@ class _Job:
         placed = self.known.join(_merged(roots), F.col("node") == F.col("_node"), "left")
         placed = placed.select("node", "n", "live", F.coalesce("root", "node").alias("group"))
         sizes = placed.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-        placed = self.workspace.stage(placed.join(_merged(sizes), "group"), "placed-nodes")
-        self.workspace.release()
+        placed = self.stage(placed.join(_merged(sizes), "group"), "placed-nodes")
         live = self.live.select("token", "node").join(_merged(placed), "node")
         # Tokens of one group only say nothing about other groups.
         several = live.groupBy("token").agg(F.min("group").alias("g"), F.max("group").alias("h"))
         several = several.where("g < h").select(F.col("token").alias("_token"))
         live = live.join(_merged(several), F.col("token") == F.col("_token"), "left_semi")
-        live = self.workspace.stage(live, "open-postings")
+        live = self.stage(live, "open-postings")
         matrix = live.groupBy("token", "group", "members").agg(
             F.min("n").alias("least"), F.max("n").alias("most"), F.max("live").alias("reach")
         )
@@ -309,7 +313,7 @@ class _Job:
             F.count(F.lit(1)).alias("shared"), F.min("least").alias("lo"), F.max("most").alias("hi")
         )
         qualified = bounded.where(_may_reach("n", "lo", "hi", "shared", p))
-        qualified = self.workspace.stage(
+        qualified = self.stage(
             qualified.select("node", "n", "live", "other", "others", "shared"), "open-groups"
         )
         # A group of one node was compared with the whole bound already.
@@ -336,7 +340,7 @@ class _Job:
         pairs = opened.select(
             F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")
         ).union(single)
-        pairs = self.workspace.stage(pairs, "pairs")
+        pairs = self.stage(pairs, "pairs")
         self.workspace.discard(placed, live, qualified)
         return pairs
 
@@ -348,8 +352,6 @@ def _classes(job: _Job) -> DataFrame:
     def joined(pairs: DataFrame, groups: DataFrame | None) -> tuple[DataFrame, int]:
         """The groups that the links among staged ``pairs`` make of ``groups``, and how many links
         these are; all else that was staged for them is deleted."""
-        # The plans of the pairs are done with: their shuffles can go before sets are made.
-        workspace.release()
         more, found = job.links(pairs)
         workspace.discard(pairs)
         if groups is not None and not found:
@@ -365,9 +367,9 @@ def _classes(job: _Job) -> DataFrame:
         workspace.release()
         return wider, found
 
-    groups, _ = joined(workspace.stage(job.leader_pairs(), "pairs"), None)
+    groups, _ = joined(job.stage(job.leader_pairs(), "pairs"), None)
     for number in range(ROUNDS):
-        pairs = workspace.stage(job.drawn_pairs(groups, number), "pairs")
+        pairs = job.stage(job.drawn_pairs(groups, number), "pairs")
         groups, found = joined(pairs, groups)
         if found * WORTH < job.live_nodes:
             break
