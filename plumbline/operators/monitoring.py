@@ -75,14 +75,20 @@ def bucket_quantile(log: DataFrame, quantile: float, width: str) -> DataFrame:
     linearly inside that bucket, which starts at 0 for the first one. In the unbounded bucket the
     highest finite boundary is returned. A window without observations has no quantile.
     """
+    value = bucket_quantile_sql(quantile)
+    return _bucket_counts(log, [window_start(width)]).selectExpr("window_start", "n", f"{value} AS latency_quantile")
+
+
+def bucket_quantile_sql(quantile: float) -> str:
+    """The quantile from ``n`` observations, of which ``le0``, ``le1``, ... are at or below the
+    boundaries."""
     rank = f"(n * {sql.number(quantile)})"
     branches, low, before = [], 0.0, "0"
     for i, high in enumerate(LATENCY_EDGES):
         share = sql.ratio(f"{rank} - {before}", f"le{i} - {before}")
         branches.append((f"le{i} >= {rank}", f"{sql.number(low)} + {sql.number(high - low)} * {share}"))
         low, before = high, f"le{i}"
-    value = sql.case([("n = 0", "NULL"), *branches], sql.number(LATENCY_EDGES[-1]))
-    return _bucket_counts(log, [window_start(width)]).selectExpr("window_start", "n", f"{value} AS latency_quantile")
+    return sql.case([("n = 0", "NULL"), *branches], sql.number(LATENCY_EDGES[-1]))
 
 
 def rate_limit_summary(

@@ -23,13 +23,14 @@ from plumbline.contract import (
 )
 from plumbline.functions import sqltext as sql
 from plumbline.operators import (
+    counters,
     expectations,
     features,
     fingerprint,
     imputation,
+    limits,
     metrics,
     missingness,
-    limits,
     monitoring,
     neighbours,
     rules,
@@ -844,6 +845,18 @@ def rate_limit_anchored_quota(spark, sf_dir):
     return anchored(limits.rate_limit_anchored(requests(spark, sf_dir), quota=2, width="6 hours"))
 
 
+@query("counter_rate")
+def counter_rate(spark, sf_dir):
+    samples = counters.sampled_counters(requests(spark, sf_dir)).where("series = -1")
+    return rounded(counters.counter_rates(samples).select("t", "n", "rate"))
+
+
+@query("rate_quantile")
+def rate_quantile(spark, sf_dir):
+    samples = counters.sampled_counters(requests(spark, sf_dir), scrape=60).where("series >= 0")
+    return rounded(counters.rate_quantile(counters.counter_rates(samples, 3600, 3600), 0.95))
+
+
 @query("rate_limit_stream")
 def rate_limit_stream(spark, sf_dir):
     rows = jobs.rate_limit_stream(event_stream(spark, sf_dir), width="1 hour")

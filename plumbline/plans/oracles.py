@@ -675,6 +675,55 @@ SELECT window_start, n, round(CASE WHEN i = {len(LATENCY_EDGES)} THEN low
   ELSE low + (le - low) * (0.5::DOUBLE * n - c0) / (c - c0) END, 9) AS latency_quantile FROM hit"""
 
 
+def _rates(scrape: int, width: int, counted: str, key: str) -> str:
+    """Samples of counters that start again each day, and their rates over ranges side by side.
+    ``counted`` gives (key, slot, c); all parts are computed by windows over whole series."""
+    return f"""slotted AS (
+  SELECT CAST(ceil(epoch_us(ts) / CAST({scrape * 1_000_000} AS DOUBLE)) AS BIGINT) AS slot, served, latency FROM log
+), counted AS ({counted}), grid AS (
+  SELECT k.{key}, unnest(range(lo, hi + 1)) AS slot
+  FROM (SELECT min(slot) AS lo, max(slot) AS hi FROM slotted), (SELECT DISTINCT {key} FROM counted) k
+), samples AS (
+  SELECT {key}, slot * {scrape} AS t, CAST(sum(coalesce(c, 0)) OVER (
+    PARTITION BY {key}, slot * {scrape} // 86400 ORDER BY slot) AS DOUBLE) AS v
+  FROM grid LEFT JOIN counted USING ({key}, slot)
+), resets AS (
+  SELECT *, CASE WHEN lag(v) OVER w > v THEN lag(v) OVER w ELSE 0 END AS lost
+  FROM samples WINDOW w AS (PARTITION BY {key} ORDER BY t)
+), ranges AS (
+  SELECT {key}, CAST(ceil(t / {float(width)}::DOUBLE) AS BIGINT) * {width} AS at, count(*) AS n, min(t) AS t0, max(t) AS t1,
+    arg_min(v, t) AS begun, arg_max(v, t) - arg_min(v, t) + sum(lost) - arg_min(lost, t) AS growth
+  FROM resets GROUP BY 1, 2 HAVING count(*) > 1
+), spans AS (
+  SELECT {key}, at, n, growth, begun, CAST(t1 - t0 AS DOUBLE) AS covered, CAST(t0 - (at - {width}) AS DOUBLE) AS head,
+    CAST(at - t1 AS DOUBLE) AS tail, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS spacing FROM ranges
+), ends AS (
+  SELECT *, CASE WHEN head >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE head END AS h,
+    CASE WHEN tail >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE tail END AS e FROM spans
+), rates AS (
+  SELECT {key}, at AS t, n, growth * (covered + CASE WHEN growth > 0 THEN least(h, covered * begun / growth) ELSE h END + e)
+    / covered / {width} AS rate FROM ends
+)"""
+
+
+def _counter_rate() -> str:
+    counted = "SELECT 0 AS series, slot, count(*) FILTER (WHERE served) AS c FROM slotted GROUP BY slot"
+    return f"WITH {LOG}, {_rates(15, 60, counted, 'series')} SELECT t, n, round(rate, 6) AS rate FROM rates"
+
+
+def _rate_quantile() -> str:
+    counted = "SELECT i, slot, count(*) FILTER (WHERE latency <= le) AS c FROM slotted, edges GROUP BY i, slot"
+    return f"""WITH {LOG}, {_edge_values()}, {_rates(60, 3600, counted, 'i')}, steps AS (
+  SELECT t, i, le, rate AS c, max(CASE WHEN i = {len(LATENCY_EDGES)} THEN rate END) OVER (PARTITION BY t) AS total,
+    coalesce(lag(rate) OVER w, 0) AS c0, coalesce(lag(le) OVER w, 0) AS low
+  FROM rates JOIN edges USING (i) WINDOW w AS (PARTITION BY t ORDER BY i)
+), hit AS (
+  SELECT * FROM steps WHERE c >= 0.95::DOUBLE * total QUALIFY row_number() OVER (PARTITION BY t ORDER BY i) = 1
+)
+SELECT t, round(CASE WHEN total = 0 THEN NULL WHEN i = {len(LATENCY_EDGES)} THEN low
+  ELSE low + (le - low) * (0.95::DOUBLE * total - c0) / (c - c0) END, 6) AS quantile_of_rates FROM hit"""
+
+
 def _stream_guards() -> str:
     start = f"strftime(time_bucket(INTERVAL '7 days', tx_ts, TIMESTAMP '1970-01-01'), {STAMP})"
     return _union(
@@ -1044,6 +1093,8 @@ def statements() -> dict[str, str]:
         body=f"SELECT event_id, user_id, {_start('minute')} AS window_start, row_number() OVER (PARTITION BY user_id, "
         "date_trunc('minute', ts) ORDER BY ts, event_id) <= 1 AS admitted FROM log",
     )
+    sql["counter_rate"] = _counter_rate()
+    sql["rate_quantile"] = _rate_quantile()
     sql["rate_limit_anchored"] = _anchored(1, "1 minute")
     sql["rate_limit_anchored_quota"] = _anchored(2, "6 hours")
     sql["admitted_stream_quota"] = _with(
