@@ -7,13 +7,17 @@ survives lost executors, cuts the lineage, and lets each reader prune columns.
 from __future__ import annotations
 
 import gc
+import logging
 import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+logger = logging.getLogger(__name__)
+
 _WORKSPACES: dict[str, "Workspace"] = {}
 
 
@@ -30,6 +34,26 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _trim_native_heap(gateway) -> None:
+    """The diagnostic command System.trim_native_heap, called through the interface of the server
+    of management beans: its class itself is not open to callers."""
+    jvm = gateway.jvm
+    find = jvm.java.lang.Class.forName
+
+    def array(kind, *values):
+        made = gateway.new_array(kind, len(values))
+        for i, value in enumerate(values):
+            made[i] = value
+        return made
+
+    names = "javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"
+    invoke = find("javax.management.MBeanServer").getMethod("invoke", array(jvm.java.lang.Class, *map(find, names)))
+    bean = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    nothing = array(jvm.java.lang.Object), array(jvm.java.lang.String)
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    invoke.invoke(server, array(jvm.java.lang.Object, bean, "systemTrimNativeHeap", *nothing))
+
+
 class Workspace:
     """Staged tables of one Spark application; results to keep are written to the caller's paths."""
 
@@ -73,9 +97,16 @@ class Workspace:
 
     def release(self) -> None:
         """Let go of the shuffles and broadcasts of finished queries. Spark removes them when the
-        driver collects their handles, which it puts off while it has room."""
+        driver collects their handles, which it puts off while it has room. Each of the many
+        threads that ran them also leaves freed memory with the C library, which is told to give it
+        back; a JVM that cannot is left alone."""
         gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        context = self.spark.sparkContext
+        context._jvm.System.gc()
+        try:
+            _trim_native_heap(context._gateway)
+        except Py4JError:
+            logger.debug("this JVM does not trim its native heap")
 
     def once(self, key: tuple, build: Callable[[], object]) -> object:
         """Build something on first use and remember it for this application."""
