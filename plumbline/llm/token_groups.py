@@ -258,7 +258,8 @@ class _Job:
         from the texts of the nodes in question."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = self.nodes.join(_merged(wanted), "node").select("node", F.col("row_key").alias("_row"))
-        texts = self.rows_in.join(_merged(wanted), F.col("row_key") == F.col("_row"))
+        # Texts are looked up as they come, not sorted.
+        texts = self.rows_in.join(wanted.hint("shuffle_hash"), F.col("row_key") == F.col("_row"))
         texts = texts.select("node", "text").dropDuplicates(["node"])
 
         def make(texts: Texts, size: int) -> dict[str, pa.Array]:
@@ -416,6 +417,6 @@ def one_of_each(
     whole = whole.withColumn("row_key", row_digest(*[whole[c] for c in plain]))
     body = F.col(plain[df.columns.index(text)])
     wordless = body.isNull() | ~body.rlike(r"[^\x20\x09-\x0D]")
-    chosen = whole.join(_merged(kept), F.col("row_key") == F.col("_row"), "left_semi")
+    chosen = whole.join(kept.hint("shuffle_hash"), F.col("row_key") == F.col("_row"), "left_semi")
     chosen = chosen.where(~wordless).dropDuplicates(["row_key"])
     return chosen.unionByName(whole.where(wordless)).select(*plain).toDF(*df.columns)
