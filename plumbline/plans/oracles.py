@@ -691,17 +691,17 @@ def _rates(scrape: int, width: int, counted: str, key: str) -> str:
   SELECT *, CASE WHEN lag(v) OVER w > v THEN lag(v) OVER w ELSE 0 END AS lost
   FROM samples WINDOW w AS (PARTITION BY {key} ORDER BY t)
 ), ranges AS (
-  SELECT {key}, CAST(ceil(t / {float(width)}::DOUBLE) AS BIGINT) * {width} AS at, count(*) AS n, min(t) AS t0, max(t) AS t1,
+  SELECT {key}, CAST(ceil(t / {float(width)}::DOUBLE) AS BIGINT) * {width} AS due, count(*) AS n, min(t) AS t0, max(t) AS t1,
     arg_min(v, t) AS begun, arg_max(v, t) - arg_min(v, t) + sum(lost) - arg_min(lost, t) AS growth
   FROM resets GROUP BY 1, 2 HAVING count(*) > 1
 ), spans AS (
-  SELECT {key}, at, n, growth, begun, CAST(t1 - t0 AS DOUBLE) AS covered, CAST(t0 - (at - {width}) AS DOUBLE) AS head,
-    CAST(at - t1 AS DOUBLE) AS tail, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS spacing FROM ranges
+  SELECT {key}, due, n, growth, begun, CAST(t1 - t0 AS DOUBLE) AS covered, CAST(t0 - (due - {width}) AS DOUBLE) AS head,
+    CAST(due - t1 AS DOUBLE) AS tail, CAST(t1 - t0 AS DOUBLE) / (n - 1) AS spacing FROM ranges
 ), ends AS (
   SELECT *, CASE WHEN head >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE head END AS h,
     CASE WHEN tail >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE tail END AS e FROM spans
 ), rates AS (
-  SELECT {key}, at AS t, n, growth * (covered + CASE WHEN growth > 0 THEN least(h, covered * begun / growth) ELSE h END + e)
+  SELECT {key}, due AS t, n, growth * (covered + CASE WHEN growth > 0 THEN least(h, covered * begun / growth) ELSE h END + e)
     / covered / {width} AS rate FROM ends
 )"""
 
