@@ -9,7 +9,7 @@ per-key groups. Replaying a backlog takes all files as one batch, in which no ro
 
 from __future__ import annotations
 
-import heapq
+import bisect
 import logging
 from collections.abc import Sequence
 
@@ -175,49 +175,68 @@ def admitted_stream(
 PART_KEYS = ["user_id", "opens", "part", "place"]
 
 
-def first_of_parts(log: DataFrame, quota: int, width: str) -> DataFrame:
-    """The first ``quota`` requests of every part of a user's window, as a stream of changes.
+def first_of_parts(log: DataFrame, quota: int, width: str, parts: int = monitoring.SALTS) -> DataFrame:
+    """The first ``quota`` requests of each user in every part of a window, as a stream of changes.
 
-    The state of a part is those requests, and it goes when the watermark passes the window. A
-    busy user's window is dealt to ``monitoring.SALTS`` parts by request, so that no task sees all
-    of it."""
+    A window is dealt to ``parts`` parts by request, so that no task sees all of it or all of a
+    busy user's. Most users have few requests in a window: the state is kept per part, for all its
+    users at once, and it goes when the watermark passes the window. Requests without an id come
+    before those with one."""
     kinds = {c: log.schema[c].dataType.simpleString() for c in ("user_id", "event_id")}
-    part = F.pmod(F.xxhash64("event_id"), F.lit(monitoring.SALTS)).cast("int")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int")
     window = F.window("ts", width)
+    # Nulls are told by a flag: in pandas they would make whole numbers floating.
+    known = [F.col(c).isNotNull().alias(f"{c}_known") for c in kinds]
+    ids = [F.coalesce(F.col(c), F.lit(0).cast(kind)).alias(c) for c, kind in kinds.items()]
     keyed = log.where("ts IS NOT NULL").select(
-        "user_id",
         F.unix_micros(window["start"]).alias("opens"),
         F.unix_millis(window["end"]).alias("closes"),
         part.alias("part"),
         "ts",
         F.unix_micros("ts").alias("t"),
-        "event_id",
+        *ids,
+        *known,
     )
+    fields = ["user_id_known", "user_id", "t", "event_id_known", "event_id"]
 
     def kept(key, arrived, state):
         if state.hasTimedOut:
             state.remove()
             return
-        user, opens, closes, part = key
+        opens, closes, part = key
         if int(closes) <= state.getCurrentWatermarkMs():
             return
-        first = list(zip(*state.get)) if state.exists else []
+        first, changed = {}, set()
+        if state.exists:
+            for has_user, user, *request in zip(*state.get):
+                first.setdefault((has_user, user), []).append(tuple(request))
         for rows in arrived:
-            first = heapq.nsmallest(quota, first + list(zip(rows["t"].tolist(), rows["event_id"].tolist())))
-        state.update(tuple(map(list, zip(*first))))
+            for has_user, user, *request in zip(*(rows[f].tolist() for f in fields)):
+                mine = first.setdefault((has_user, user), [])
+                bisect.insort(mine, tuple(request))
+                del mine[quota:]
+                changed.add((has_user, user))
+        held = [(*user, *request) for user, mine in first.items() for request in mine]
+        state.update(tuple(map(list, zip(*held))))
         state.setTimeoutTimestamp(int(closes))
-        times, events = zip(*first)
+        out = [
+            (user if has_user else None, place, t, event if has_event else None)
+            for has_user, user in changed
+            for place, (t, has_event, event) in enumerate(first[has_user, user])
+        ]
+        users, places, times, events = map(list, zip(*out))
         yield pd.DataFrame(
             {
-                "user_id": [user] * len(first), "opens": opens, "part": part, "place": range(len(first)),
-                "t": times, "event_id": events,
+                "user_id": pd.Series(users, dtype=object), "opens": opens, "part": part, "place": places,
+                "t": times, "event_id": pd.Series(events, dtype=object),
             }
         )
 
-    return keyed.groupBy("user_id", "opens", "closes", "part").applyInPandasWithState(
+    return keyed.groupBy("opens", "closes", "part").applyInPandasWithState(
         kept,
         f"user_id {kinds['user_id']}, opens long, part int, place int, t long, event_id {kinds['event_id']}",
-        f"t array<long>, event_id array<{kinds['event_id']}>",
+        f"user_known array<boolean>, user array<{kinds['user_id']}>, t array<long>, "
+        f"event_known array<boolean>, event array<{kinds['event_id']}>",
         "update",
         GroupStateTimeout.EventTimeTimeout,
     )

@@ -87,6 +87,27 @@ def test_state_forgets_passed_windows_and_reports_late_rows(spark, log, tmp_path
     assert 0 < state.count() <= seen[2] - seen[1]
 
 
+def test_first_requests_of_many_users_share_the_state_of_a_window(spark, tmp_path):
+    # Ids that a double cannot tell apart, and users and requests without one.
+    big = 2**60
+    rows = [(big + i, START + dt.timedelta(seconds=i % 50), i % 400 or None, "view", 1.0) for i in range(1600)]
+    rows += [(None, START + dt.timedelta(seconds=9), 5, "view", 1.0), (None, START, None, "view", 1.0)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    for part in (rows[800:], rows[:800]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = jobs.file_stream(spark, f"{tmp_path}/in", log.schema)
+        found = jobs.admitted_stream(stream, state=f"{tmp_path}/state", quota=3).collect()
+    batch = monitoring.rate_limit(monitoring.request_log(log), quota=3).where("admitted").collect()
+
+    def known(rows):
+        columns = ("event_id", "ts", "user_id", "window_start")
+        return sorted((tuple(str(r[c]) for c in columns) for r in rows))
+
+    assert known(found) == known(batch) and len(batch) == 1200
+    # 400 users in one window: no more groups than the window has parts.
+    assert spark.read.format("statestore").load(f"{tmp_path}/state/checkpoint").count() <= monitoring.SALTS
+
+
 def test_row_limit_admits_the_earliest(log):
     rows = monitoring.rate_limit(monitoring.request_log(log), quota=2).collect()
     groups = {}
