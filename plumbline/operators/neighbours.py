@@ -8,9 +8,10 @@ included), the information is
 
 In one dimension neighbours are neighbours in sorted order. Rows are dealt to range slices of the
 order (feature, label, value); the k rows at either border of a slice meet those of the slices
-around it, all others find their neighbours inside. The nearer rows are the difference of two
-positions in the order (feature, value), which running totals over slices give. Neither step has a
-task with more than a slice, whatever share of the rows has one value or label.
+around it, all others find their neighbours inside. The nearer rows are counted in slices of the
+order (feature, value): most rows have all of them in their own slice, and what lies beyond its
+borders is counted by running totals over the points that any row asks for. No step has a task
+with more than a slice, whatever share of the rows has one value or label.
 
 Values are placed on a whole-number grid of 2^-``GRID_BITS`` standard deviations, so distances
 compare exactly. Equal values would all be at distance 0; they are spread inside their grid cell by
@@ -19,14 +20,17 @@ a number drawn from the row's key, the same on every run.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 from plumbline.functions.columns import nan_to_null
-from plumbline.operators.ordering import BUCKET, TIE, range_bucketed, running_totals
+from plumbline.operators.ordering import TIE, running_totals
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.workspace import Workspace
 
@@ -72,69 +76,192 @@ def _on_grid(filled: DataFrame, label: str, key: str, columns: Sequence[str]) ->
     # One row per label; a label with a single row has no neighbours.
     labels = filled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     known = filled.join(labels.withColumnRenamed("y", "_y"), F.expr("y = _y"))
-    return known.selectExpr("y", "n", sql.rows(cells))
+    return known.selectExpr("_y AS y", "n", sql.rows(cells))
 
 
-def _neighbours(window, k: int, suffix: str) -> list[Column]:
-    before = [F.lag("place", j).over(window).alias(f"before{j}{suffix}") for j in range(1, k + 1)]
-    return before + [F.lead("place", j).over(window).alias(f"after{j}{suffix}") for j in range(1, k + 1)]
+# Rows of a batch that a slice is returned in.
+BATCH = 100_000
 
 
-def _radius(k: int, at_border: bool) -> Column:
-    """Distance to the k-th nearest of the rows found, or to the farthest that a small label has."""
+def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows in range slices of the order, one per task. Ties are spread over slices."""
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    return tied.repartitionByRange(*map(F.col, order), F.col(TIE)).drop(TIE)
+
+
+def _slice(batches: Iterable[pa.RecordBatch]) -> pa.Table | None:
+    held = [b for b in batches if len(b)]
+    return pa.Table.from_batches(held) if held else None
+
+
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    fresh = np.ones(len(keys[0]) + 1, dtype=bool)
+    fresh[1:-1] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(fresh)
 
-    def found(name: str) -> str:
-        return f"coalesce({name}, {name}_)" if at_border else name
 
-    steps = [f"place - {found(f'before{j}')}" for j in range(1, k + 1)]
-    steps += [f"{found(f'after{j}')} - place" for j in range(1, k + 1)]
+def _radius(k: int) -> Column:
+    """Distance to the k-th nearest of the rows found, or to the farthest that a small label has."""
+    steps = [f"place - coalesce(before{j}, before{j}_)" for j in range(1, k + 1)]
+    steps += [f"coalesce(after{j}, after{j}_) - place" for j in range(1, k + 1)]
     near = f"array_sort(filter(array({', '.join(steps)}), d -> d IS NOT NULL))"
     return F.expr(f"element_at({near}, CAST(least({k}, n - 1) AS INT))").alias("radius")
 
 
 def _radii(points: DataFrame, k: int) -> DataFrame:
-    """(feature, place, radius, row): each point with the distance to its k-th nearest neighbour of
-    the same label; staged."""
-    order = [F.col("feature"), F.col("y"), F.col("place")]
-    sliced = range_bucketed(points, order, "neighbour-slices")
-    group = Window.partitionBy(BUCKET, "feature", "y")
-    inside = group.orderBy("place", TIE)
-    placed = sliced.select(
-        "*",
-        *_neighbours(inside, k, ""),
-        F.row_number().over(inside).alias("at"),
-        F.count(F.lit(1)).over(group).alias("size"),
-    )
-    border = f"at <= {k} OR at > size - {k}"
-    own = placed.where(f"NOT ({border})").select("feature", "place", _radius(k, False))
+    """(feature, place, radius): each point with the distance to its k-th nearest neighbour of the
+    same label; read from staged tables."""
+    sides = [f"{side}{j}" for side in ("before", "after") for j in range(1, k + 1)]
+    kind = points.schema["y"].dataType.simpleString()
+    schema = f"feature int, place long, radius long, y {kind}, n long, " + ", ".join(f"{s} long" for s in sides)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _slice(batches)
+        if table is None:
+            return
+        label = pa.concat_arrays(table["y"].chunks).dictionary_encode().indices
+        order = np.lexsort((np.asarray(table["place"]), np.asarray(label), np.asarray(table["feature"])))
+        feature, place, n, label = (
+            np.asarray(c)[order] for c in (table["feature"], table["place"], table["n"], label)
+        )
+        edges = _runs(feature, label)
+        begin, end = (np.repeat(e, np.diff(edges)) for e in (edges[:-1], edges[1:]))
+        at = np.arange(len(place))
+        border = (at < begin + k) | (at >= end - k)
+        inner = np.flatnonzero(~border)
+        steps = np.empty((len(inner), 2 * k), dtype=np.int64)
+        for j in range(1, k + 1):
+            steps[:, j - 1] = place[inner] - place[inner - j]
+            steps[:, k + j - 1] = place[inner + j] - place[inner]
+        steps.sort(axis=1)
+        # Among 2k + 1 rows of a label, the k-th nearest is always there.
+        own = [pa.array(feature[inner]), pa.array(place[inner]), pa.array(steps[:, k - 1])]
+        absent = [pa.nulls(len(inner), table.schema.field("y").type)] + [pa.nulls(len(inner), pa.int64())] * (1 + 2 * k)
+        names = ["feature", "place", "radius", "y", "n", *sides]
+        yield from pa.table(own + absent, names=names).to_batches(BATCH)
+        edge = np.flatnonzero(border)
+        columns = [pa.array(feature[edge]), pa.array(place[edge]), pa.nulls(len(edge), pa.int64())]
+        columns += [pa.concat_arrays(table["y"].chunks).take(pa.array(order[edge])), pa.array(n[edge])]
+        for step in [-j for j in range(1, k + 1)] + list(range(1, k + 1)):
+            other = edge + step
+            outside = (other < begin[edge]) | (other >= end[edge])
+            columns.append(pa.array(place[np.where(outside, edge, other)], mask=outside))
+        yield from pa.table(columns, names=names).to_batches(BATCH)
+
+    workspace = Workspace.of(points.sparkSession)
+    sliced = _sliced(points.select("feature", "y", "n", "place"), ["feature", "y", "place"])
+    staged = workspace.stage(sliced.mapInArrow(placed, schema), "neighbour-slices")
     # At most 2k rows per slice and label; their neighbours across borders are all among them.
-    across = Window.partitionBy("feature", "y").orderBy("place", TIE)
-    edge = placed.where(border).select("*", *_neighbours(across, k, "_"))
-    both = own.unionByName(edge.select("feature", "place", _radius(k, True)))
-    return Workspace.of(points.sparkSession).stage(
-        both.withColumn("row", F.monotonically_increasing_id()), "neighbour-radii"
-    )
+    across = Window.partitionBy("feature", "y").orderBy("place")
+    around = [F.lag("place", j).over(across).alias(f"before{j}_") for j in range(1, k + 1)]
+    around += [F.lead("place", j).over(across).alias(f"after{j}_") for j in range(1, k + 1)]
+    edge = staged.where("radius IS NULL").select("*", *around).select("feature", "place", _radius(k))
+    edge = workspace.stage(edge, "neighbour-edges")
+    return staged.where("radius IS NOT NULL").select("feature", "place", "radius").unionByName(edge)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a slice: how many rows (``rows``) of a feature have ``m`` nearer ones. Rows that may have
+    more outside the slice come one by one, with the places from ``up`` to below ``up_end`` and
+    from ``low`` to below ``low_end`` left to be counted; ``m`` is what lies between those."""
+    table = _slice(batches)
+    if table is None:
+        return
+    part = TaskContext.get().partitionId()
+    order = np.lexsort((np.asarray(table["place"]), np.asarray(table["feature"])))
+    feature, place, radius = (np.asarray(table[c])[order] for c in ("feature", "place", "radius"))
+    edges = _runs(feature)
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        x = place[begin:end]
+        reach = np.maximum(radius[begin:end], 1)
+        high, low = x + reach, x - reach
+        first, last = int(x[0]), int(x[-1])
+        # Only this slice has points strictly between its first and last place.
+        inside = np.searchsorted(x, np.minimum(high, last)) - np.searchsorted(x, np.maximum(low, first), "right")
+        inside = np.maximum(inside, 0)
+        above, below = high > last, low < first
+        out = above | below
+        m, rows = np.unique(inside[~out], return_counts=True)
+        some = np.flatnonzero(out)
+        size = len(m) + len(some)
+
+        def ends(values, of) -> pa.Array:
+            held, absent = np.zeros(size, dtype=np.int64), np.ones(size, dtype=bool)
+            held[len(m) :], absent[len(m) :] = np.broadcast_to(values, x.shape)[some], ~of[some]
+            return pa.array(held, mask=absent)
+
+        yield from pa.table(
+            {
+                "feature": pa.array(np.full(size, feature[begin], dtype=np.int32)),
+                "part": pa.array(np.full(size, part, dtype=np.int32)),
+                "m": pa.array(np.concatenate([m, inside[some]]).astype(np.int64)),
+                "rows": pa.array(np.concatenate([rows, np.ones(len(some))]).astype(np.int64)),
+                "up": ends(last if first < last else last + 1, above),
+                "up_end": ends(high, above),
+                "low": ends(low + 1, below),
+                "low_end": ends(first + 1, below),
+            }
+        ).to_batches(BATCH)
+
+
+def _merged(spans: Iterable[tuple[int, int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per feature the begins and ends of the places that lie in any span (feature, begin, end)."""
+    found: dict[int, list[list[int]]] = {}
+    for feature, begin, end in sorted(spans):
+        known = found.setdefault(feature, [])
+        if known and begin <= known[-1][1]:
+            known[-1][1] = max(known[-1][1], end)
+        else:
+            known.append([begin, end])
+    return {f: tuple(np.array(v, dtype=np.int64).T) for f, v in found.items()}
 
 
 def _nearer(radii: DataFrame) -> DataFrame:
-    """(feature, row, m): how many points of the feature are nearer than each one's radius."""
-    # In one place, upper ends come before points and lower ends after them: both are left out.
-    radius = "greatest(radius, 1L)"
-    marks = sql.rows(
-        [
-            sql.struct(value="place", side="0", point="1L"),
-            sql.struct(value=f"place - {radius}", side="1", point="0L"),
-            sql.struct(value=f"place + {radius}", side="-1", point="0L"),
-        ]
+    """(feature, m, rows): how many rows of a feature have ``m`` points nearer than their radius."""
+    workspace = Workspace.of(radii.sparkSession)
+    schema = "feature int, part int, m long, rows long, up long, up_end long, low long, low_end long"
+    counted = _sliced(radii, ["feature", "place"]).mapInArrow(_counted, schema)
+    counted = workspace.stage(counted, "neighbour-counts")
+    met = counted.where("up IS NULL AND low IS NULL").select("feature", "m", "rows")
+    opened = counted.where("up IS NOT NULL OR low IS NOT NULL")
+    # One row per slice and feature: the places that its rows ask for.
+    asked = opened.groupBy("feature", "part").agg(
+        F.min("up").alias("up"), F.max("up_end").alias("up_end"),
+        F.min("low").alias("low"), F.max("low_end").alias("low_end"),
+    ).collect()
+    spans = [(r["feature"], r["up"], r["up_end"]) for r in asked if r["up"] is not None]
+    spans += [(r["feature"], r["low"], r["low_end"]) for r in asked if r["low"] is not None]
+    wanted = _merged(spans)
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            feature, place = (np.asarray(batch.column(i)) for i in (0, 1))
+            keep = np.zeros(len(batch), dtype=bool)
+            for f in np.unique(feature).tolist():
+                if f in wanted:
+                    begins, ends = wanted[f]
+                    at = np.searchsorted(begins, place, "right") - 1
+                    keep |= (feature == f) & (at >= 0) & (place < ends[at])
+            yield batch.filter(pa.array(keep))
+
+    points = radii.select("feature", "place").mapInArrow(inside, "feature int, place long").selectExpr(
+        "feature", "place AS value", "CAST(NULL AS BIGINT) AS row", "0L AS m", "0L AS sign", "1L AS point"
     )
-    counted = running_totals(
-        radii.selectExpr("feature", "row", marks),
-        [F.col("feature"), F.col("value"), F.col("side")],
+    sides = [("up", -1), ("up_end", 1), ("low", -1), ("low_end", 1)]
+    marks = sql.rows([sql.struct(value=c, sign=f"{sign}L", point="0L") for c, sign in sides])
+    marked = opened.withColumn("row", F.monotonically_increasing_id()).selectExpr("feature", "row", "m", marks)
+    # In one place, ends come before points: those from ``up`` on count, those from ``up_end`` on do not.
+    below = running_totals(
+        points.unionByName(marked.where("value IS NOT NULL")),
+        [F.col("feature"), F.col("value"), F.col("point")],
         {"below": "point"},
         "neighbour-marks",
     )
-    ends = counted.where("side <> 0")
-    return ends.groupBy("feature", "row").agg(F.sum(-F.col("side") * F.col("below")).alias("m"))
+    further = below.where("sign <> 0").groupBy("feature", "row").agg(
+        (F.first("m") + F.sum(F.col("sign") * F.col("below"))).alias("m")
+    )
+    return met.unionByName(further.select("feature", "m", F.lit(1).cast("long").alias("rows")))
 
 
 def neighbour_information(
@@ -164,7 +291,7 @@ def neighbour_information(
         F.expr(f"sum(n * ({digamma(f'least({k}, n - 1)')} - {digamma('n')})) AS labels"),
     ).first()
     rows = float(terms["n"] or 0)
-    met = _nearer(_radii(points, k)).groupBy("feature").agg(F.expr(f"sum({digamma('m')}) AS nearer"))
+    met = _nearer(_radii(points, k)).groupBy("feature").agg(F.expr(f"sum(rows * {digamma('m')}) AS nearer"))
     base = f"{digamma(sql.number(max(rows, 1.0)))} + ({sql.number(terms['labels'])} - nearer) / {sql.number(max(rows, 1.0))}"
     names = df.sparkSession.createDataFrame(list(enumerate(columns)), "_feature int, feature string")
     out = names.join(met.withColumnRenamed("feature", "_at"), F.expr("_feature = _at"), "left")

@@ -94,3 +94,33 @@ def test_without_rows_there_is_no_information(spark):
 def test_digamma(spark):
     values = spark.range(1, 200).selectExpr("id", f"{neighbours.digamma('id')} AS d").collect()
     assert all(math.isclose(r["d"], psi(r["id"]), abs_tol=1e-10) for r in values)
+
+
+def test_only_points_near_borders_are_counted_across_slices(spark, monkeypatch):
+    counted = []
+    totals = neighbours.running_totals
+
+    def counting(df, *rest):
+        counted.append(df.count())
+        return totals(df, *rest)
+
+    monkeypatch.setattr(neighbours, "running_totals", counting)
+    frame = sample(20_000)
+    rows = neighbours.neighbour_information(to_spark(spark, frame), "y", ["shifted", "noise"], "key").collect()
+    assert all(r["mutual_information"] is not None for r in rows)
+    # Of 40,000 points.
+    assert 0 < sum(counted) < 2_000
+
+
+def test_labels_in_far_slices(spark):
+    frame = sample(300)
+    frame["y"] = [float(i % 100) if i < 200 else 200.0 for i in range(300)]
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = neighbours.neighbour_information(to_spark(spark, frame), "y", COLUMNS[:4], "key").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = brute(frame, "y", COLUMNS[:4])
+    assert all(math.isclose(r["mutual_information"], expected[r["feature"]], abs_tol=1e-9) for r in rows)
