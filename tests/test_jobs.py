@@ -132,6 +132,38 @@ def test_training_repeats_itself(spark, stage):
     assert a.toDebugString == b.toDebugString.replace(b.uid, a.uid)
 
 
+def test_kept_nodes_give_the_trees_of_spark(spark, stage):
+    _, data, _ = stage
+    train = preparation.load_processed(spark, data.processed_path).where("split = 'train'")
+    names = data.fitted.feature_names
+    forest = training.fit_forest(train, names, "is_fraud", 5, 12, key="tx_id")
+    assert forest.getCacheNodeIds()
+    weights = {r["label"]: r["weight"] for r in training.class_weights(train, "is_fraud").collect()}
+    weight = training.F.when(training.F.col("is_fraud") == 1, weights[1]).otherwise(weights[0])
+    vectors = scoring.with_features(training.dealt(train, training.PARTS, "tx_id"), names, ["is_fraud"])
+    plain = training.RandomForestClassifier(
+        labelCol="is_fraud", weightCol="weight", numTrees=5, maxDepth=12, seed=training.SEED, cacheNodeIds=False
+    ).fit(vectors.withColumn("weight", weight))
+    assert forest.toDebugString.replace(forest.uid, plain.uid) == plain.toDebugString
+
+
+def test_rows_are_scored_once_for_all_metrics(spark):
+    scorings = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        scorings.add(1)
+        return x
+
+    rows = [(i % 2, i % 3 % 2, i / 20) for i in range(20)]
+    frame = spark.createDataFrame(rows, "y int, hard_prediction int, p double")
+    scored = frame.withColumn("fraud_probability", training.F.udf(score, "double")("p"))
+    found = training.evaluate(scored, "y")
+    assert scorings.value == 20
+    assert found["accuracy"] == sum(y == h for y, h, _ in rows) / 20
+    pairs = [(a, b) for y, _, a in rows if y for z, _, b in rows if not z]
+    assert found["roc_auc"] == pytest.approx(sum(a > b for a, b in pairs) / len(pairs))
+
+
 def test_requests_are_checked_before_scoring(spark, stage):
     _, data, model = stage
     forest, fitted = training.load_verified(spark, model.model_path, data.parameters_path, model.manifest_path)
