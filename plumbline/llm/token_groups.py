@@ -45,6 +45,8 @@ SKETCH_LEAST, SKETCH_TIMES = 6, 3
 LOOKS, ROUNDS, WORTH = 16, 4, 50
 # Members of an opened group that one task compares with a node.
 GROUP_PART = 256
+# Words of 64 bits of the sketch of rows whose texts are looked up.
+LOOKUP_BITS = 18
 
 
 def shingle_sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +135,21 @@ def described_rows(df: DataFrame, text: str, keep: list[str], size: int, percent
 MIX_A, MIX_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
+def possible_rows(df: DataFrame, digest: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``digest`` (64 bits) is not in ``wanted``'s only column.
+
+    The few texts that a round compares would otherwise bring all texts into a shuffle. The digests
+    are marked in a sketch of 2^LOOKUP_BITS words of 64 bits whatever their number, which is sent to
+    all tasks; rows that it lets through by chance are left to the join that follows.
+    """
+    word = f"shiftrightunsigned({{}}, {64 - LOOKUP_BITS})"
+    (held,) = wanted.columns
+    marks = wanted.selectExpr(f"{word.format(held)} AS _word", f"CAST({held} & 63 AS INT) AS _bit")
+    marks = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    near = df.join(F.broadcast(marks), F.expr(f"{word.format(digest)} = _word"))
+    return near.where(f"bit_get(_bits, CAST({digest} & 63 AS INT)) = 1").select(*df.columns)
+
+
 def _merged(df: DataFrame) -> DataFrame:
     """The side of a join that is to be merged, not broadcast: one more small table in the driver
     for each of very many joins costs it more than the shuffle costs the executors."""
@@ -258,9 +275,11 @@ class _Job:
         from the texts of the nodes in question."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = self.nodes.join(_merged(wanted), "node").select("node", F.col("row_key").alias("_row"))
-        # Texts are looked up as they come, not sorted.
-        texts = self.rows_in.join(wanted.hint("shuffle_hash"), F.col("row_key") == F.col("_row"))
-        texts = texts.select("node", "text").dropDuplicates(["node"])
+        wanted = self.stage(wanted, "wanted-rows")
+        # Texts are looked up as they come, not sorted; a row has one node.
+        texts = possible_rows(self.rows_in, "row_key.h1", wanted.select("_row.h1"))
+        texts = texts.join(wanted.hint("shuffle_hash"), F.col("row_key") == F.col("_row"))
+        texts = texts.dropDuplicates(["row_key"]).select("node", "text")
 
         def make(texts: Texts, size: int) -> dict[str, pa.Array]:
             values, bounds = shingle_sets(texts, size)
@@ -278,7 +297,7 @@ class _Job:
         linked = common.where(f"100 * common >= {self.percent} * (total - common)")
         links = self.stage(linked.select("a", "b"), "shingle-links")
         # The sets are the largest scratch table, and the links are written.
-        self.workspace.discard(sets)
+        self.workspace.discard(sets, wanted)
         return links, links.count()
 
     def opened_pairs(self, groups: DataFrame) -> DataFrame:

@@ -140,6 +140,18 @@ def test_group_bound_holds_for_every_size_in_it(spark, percent):
     assert lost.isEmpty()
 
 
+def test_lookup_lets_wanted_rows_through_and_few_others(spark):
+    """Only rows that may be wanted reach the shuffle, whatever the sign of their digest."""
+    rows = spark.range(200_000).selectExpr("id", "struct(xxhash64(id) AS h1, id AS h2) AS row_key")
+    wanted = rows.where("id % 1000 = 0 OR row_key.h1 = -1").select("row_key.h1")
+    found = {r.id for r in token_groups.possible_rows(rows, "row_key.h1", wanted).collect()}
+    assert found >= set(range(0, 200_000, 1000)) and len(found) < 250
+    edge = spark.createDataFrame([(k,) for k in (0, 63, 64, -1, -64, 2**63 - 1, -(2**63))], "h long")
+    assert token_groups.possible_rows(edge, "h", edge.select("h")).count() == 7
+    assert token_groups.possible_rows(edge, "h", edge.where("h = -1").select("h")).collect()[0].h == -1
+    assert token_groups.possible_rows(rows, "row_key.h1", wanted.limit(0)).isEmpty()
+
+
 def test_one_row_of_each_group_stays(odd_documents):
     kept = token_groups.one_of_each(odd_documents)
     assert kept.columns == odd_documents.columns
