@@ -24,28 +24,28 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    Workspace.of(spark).release()
+    Workspace.of(spark).release(executors=True)
     return rule_ensemble.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    Workspace.of(spark).release()
+    Workspace.of(spark).release(executors=True)
     return token_groups.one_of_each(docs, size=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    Workspace.of(spark).release()
+    Workspace.of(spark).release(executors=True)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _measured(suffix.remove_spans(docs, benchmark))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    Workspace.of(spark).release()
+    Workspace.of(spark).release(executors=True)
     return _measured(secrets.redact_secrets(docs))
 
 
 def temperature_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    Workspace.of(spark).release()
+    Workspace.of(spark).release(executors=True)
     return mixing.mix_sources(docs)
 
 

@@ -15,7 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+# Numbers of 64 bits are made per byte of a part, several at a time: what a worker holds beside its batch.
+CHUNK_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)

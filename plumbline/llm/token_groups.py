@@ -384,7 +384,7 @@ def _classes(job: _Job) -> DataFrame:
             edges = more.unionByName(tree)
         wider = components(edges)
         workspace.discard(more, *([] if groups is None else [groups]))
-        workspace.release()
+        workspace.release(executors=True)
         return wider, found
 
     groups, _ = joined(job.stage(job.leader_pairs(), "pairs"), None)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import logging
+import re
 import tempfile
 import uuid
 import weakref
@@ -15,6 +16,7 @@ from collections.abc import Callable, Iterable
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
@@ -54,6 +56,13 @@ def _trim_native_heap(gateway) -> None:
     invoke.invoke(server, array(jvm.java.lang.Object, bean, "systemTrimNativeHeap", *nothing))
 
 
+def collect_executors(spark: SparkSession) -> None:
+    """A garbage collection in the JVM of every task of a small job, one task per core."""
+    slots = spark.sparkContext.defaultParallelism
+    collected = F.java_method(F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(0, slots, 1, slots).select(collected).write.format("noop").mode("overwrite").save()
+
+
 class Workspace:
     """Staged tables of one Spark application; results to keep are written to the caller's paths."""
 
@@ -95,11 +104,12 @@ class Workspace:
             location, files = self._located(self._paths.pop(df))
             files.delete(location, True)
 
-    def release(self) -> None:
+    def release(self, executors: bool = False) -> None:
         """Let go of the shuffles and broadcasts of finished queries. Spark removes them when the
         driver collects their handles, which it puts off while it has room. Each of the many
         threads that ran them also leaves freed memory with the C library, which is told to give it
-        back; a JVM that cannot is left alone."""
+        back; a JVM that cannot is left alone. ``executors`` are collected as well if wanted: beside
+        their Python workers, a heap of garbage from one stage leaves the next one less room."""
         gc.collect()
         context = self.spark.sparkContext
         context._jvm.System.gc()
@@ -107,6 +117,8 @@ class Workspace:
             _trim_native_heap(context._gateway)
         except Py4JError:
             logger.debug("this JVM does not trim its native heap")
+        if executors and not re.match(r"local(\[|$)", context.master):
+            collect_executors(self.spark)
 
     def once(self, key: tuple, build: Callable[[], object]) -> object:
         """Build something on first use and remember it for this application."""

@@ -9,7 +9,7 @@ from conftest import SMALL
 
 from plumbline.plans.oracles import TX
 from plumbline.sources import transactions as tx
-from plumbline.workspace import Workspace, shared_root
+from plumbline.workspace import Workspace, collect_executors, shared_root
 
 
 def by_definition(folder: str) -> pd.DataFrame:
@@ -78,3 +78,11 @@ def test_discarded_tables_are_gone(spark):
     workspace.discard(gone)
     workspace.release()
     assert kept.count() == 5 and not os.path.exists(folder)
+
+
+def test_executors_are_collected(spark):
+    """Here the executor is the driver's JVM."""
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    before = sum(bean.getCollectionCount() for bean in beans)
+    collect_executors(spark)
+    assert sum(bean.getCollectionCount() for bean in beans) > before
