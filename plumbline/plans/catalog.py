@@ -559,12 +559,9 @@ def mutual_information(spark, sf_dir):
 @query("neighbour_information")
 def neighbour_information(spark, sf_dir):
     features = [c for c in FRAUD_CONTRACT.names if c != "is_fraud"]
-    parts = [
-        neighbours.neighbour_information(labelled(spark, sf_dir, label), label, features, KEY).select(
-            F.lit(label).alias("label"), "*"
-        )
-        for label in LABELS
-    ]
+    table = tx.transaction_table(spark, sf_dir).select(KEY, *features, *LABELS)
+    found = neighbours.neighbour_information_of(table, LABELS, features, KEY)
+    parts = [of_label.select(F.lit(label).alias("label"), "*") for label, of_label in zip(LABELS, found)]
     return rounded(reduce(DataFrame.unionByName, parts))
 
 

@@ -124,3 +124,44 @@ def test_labels_in_far_slices(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     expected = brute(frame, "y", COLUMNS[:4])
     assert all(math.isclose(r["mutual_information"], expected[r["feature"]], abs_tol=1e-9) for r in rows)
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_labels_share_a_pass_over_small_slices(spark, monkeypatch, missing):
+    frame = sample(600)
+    frame["y"] = frame["y"].fillna(0.0)
+    frame["z"] = [float(i % 7 == 0) for i in range(600)]
+    if missing:
+        frame.loc[::13, "z"] = np.nan
+    # Few keys: most points are equal to others, also at the ends of slices.
+    frame["key"] = frame["key"] % 4
+    passes = []
+    quantiles = neighbours.exact_quantiles
+    monkeypatch.setattr(neighbours, "exact_quantiles", lambda *given: passes.append(1) or quantiles(*given))
+    monkeypatch.setattr(neighbours, "SLICE", 40)
+    monkeypatch.setattr(neighbours, "SORTED_ROWS", 100)
+    found = neighbours.neighbour_information_of(to_spark(spark, frame), ["y", "z"], COLUMNS, "key")
+    for label, of_label in zip(["y", "z"], found):
+        expected = brute(frame, label, COLUMNS)
+        rows = {r["feature"]: r["mutual_information"] for r in of_label.collect()}
+        assert rows.keys() == expected.keys()
+        assert all(math.isclose(rows[c], expected[c], abs_tol=1e-9) for c in COLUMNS)
+    assert len(passes) == (2 if missing else 1)
+
+
+def test_slices_hold_equal_points_once(spark, monkeypatch):
+    held = []
+    nearer = neighbours._nearer
+
+    def looking(slices, *rest):
+        held.extend(slices.where("label IS NULL").selectExpr("octet_length(places) / 8 AS n").collect())
+        return nearer(slices, *rest)
+
+    monkeypatch.setattr(neighbours, "_nearer", looking)
+    frame = sample(5_000)
+    frame["key"] = 5
+    rows = neighbours.neighbour_information(to_spark(spark, frame), "y", ["levels", "constant"], "key").collect()
+    expected = brute(frame, "y", ["levels", "constant"])
+    assert all(math.isclose(r["mutual_information"], expected[r["feature"]], abs_tol=1e-9) for r in rows)
+    # Four labels (three, and a row of its own) with four values and one.
+    assert sum(r["n"] for r in held) <= 20
