@@ -15,6 +15,7 @@ from plumbline.contract import SEED
 from plumbline.functions import sqltext as sql
 from plumbline.operators.features import Preprocessor
 from plumbline.operators.fingerprint import artifact_fingerprint
+from plumbline.operators.forest import fit
 from plumbline.operators.metrics import binary_metrics, class_weights, ranking_metrics, target_contract
 from plumbline.operators.scoring import predict, with_features
 from plumbline.plans.preparation import load_processed
@@ -72,16 +73,13 @@ def fit_forest(
     data and doubles what the driver keeps per tree; raise ``max_depth`` up to Spark's 30. The node
     that each row has reached in each tree is kept from level to level instead of found from the root
     again; the trees are the same. Checkpoints of it would only be copies on disk."""
-    weights = {r["label"]: r["weight"] for r in class_weights(train, label).collect()}
-    weight = F.lit(None).cast("double")
-    for value, w in weights.items():
-        weight = F.when(F.col(label) == F.lit(value), F.lit(w)).otherwise(weight)
-    vectors = with_features(dealt(train, parts, key), names, [label]).withColumn("weight", weight)
+    found = class_weights(train, label).collect()
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=max_depth, seed=seed,
         cacheNodeIds=True, checkpointInterval=-1,
     )
-    return forest.fit(vectors)
+    weights, counts = ({r["label"]: r[c] for r in found} for c in ("weight", "n"))
+    return fit(dealt(train, parts, key), names, label, weights, counts, forest)
 
 
 def evaluate(scored: DataFrame, label: str) -> dict[str, float]:
