@@ -13,19 +13,17 @@ from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import sqltext as sql
 
 BUCKET_BITS = 11
-# Fixed values of the double format: mantissa bits, exponent bias, smallest normal and smallest value.
-MANTISSA, BIAS = 1 << 52, 1023
-NORMAL, TINY = 2.0**-1022, 2.0**-1074
 
 
 def _present(column: str) -> str:
@@ -44,28 +42,28 @@ def value_of(key: int) -> float:
     return -value if key < 0 else value
 
 
+def _keys(values: pa.Array) -> np.ndarray:
+    """The keys of the values that are there: their bits."""
+    x = values.drop_null().to_numpy(zero_copy_only=False)
+    bits = np.abs(x).view(np.int64)
+    return np.where(x < 0, -bits, bits)
+
+
 def _keyed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``k0``, ``k1``, ... are the keys of ``columns``.
+    """``k0``, ``k1``, ... are the keys of ``columns``."""
 
-    Spark has no function for the bits of a double. The logarithm gives its exponent up to one,
-    which the quotient by that power of two, always exact, puts right.
-    """
-    span = range(len(columns))
-    sized = df.selectExpr(*[f"{_present(c)} AS x{i}" for i, c in enumerate(columns)])
-    sized = sized.selectExpr(*[f"x{i}" for i in span], *[f"abs(x{i}) AS a{i}" for i in span])
-    normal = "a{i} >= " + sql.number(NORMAL) + " AND a{i} < " + sql.number(math.inf)
-    guess = "if(" + normal + ", pow(2D, least(floor(log2(a{i})), 1023)), 1D) AS p{i}"
-    sized = sized.selectExpr("*", *[guess.format(i=i) for i in span])
-    power = "CASE WHEN a{i} / p{i} >= 2 THEN 2 * p{i} WHEN a{i} / p{i} < 1 THEN p{i} / 2 ELSE p{i} END AS q{i}"
-    sized = sized.selectExpr(*[f"x{i}" for i in span], *[f"a{i}" for i in span], *[power.format(i=i) for i in span])
-    size = (
-        f"CASE WHEN a{{i}} = {sql.number(math.inf)} THEN {key_of(math.inf)}L "
-        f"WHEN a{{i}} < {sql.number(NORMAL)} THEN CAST(a{{i}} / {sql.number(TINY)} AS BIGINT) "
-        f"ELSE (CAST(round(log2(q{{i}})) AS BIGINT) + {BIAS}) * {MANTISSA}L "
-        f"+ CAST((a{{i}} / q{{i}} - 1) * {MANTISSA}L AS BIGINT) END AS k{{i}}"
-    )
-    sized = sized.selectExpr(*[f"x{i}" for i in span], *[size.format(i=i) for i in span])
-    return sized.selectExpr(*[f"if(x{i} < 0, -k{i}, k{i}) AS k{i}" for i in span])
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for values in batch.columns:
+                present = values.is_valid().to_numpy(zero_copy_only=False)
+                keys = np.zeros(len(values), dtype=np.int64)
+                keys[present] = _keys(values)
+                cells.append(pa.array(keys, mask=~present))
+            yield pa.RecordBatch.from_arrays(cells, names=[f"k{i}" for i in range(len(cells))])
+
+    values = df.selectExpr(*[f"{_present(c)} AS x{i}" for i, c in enumerate(columns)])
+    return values.mapInArrow(keyed, ", ".join(f"k{i} long" for i in range(len(columns))))
 
 
 @dataclass(frozen=True)
@@ -118,28 +116,61 @@ class _Range:
         return shift
 
 
-def _per_slot(values: Iterable[int]) -> str:
-    return f"element_at(array({', '.join(f'{v}L' for v in values)}), slot + 1)"
+def _tallied(ranges: Sequence[Sequence[tuple[int, _Range]]]):
+    """Of a task's values, with the ranges of each column in key order: the number of those in each
+    bucket, their least and greatest key."""
+    tables = []
+    for slots in ranges:
+        low, high, shift = (np.array([getattr(r, a) for _, r in slots], dtype=np.int64) for a in ("low", "high", "shift"))
+        first = low >> shift
+        size = (high >> shift) - first + 1
+        tables.append((low, high, shift, first, size, np.cumsum(size) - size))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.iinfo(np.int64)
+        held = [
+            [np.full(int(size.sum()), fill, dtype=np.int64) for fill in (0, whole.max, whole.min)]
+            for *_, size, _ in tables
+        ]
+        for batch in batches:
+            for column, (low, high, shift, first, _, begin), (n, lo, hi) in zip(batch.columns, tables, held):
+                keys = _keys(column)
+                # The first range that does not end below a key is the only one that can hold it.
+                slot = np.searchsorted(high, keys) if len(high) > 1 else np.zeros(len(keys), dtype=np.int64)
+                slot = np.minimum(slot, len(high) - 1)
+                inside = (keys >= low[slot]) & (keys <= high[slot])
+                keys, slot = keys[inside], slot[inside]
+                bucket = (keys >> shift[slot]) - first[slot] + begin[slot]
+                np.add.at(n, bucket, 1)
+                np.minimum.at(lo, bucket, keys)
+                np.maximum.at(hi, bucket, keys)
+        for slots, (*_, size, begin), (n, lo, hi) in zip(ranges, tables, held):
+            some = np.flatnonzero(n)
+            if not len(some):
+                continue
+            at = np.searchsorted(begin, some, "right") - 1
+            numbers = np.array([s for s, _ in slots])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers[at].astype(np.int32)), pa.array((some - begin[at]).astype(np.int32))]
+                + [pa.array(values[some]) for values in (n, lo, hi)],
+                names=["slot", "bucket", "n", "lo", "hi"],
+            )
+
+    return tally
 
 
 def _histogram(df: DataFrame, ranges: Sequence[_Range]):
     """(slot, bucket, n, lo, hi) of every bucket with values, in key order, as an Arrow table.
 
-    The ranges of a column are disjoint and come in key order, so the first range that does not
-    end below a key is the only one that can hold it.
+    The ranges of a column are disjoint. A task counts its values in numpy, so only counts leave it.
     """
     by_column: dict[str, list[tuple[int, _Range]]] = {}
     for slot, r in enumerate(ranges):
         by_column.setdefault(r.column, []).append((slot, r))
-    cells = []
-    for i, slots in enumerate(by_column.values()):
-        inside = [(f"k{i} <= {r.high}L", f"if(k{i} >= {r.low}L, {slot}, NULL)") for slot, r in slots]
-        cells.append(sql.struct(slot=sql.case(inside), k=f"k{i}"))
-    slotted = _keyed(df, list(by_column)).selectExpr(sql.rows(cells)).where("slot IS NOT NULL")
-    shift = f"CAST({_per_slot(r.shift for r in ranges)} AS INT)"
-    bucket = F.expr(f"CAST(shiftright(k, {shift}) - {_per_slot(r.low >> r.shift for r in ranges)} AS INT)")
-    counts = slotted.groupBy("slot", bucket.alias("bucket")).agg(
-        F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
+    values = df.selectExpr(*[f"{_present(c)} AS x{i}" for i, c in enumerate(by_column)])
+    tallied = values.mapInArrow(_tallied(list(by_column.values())), "slot int, bucket int, n long, lo long, hi long")
+    counts = tallied.groupBy("slot", "bucket").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
     return counts.toArrow().sort_by([("slot", "ascending"), ("bucket", "ascending")])
 
