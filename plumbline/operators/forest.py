@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import math
 import sys
+import weakref
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -680,3 +681,68 @@ def fit(
     chunks.unpersist()
     nodes = [row for t, root in enumerate(roots) for row in _node_rows(t, root, thresholds)]
     return _as_model(spark, forest, nodes, len(names), classes)
+
+
+@dataclass(frozen=True)
+class Flat:
+    """A tree as arrays by node: feature, limit, left and right child, the share of each class in turn.
+    A leaf leads to itself."""
+
+    feature: np.ndarray
+    limit: np.ndarray
+    children: np.ndarray
+    shares: np.ndarray
+    depth: int
+
+
+_FLAT: weakref.WeakKeyDictionary[RandomForestClassificationModel, list[Flat]] = weakref.WeakKeyDictionary()
+
+
+def flat_trees(spark: SparkSession, model: RandomForestClassificationModel) -> list[Flat]:
+    """The trees of a model, read from what it saves."""
+    if model in _FLAT:
+        return _FLAT[model]
+    path = Workspace.of(spark).new_path("forest")
+    model.write().save(path)
+    saved = spark.read.parquet(f"{path}/data").selectExpr(
+        "treeID", "nodeData.id", "nodeData.impurityStats AS stats", "nodeData.leftChild", "nodeData.rightChild",
+        "nodeData.split.featureIndex", "try_element_at(nodeData.split.leftCategoriesOrThreshold, 1) AS limit",
+    ).toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")]).combine_chunks()
+    tree, left, right, feature, limit = (
+        saved[c].to_numpy() for c in ("treeID", "leftChild", "rightChild", "featureIndex", "limit")
+    )
+    stats = np.array(saved["stats"].to_pylist(), dtype=np.float64).reshape(len(tree), -1)
+    total = _total(stats)
+    shares = np.where(total[:, None] != 0, stats / np.where(total != 0, total, 1.0)[:, None], 0.0)
+    edges = np.searchsorted(tree, np.arange(model.getNumTrees + 1))
+    flat = []
+    for begin, end in zip(edges[:-1], edges[1:]):
+        at = slice(begin, end)
+        own, leaf = np.arange(end - begin), left[at] < 0
+        children = np.stack([np.where(leaf, own, left[at]), np.where(leaf, own, right[at])], axis=1)
+        depth, level = 0, np.zeros(1, dtype=np.int64)
+        while len(level := children[level[~leaf[level]]].ravel()):
+            depth += 1
+        flat.append(
+            Flat(
+                np.where(leaf, 0, feature[at]).astype(np.int64), np.where(leaf, np.inf, limit[at]),
+                children.ravel().astype(np.int64), np.ascontiguousarray(shares[at].T), depth,
+            )
+        )
+    _FLAT[model] = flat
+    return flat
+
+
+def votes_of(flat: Sequence[Flat], values: np.ndarray, rows: int) -> np.ndarray:
+    """The summed shares of each class for rows whose features follow each other in ``values``; added
+    tree by tree as Spark does."""
+    begin = np.arange(rows) * (len(values) // rows if rows else 0)
+    votes = np.zeros((len(flat[0].shares), rows))
+    for tree in flat:
+        node = np.zeros(rows, dtype=np.int64)
+        for _ in range(tree.depth):
+            right = ~(values.take(begin + tree.feature.take(node)) <= tree.limit.take(node))
+            node = tree.children.take(2 * node + right)
+        for vote, share in zip(votes, tree.shares):
+            vote += share.take(node)
+    return votes

@@ -83,3 +83,17 @@ def test_missing_features_are_refused(spark):
     settings = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=2)
     with pytest.raises(Exception, match="must be present and finite"):
         forest.fit(to_spark(spark, frame), ["smooth", "few"], "y", {0: 1.0, 1: 1.0}, {0: 50, 1: 50}, settings)
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_scores_are_those_of_the_model(spark, classes):
+    frame = table(900, classes)
+    names = [c for c in frame if c not in ("key", "y")]
+    vectors = scoring.with_features(to_spark(spark, frame), names, ["key", "y"])
+    model = RandomForestClassifier(labelCol="y", numTrees=9, maxDepth=7, seed=3).fit(vectors)
+    found = scoring.predict(model, vectors, ["key"])
+    assert "MapInArrow" in found._jdf.queryExecution().toString()
+    plain = {r["key"]: (r["probability"][1], int(r["prediction"])) for r in model.transform(vectors).collect()}
+    rows = found.collect()
+    assert {r["key"]: (r["fraud_probability"], r["hard_prediction"]) for r in rows} == plain
+    assert all(r["is_fraud_prediction"] == (r["fraud_probability"] >= 0.5) for r in rows)
