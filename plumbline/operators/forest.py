@@ -275,6 +275,7 @@ class Tree:
     feature: list[int] = field(default_factory=lambda: [-1])
     bin: list[int] = field(default_factory=lambda: [0])
     left: list[int] = field(default_factory=lambda: [0])
+    depth: int = 0
 
     def split(self, node: Node) -> None:
         at = len(self.feature)
@@ -284,12 +285,7 @@ class Tree:
             self.feature.append(-1)
             self.bin.append(0)
             self.left.append(0)
-
-    @property
-    def depth(self) -> int:
-        return 0 if self.feature[0] < 0 else self._depth
-
-    _depth: int = 0
+        self.depth = max(self.depth, node.level + 1)
 
 
 @dataclass(frozen=True)
@@ -363,7 +359,7 @@ def _summed(works: Mapping[int, Work], trees: Mapping[int, Tree], features: int,
         left = np.where(ends, np.arange(len(feature)), np.array(tree.left, dtype=np.int64))
         most = np.iinfo(kind).max
         last = np.where(ends, most, np.array(tree.bin, dtype=np.int64) * classes + classes - 1).astype(kind)
-        steps = max(tree.depth, 0)
+        steps = tree.depth
         tables[t] = (slot, np.where(ends, 0, feature), left, last, steps, work.subsets, work.offsets * classes)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +418,10 @@ def _total(stats: np.ndarray) -> np.ndarray:
     return total
 
 
-BEST = "tree int, slot int, feature int, bin int, gain double, impurity double, valid boolean, own binary, left binary, right binary, raw long, left_raw long, right_raw long"
+BEST = (
+    "tree int, slot int, feature int, bin int, gain double, impurity double, valid boolean, own binary, left binary, "
+    "right binary, raw long, left_raw long, right_raw long"
+)
 BEST_SCHEMA = pa.schema(
     [(c, pa.int32()) for c in ("tree", "slot", "feature", "bin")]
     + [("gain", pa.float64()), ("impurity", pa.float64()), ("valid", pa.bool_())]
@@ -537,7 +536,6 @@ def _grown(
                 node.left = _child(2 * node.id, deepest, left, columns["left_raw"][i])
                 node.right = _child(2 * node.id + 1, deepest, right, columns["right_raw"][i])
                 tree.split(node)
-                tree._depth = max(tree._depth, node.level + 1)
                 stack += [(t, child) for child in (node.left, node.right) if not child.leaf]
     return [tree.root for tree in grown]
 

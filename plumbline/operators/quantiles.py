@@ -5,7 +5,7 @@ wanted ranks are located on these keys. Each round counts the values of every op
 2^``BUCKET_BITS`` buckets of equal key width, and the bucket that holds a rank, cut to the keys
 found in it, is the next range. A range of one key is an answer. Keys have 64 bits, so any data,
 infinities and values hundreds of decades apart included, are done after at most six rounds. Every
-round is one map-side combined aggregation, the driver only sees bucket counts, every rank is
+round is one pass in which tasks count with numpy, the driver only sees bucket counts, every rank is
 exact, and tables of all sizes take the same path.
 """
 

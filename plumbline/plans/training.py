@@ -69,10 +69,9 @@ def fit_forest(
     key: str | None = None,
     parts: int = PARTS,
 ) -> RandomForestClassificationModel:
-    """Class-balanced random forest. Depth is bounded because every level costs passes over the
-    data and doubles what the driver keeps per tree; raise ``max_depth`` up to Spark's 30. The node
-    that each row has reached in each tree is kept from level to level instead of found from the root
-    again; the trees are the same. Checkpoints of it would only be copies on disk."""
+    """Class-balanced random forest, the one that Spark would fit with these settings, grown by
+    ``operators.forest``. Depth is bounded because every level costs passes over the data and doubles
+    what the driver keeps per tree; raise ``max_depth`` up to Spark's 30."""
     found = class_weights(train, label).collect()
     forest = RandomForestClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=max_depth, seed=seed,
